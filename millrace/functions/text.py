@@ -35,17 +35,17 @@ def sentiment_label(compound: Column) -> Column:
     )
 
 
-def sentiment_scores(docs: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
+def sentiment_scores(docs: DataFrame, keys: list[str], text: str, lexicon: DataFrame) -> DataFrame:
     """Per document: shares of negative, neutral and positive words, and a compound score.
 
     Whole texts are split into words and joined to the lexicon. A document's words stay in one
     task, so the sums are complete before the shuffle, which carries one row per document.
-    ``key`` must be unique; a document without words scores 0.
+    ``keys`` must identify a document; one without words scores 0.
     """
-    words = docs.select(F.col(key), F.explode_outer(tokens(F.coalesce(F.col(text), F.lit("")))).alias("word"))
+    words = docs.select(*keys, F.explode_outer(tokens(F.coalesce(F.col(text), F.lit("")))).alias("word"))
     valence = F.coalesce(F.col("valence"), F.lit(0.0))
     word = F.col("word").isNotNull()
-    sums = words.join(lexicon, "word", "left").groupBy(key).agg(
+    sums = words.join(lexicon, "word", "left").groupBy(*keys).agg(
         F.sum(valence).alias("s"),
         F.sum(F.when(valence > 0, valence + 1).otherwise(0.0)).alias("p"),
         F.sum(F.when(valence < 0, 1 - valence).otherwise(0.0)).alias("n"),
@@ -58,6 +58,6 @@ def sentiment_scores(docs: DataFrame, key: str, text: str, lexicon: DataFrame) -
 
     compound = F.col("s") / F.sqrt(F.col("s") * F.col("s") + F.lit(NORMALISATION))
     return sums.select(
-        key, part("n").alias("neg"), part("u").alias("neu"), part("p").alias("pos"), compound.alias("compound"),
+        *keys, part("n").alias("neg"), part("u").alias("neu"), part("p").alias("pos"), compound.alias("compound"),
         sentiment_label(compound).alias("sentiment"),
     )

@@ -1 +1,265 @@
-"""To come."""
+"""Model fitting and metrics as distributed jobs."""
+
+from __future__ import annotations
+
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import functions as F
+
+from millrace.features.pipeline import ColumnTransformer, Pipeline
+from millrace.features.transformers import MinMaxScaler, OneHotEncoder
+from millrace.models import fits, metrics
+from millrace.models.registry import probabilities
+from millrace.plans.feature_pipelines import churn, customer_features, order_lines
+from millrace.plans.registry import query
+from millrace.session import table
+
+
+def _points(spark, sf):
+    return table(spark, sf, "customer").select(
+        "c_custkey", (F.lit(37.0) + F.col("c_acctbal") / 10000.0).alias("lat"), (F.lit(-122.4) + F.col("c_nationkey") / 25.0).alias("lon"))
+
+
+@query("kmeans")
+def kmeans(spark, sf):
+    points = _points(spark, sf)
+    model = fits.kmeans(["lat", "lon"], k=3, seed=0).fit(points)
+    return fits.cluster_report(model, model.transform(points), ["lat", "lon"])
+
+
+@query("fit_kmeans_pipeline")
+def fit_kmeans_pipeline(spark, sf):
+    features = customer_features(order_lines(spark, sf, all_lines=True)).na.drop()
+    scaled = ["return_ratio_mms", "frequency_mms"]
+    model = Pipeline([
+        ("scale", MinMaxScaler(["return_ratio", "frequency"], scaled, clip=True)), ("cluster", fits.kmeans(scaled, k=5, seed=0)),
+    ]).fit(features)
+    scored = model.transform(features)
+    return fits.cluster_report(model["cluster"], scored, scaled)
+
+
+@query("linear_fit", """
+    select round(regr_slope(l_extendedprice, l_quantity), 4) as slope, round(regr_intercept(l_extendedprice, l_quantity), 3) as intercept,
+           round(regr_r2(l_extendedprice, l_quantity), 6) as r2 from lineitem
+""")
+def linear_fit(spark, sf):
+    return fits.linear_one(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice").select(
+        F.round("slope", 4).alias("slope"), F.round("intercept", 3).alias("intercept"), F.round("r2", 6).alias("r2"))
+
+
+@query("linear_fit_many", """
+    with s as (select var_pop(l_quantity) as s11, var_pop(l_discount) as s22, covar_pop(l_quantity, l_discount) as s12,
+                      covar_pop(l_quantity, l_extendedprice) as s1y, covar_pop(l_discount, l_extendedprice) as s2y,
+                      avg(l_quantity) as m1, avg(l_discount) as m2, avg(l_extendedprice) as my from lineitem),
+    b as (select *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) as b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) as b2 from s)
+    select '(intercept)' as term, round(my - b1 * m1 - b2 * m2, 2) as value from b
+    union all select 'l_quantity', round(b1, 2) from b union all select 'l_discount', round(b2, 2) from b
+""")
+def linear_fit_many(spark, sf):
+    lines, features = table(spark, sf, "lineitem"), ["l_quantity", "l_discount"]
+    model = fits.linear_many(lines, features, "l_extendedprice")
+    return fits.coefficients(model, lines, features).withColumn("value", F.round("value", 2))
+
+
+@query("logistic_fit")
+def logistic_fit(spark, sf):
+    """Scaled and one-hot features, balanced classes, metrics on the rows it was fitted on."""
+    data = churn(spark, sf)
+    prepared = Pipeline([("prepare", ColumnTransformer([
+        ("num", MinMaxScaler, ["c_acctbal", "n_orders"]), ("cat", OneHotEncoder(["c_mktsegment"], drop_input_cols=True), None)]))])
+    ready = prepared.fit(data).transform(data)
+    features = ["c_acctbal", "n_orders", *[c for c in ready.columns if c.startswith("c_mktsegment_")]]
+    scored = fits.balanced_logistic(features, "target").fit(ready).transform(ready)
+    return metrics.classification(scored, "target", "prediction")
+
+
+NB_SQL = """
+    with t as (select count(*) as total from orders)
+    select label, round(n / total, 6) as prior, feature, round(mean, 4) as mean, round(variance, 2) as variance from (
+        select o_orderstatus as label, count(*) as n, 'o_totalprice' as feature, avg(o_totalprice) as mean, var_pop(o_totalprice) as variance
+        from orders group by 1
+        union all select o_orderstatus, count(*), 'o_custkey', avg(o_custkey), var_pop(o_custkey) from orders group by 1), t
+"""
+
+
+@query("naive_bayes_fit", NB_SQL)
+def naive_bayes_fit(spark, sf):
+    return fits.naive_bayes(table(spark, sf, "orders"), ["o_totalprice", "o_custkey"], "o_orderstatus").select(
+        "label", F.round("prior", 6).alias("prior"), "feature", F.round("mean", 4).alias("mean"), F.round("variance", 2).alias("variance"))
+
+
+@query("naive_bayes_predict", """
+    with p as (select o_orderstatus as label, ln(count(*) / (select count(*) from orders)) as prior,
+                      avg(o_totalprice) as m1, var_pop(o_totalprice) as v1, avg(o_custkey) as m2, var_pop(o_custkey) as v2
+               from orders group by 1),
+    e as (select 1e-9 * greatest(max(v1), max(v2)) as eps from p),
+    s as (select o_orderkey, label, prior - 0.5 * ln(2 * pi() * (v1 + eps)) - pow(o_totalprice - m1, 2) / (2 * (v1 + eps))
+                 - 0.5 * ln(2 * pi() * (v2 + eps)) - pow(o_custkey - m2, 2) / (2 * (v2 + eps)) as score from orders, p, e)
+    select prediction, count(*) as n from (select o_orderkey, arg_max(label, score) as prediction from s group by 1) group by 1
+""")
+def naive_bayes_predict(spark, sf):
+    orders, features = table(spark, sf, "orders"), ["o_totalprice", "o_custkey"]
+    parameters = fits.naive_bayes(orders, features, "o_orderstatus")
+    return fits.naive_bayes_predict(orders, parameters, features).groupBy("prediction").agg(F.count("*").alias("n"))
+
+
+FOREST_FEATURES = ["c_acctbal", "c_nationkey", "n_orders"]
+
+
+@query("forest_fit")
+def forest_fit(spark, sf):
+    data = churn(spark, sf)
+    model = fits.forest(FOREST_FEATURES, "target", trees=300).fit(data)
+    return fits.importances(model, data, FOREST_FEATURES)
+
+
+@query("boosted_fit")
+def boosted_fit(spark, sf):
+    data = churn(spark, sf)
+    model = fits.boosted_classifier(FOREST_FEATURES, "target", rounds=20).fit(data)
+    return probabilities(model.transform(data), ["id"])
+
+
+@query("boosted_regression")
+def boosted_regression(spark, sf):
+    parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", F.length("p_name").alias("name_length"))
+    model = fits.boosted_regressor(["p_size", "p_partkey", "name_length"], "p_retailprice", rounds=20).fit(parts)
+    return metrics.regression(model.transform(parts), "p_retailprice", "prediction")
+
+
+@query("grid_search")
+def grid_search(spark, sf):
+    """Six numbers of rounds by six learning rates."""
+    parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    return fits.boosted_grid(
+        parts, ["p_partkey", "p_size"], "p_retailprice", ["p_partkey"], rounds=[2, 4, 6, 8, 10, 12],
+        rates=[0.05, 0.1, 0.2, 0.3, 0.4, 0.5], folds=3, depth=3)
+
+
+@query("grid_search_classes")
+def grid_search_classes(spark, sf):
+    """Cross-validated grid over rounds and depth, scored by F1."""
+    learner = GBTClassifier(labelCol="target", seed=0)
+    grid = fits.param_grid({learner.maxIter: [2, 5], learner.maxDepth: [1, 3]})
+    data = fits.assembler(FOREST_FEATURES).transform(churn(spark, sf))
+    evaluator = MulticlassClassificationEvaluator(labelCol="target", metricName="f1")
+    return fits.search(learner, grid, evaluator, data, ["id"])[1]
+
+
+@query("random_search")
+def random_search(spark, sf):
+    learner = GBTRegressor(labelCol="p_retailprice", maxDepth=3, seed=0)
+    grid = {learner.maxIter: [2, 5, 10, 15], learner.stepSize: [0.05, 0.1, 0.3, 0.5]}
+    data = fits.assembler(["p_partkey", "p_size"]).transform(table(spark, sf, "part"))
+    evaluator = RegressionEvaluator(labelCol="p_retailprice", metricName="rmse")
+    return fits.search(learner, fits.random_points(grid, 4, seed=7), evaluator, data, ["p_partkey"])[1]
+
+
+def _ratings(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey", "l_partkey").agg(
+        F.avg("l_quantity").alias("rating"))
+
+
+@query("factorize")
+def factorize(spark, sf):
+    ratings = _ratings(spark, sf)
+    model, users, items = fits.factorize(ratings, "o_custkey", "l_partkey", "rating", rank=10)
+    fitted = ratings.join(users, "o_custkey").join(items, "l_partkey").select(
+        F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating")
+    return metrics.regression(model.transform(fitted).withColumn("prediction", F.col("prediction").cast("double")), "rating", "prediction")
+
+
+@query("factor_tables")
+def factor_tables(spark, sf):
+    model, users, items = fits.factorize(_ratings(spark, sf), "o_custkey", "l_partkey", "rating", rank=10)
+    by_user, by_item = fits.factor_tables(model, users, items, "o_custkey", "l_partkey")
+    return by_user.withColumn("kind", F.lit("user")).unionByName(by_item.withColumn("kind", F.lit("item")))
+
+
+@query("select_features", " union all ".join(
+    f"select '{c}' as feature, round(corr({c}, l_extendedprice), 6) as corr from lineitem" for c in ("l_quantity", "l_discount", "l_tax")))
+def select_features(spark, sf):
+    return fits.rank_features(table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice").withColumn(
+        "corr", F.round("corr", 6))
+
+
+# ---- metrics: the price predicted from the quantity, the status from the price ---------------
+
+def _predicted_prices(spark, sf):
+    return table(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 1500 + 800).alias("p"))
+
+
+def _predicted_classes(spark, sf):
+    return table(spark, sf, "orders").select(
+        (F.col("o_orderstatus") == "F").cast("int").alias("a"), (F.col("o_totalprice") > 250000).cast("int").alias("p"),
+        F.col("o_totalprice").alias("score"))
+
+
+PRICES = "(select l_extendedprice as y, l_quantity * 1500 + 800 as p from lineitem)"
+CLASSES = "(select (o_orderstatus = 'F')::integer as a, (o_totalprice > 250000)::integer as p, o_totalprice as score from orders)"
+
+
+@query("m_r2_rmse", f"""
+    select round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) as r2, round(sqrt(avg((y - p) * (y - p))), 4) as rmse from {PRICES}
+""")
+def m_r2_rmse(spark, sf):
+    return metrics.regression(_predicted_prices(spark, sf), "y", "p").select(
+        F.round("r2", 6).alias("r2"), F.round("rmse", 4).alias("rmse"))
+
+
+@query("m_mape", f"select round(avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)), 6) as mape from {PRICES}")
+def m_mape(spark, sf):
+    return metrics.mape(_predicted_prices(spark, sf), "y", "p").withColumn("mape", F.round("mape", 6))
+
+
+@query("m_confusion", f"""
+    with l as (select distinct a as v from {CLASSES} union select distinct p from {CLASSES}),
+    c as (select a, p, count(*) as n from {CLASSES} group by 1, 2)
+    select x.v as actual, z.v as predicted, coalesce(n, 0) as n from l x cross join l z left join c on c.a = x.v and c.p = z.v
+""")
+def m_confusion(spark, sf):
+    return metrics.confusion(_predicted_classes(spark, sf), "a", "p")
+
+
+@query("m_class", f"""
+    with c as (select sum((a = 1 and p = 1)::int) as tp, sum((a = 0 and p = 1)::int) as fp, sum((a = 1 and p = 0)::int) as fn,
+                      sum((a = p)::int) as ok, count(*) as n from {CLASSES})
+    select round(ok / n, 6) as accuracy, round(tp / (tp + fp), 6) as "precision", round(tp / (tp + fn), 6) as recall,
+           round(2 * tp / (2 * tp + fp + fn), 6) as f1 from c
+""")
+def m_class(spark, sf):
+    found = metrics.classification(_predicted_classes(spark, sf), "a", "p")
+    return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
+
+
+@query("m_auc", f"""
+    with s as (select score, sum((a = 1)::int) as pos, sum((a <> 1)::int) as neg from {CLASSES} group by 1),
+    r as (select pos, neg, sum(neg) over (order by score) as upto from s)
+    select round(sum(pos * (upto - neg / 2)) / (sum(pos) * sum(neg)), 6) as auc from r
+""")
+def m_auc(spark, sf):
+    return metrics.auc(_predicted_classes(spark, sf), "a", "score").withColumn("auc", F.round("auc", 6))
+
+
+@query("m_auc_labels", f"""
+    with s as (select p, sum((a = 1)::int) as pos, sum((a <> 1)::int) as neg from {CLASSES} group by 1),
+    r as (select pos, neg, sum(neg) over (order by p) as upto from s)
+    select round(sum(pos * (upto - neg / 2)) / (sum(pos) * sum(neg)), 6) as auc from r
+""")
+def m_auc_labels(spark, sf):
+    """The same area computed from hard labels."""
+    return metrics.auc(_predicted_classes(spark, sf), "a", "p").withColumn("auc", F.round("auc", 6))
+
+
+@query("residuals", f"""
+    with r as (select y - p as v from {PRICES}), e as (select min(v) as low, (max(v) - min(v)) / 50 as w from r),
+    b as (select least(floor((v - low) / w), 49)::integer as bin, count(*) as n from r, e group by 1)
+    select g.bin::integer as bin, round(low + g.bin * w, 3) as low, round(low + (g.bin + 1) * w, 3) as high, coalesce(n, 0) as n
+    from (select unnest(range(50)) as bin) g left join b on g.bin = b.bin, e
+""")
+def residuals(spark, sf):
+    return metrics.residual_histogram(_predicted_prices(spark, sf), "y", "p", 50).withColumns(
+        {"low": F.round("low", 3), "high": F.round("high", 3)})

@@ -1 +1,149 @@
-"""To come."""
+"""Approximate aggregates. Estimates have no SQL twin; ``exact_vs_approx`` checks their error bounds."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.operators import sketches as sk
+from millrace.operators.rangebuckets import exact_quantiles
+from millrace.plans.registry import query
+from millrace.session import scratch_dir, table
+from millrace.sources.writers import write
+
+
+def _monthly(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_partkey", "l_extendedprice", F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+
+
+@query("approx_distinct")
+def approx_distinct(spark, sf):
+    return table(spark, sf, "lineitem").agg(
+        F.approx_count_distinct("l_orderkey", 0.02).alias("orders"), F.approx_count_distinct("l_partkey", 0.02).alias("parts"))
+
+
+@query("hll_accumulate")
+def hll_accumulate(spark, sf):
+    states = sk.hll_accumulate(_monthly(spark, sf), "l_partkey", ["month"])
+    return states.select("month", F.length("sketch").alias("bytes"))
+
+
+@query("hll_combine")
+def hll_combine(spark, sf):
+    states = sk.hll_accumulate(_monthly(spark, sf), "l_partkey", ["l_returnflag", "month"])
+    return sk.hll_estimate(sk.hll_combine(states, ["l_returnflag"]))
+
+
+@query("hll_estimate")
+def hll_estimate(spark, sf):
+    return sk.hll_estimate(sk.hll_accumulate(_monthly(spark, sf), "l_partkey", ["month"]))
+
+
+@query("hll_export_import")
+def hll_export_import(spark, sf):
+    """States stored as binary values, read back and merged."""
+    stored = write(sk.hll_accumulate(_monthly(spark, sf), "l_partkey", ["month"]), scratch_dir(spark, "hll"))
+    return sk.hll_estimate(sk.hll_combine(stored))
+
+
+@query("approx_quantile")
+def approx_quantile(spark, sf):
+    return table(spark, sf, "lineitem").agg(
+        F.percentile_approx("l_extendedprice", 0.5, 10_000).alias("median"),
+        F.percentile_approx("l_extendedprice", 0.95, 10_000).alias("p95"))
+
+
+@query("quantile_accumulate")
+def quantile_accumulate(spark, sf):
+    states = sk.quantile_accumulate(_monthly(spark, sf), "l_extendedprice", ["month"])
+    return states.select("month", F.kll_sketch_get_n_double("sketch").alias("n"))
+
+
+@query("quantile_combine")
+def quantile_combine(spark, sf):
+    states = sk.quantile_accumulate(_monthly(spark, sf), "l_extendedprice", ["l_returnflag", "month"])
+    return sk.quantile_estimate(sk.quantile_combine(states, ["l_returnflag"]), {"median": 0.5, "p95": 0.95})
+
+
+@query("quantile_estimate")
+def quantile_estimate(spark, sf):
+    return sk.quantile_estimate(sk.quantile_accumulate(_monthly(spark, sf), "l_extendedprice", ["month"]), {"median": 0.5})
+
+
+@query("quantile_exact", """
+    select quantile_cont(l_extendedprice, 0.25) as q1, median(l_extendedprice) as q2, quantile_cont(l_extendedprice, 0.99) as q99 from lineitem
+""")
+def quantile_exact(spark, sf):
+    return exact_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", {"q1": 0.25, "q2": 0.5, "q99": 0.99})
+
+
+@query("minhash")
+def minhash(spark, sf):
+    return sk.minhash_signature(_monthly(spark, sf), "l_partkey", ["l_returnflag"], k=64)
+
+
+@query("minhash_combine")
+def minhash_combine(spark, sf):
+    states = sk.minhash_signature(_monthly(spark, sf), "l_partkey", ["l_returnflag", "month"], k=64)
+    return sk.minhash_combine(states, ["l_returnflag"], k=64)
+
+
+@query("approx_similarity")
+def approx_similarity(spark, sf):
+    states = sk.minhash_signature(_monthly(spark, sf), "l_partkey", ["l_returnflag"], k=128)
+    return sk.signature_similarity(states, k=128)
+
+
+@query("approx_topk")
+def approx_topk(spark, sf):
+    return table(spark, sf, "events").agg(F.expr("approx_top_k(user_id, 10, 10000)").alias("top")).select(
+        F.inline("top").alias("user_id", "n"))
+
+
+@query("topk_accumulate")
+def topk_accumulate(spark, sf):
+    states = sk.topk_accumulate(table(spark, sf, "events"), "user_id", ["event_type"])
+    return sk.topk_estimate(states, 3)
+
+
+@query("topk_combine")
+def topk_combine(spark, sf):
+    states = sk.topk_accumulate(table(spark, sf, "events"), "user_id", ["event_type"])
+    return sk.topk_estimate(sk.topk_combine(states), 10)
+
+
+@query("topk_estimate", """
+    select event_type as item, count(*) as n from events group by 1 order by n desc, item limit 5
+""")
+def topk_estimate(spark, sf):
+    """With fewer distinct values than counters the sketch holds exact counts."""
+    states = sk.topk_accumulate(table(spark, sf, "events"), "event_type", ["user_id"], max_items=100)
+    return sk.topk_estimate(sk.topk_combine(states, max_items=100), 5)
+
+
+EXACT_SQL = """
+    select l_returnflag, count(distinct l_partkey) as exact_parts, median(l_extendedprice) as exact_median,
+           true as distinct_ok, true as merged_ok, true as median_ok, true as kll_ok
+    from lineitem group by 1
+"""
+
+
+@query("exact_vs_approx", EXACT_SQL)
+def exact_vs_approx(spark, sf):
+    """Exact and approximate results side by side, with whether each error is within its bound."""
+    lines = _monthly(spark, sf)
+    by = ["l_returnflag"]
+    exact = lines.groupBy(*by).agg(F.countDistinct("l_partkey").alias("exact_parts"))
+    medians = exact_quantiles(lines, "l_extendedprice", {"exact_median": 0.5}, by=by)
+    rough = lines.groupBy(*by).agg(
+        F.approx_count_distinct("l_partkey", 0.02).alias("hll"), F.percentile_approx("l_extendedprice", 0.5, 10_000).alias("rough_median"))
+    merged = sk.hll_estimate(sk.hll_combine(sk.hll_accumulate(lines, "l_partkey", [*by, "month"]), by), "merged")
+    kll = sk.quantile_estimate(sk.quantile_combine(sk.quantile_accumulate(lines, "l_extendedprice", [*by, "month"]), by), {"kll": 0.5})
+
+    def close(estimate, exactly, bound):
+        return F.abs(F.col(estimate) - F.col(exactly)) <= F.lit(bound) * F.col(exactly)
+
+    return exact.join(medians, by).join(rough, by).join(merged, by).join(kll, by).select(
+        *by, "exact_parts", "exact_median", close("hll", "exact_parts", 0.08).alias("distinct_ok"),
+        close("merged", "exact_parts", 0.08).alias("merged_ok"), close("rough_median", "exact_median", 0.05).alias("median_ok"),
+        close("kll", "exact_median", 0.05).alias("kll_ok"))

@@ -43,7 +43,7 @@ class VersionedTable:
         """Committed versions, oldest first."""
         found = [c.split("=", 1)[1] for c in children(self.spark, self.path) if c.startswith("version=")]
         done = [v for v in found if exists(self.spark, f"{self._folder(v)}/_SUCCESS")]
-        return sorted(done, key=_natural)
+        return sorted(done, key=natural_order)
 
     def latest(self) -> str | None:
         return (self.versions() or [None])[-1]
@@ -79,7 +79,7 @@ class VersionedTable:
         return self.write_next(delete_where(self.read(), where))
 
 
-def _natural(version: str) -> list:
+def natural_order(version: str) -> list:
     return [int(part) if part.isdigit() else part for part in re.split(r"(\d+)", version)]
 
 
