@@ -105,8 +105,9 @@ class RobustScaler(Transformer):
 
     def fit(self, df):
         if self.exact:
-            probs = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-            self.stats = {c: exact_quantiles(df, c, probs).first().asDict() for c in self.input_cols}
+            quartiles = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+            row = exact_quantiles(df, {f"{q}|{c}": (c, p) for c in self.input_cols for q, p in quartiles.items()}).first()
+            self.stats = {c: {q: row[f"{q}|{c}"] for q in quartiles} for c in self.input_cols}
         else:
             found = self._stats(df, q=lambda c: F.percentile_approx(c, [0.25, 0.5, 0.75]))
             self.stats = {c: dict(zip(("q1", "q2", "q3"), s["q"])) for c, s in found.items()}
@@ -239,11 +240,9 @@ class KBinsDiscretizer(Transformer):
             stats = self._stats(df, low=F.min, high=F.max)
             self.edges = {c: [s["low"] + (s["high"] - s["low"]) * p for p in inner] for c, s in stats.items()}
         elif self.strategy == "quantile":
-            names = {f"q{i}": p for i, p in enumerate(inner)}
-            self.edges = {}
-            for c in self.input_cols:
-                row = exact_quantiles(df, c, names).first()
-                self.edges[c] = sorted({row[n] for n in names})
+            wanted = {f"q{i}|{c}": (c, p) for c in self.input_cols for i, p in enumerate(inner)}
+            row = exact_quantiles(df, wanted).first()
+            self.edges = {c: sorted({row[f"q{i}|{c}"] for i in range(len(inner))}) for c in self.input_cols}
         else:
             raise ValueError(f"unknown strategy: {self.strategy}")
         return self

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark.ml import Pipeline as MlPipeline
@@ -139,7 +140,7 @@ def with_folds(df: DataFrame, keys: Sequence[str], folds: int, seed: int = 0, na
 
 
 def search(estimator, param_maps: list[dict], evaluator, df: DataFrame, keys: Sequence[str], folds: int = 3,
-           seed: int = 0, parallelism: int = 4):
+           seed: int = 0, parallelism: int = 8):
     """Cross-validated search. Returns the refitted best model and one row of mean score per point."""
     folded = with_folds(df, keys, folds, seed)
     fitted = CrossValidator(
@@ -164,7 +165,7 @@ def random_points(grid: dict, n: int, seed: int) -> list[dict]:
 
 
 def boosted_grid(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], rounds: Sequence[int],
-                 rates: Sequence[float], folds: int = 3, depth: int = 5, seed: int = 0) -> DataFrame:
+                 rates: Sequence[float], folds: int = 3, depth: int = 5, seed: int = 0, parallelism: int = 8) -> DataFrame:
     """Cross-validated squared error for every (rounds, rate).
 
     The first n trees of a boosted model are the model of n rounds, so each rate is fitted once per
@@ -172,15 +173,19 @@ def boosted_grid(df: DataFrame, features: Sequence[str], label: str, keys: Seque
     """
     folded = assembler(features).transform(with_folds(df, keys, folds, seed)).select("features", label, "fold")
     folded = folded.persist()
-    scores: dict[tuple, float] = {}
-    for rate, fold in product(rates, range(folds)):
+
+    def errors(rate: float, fold: int) -> list[float]:
         learner = GBTRegressor(labelCol=label, maxIter=max(rounds), stepSize=rate, maxDepth=depth, seed=seed)
         model = learner.fit(folded.where(F.col("fold") != fold))
-        errors = model.evaluateEachIteration(folded.where(F.col("fold") == fold), "squared")
-        for n in rounds:
-            scores[n, rate] = scores.get((n, rate), 0.0) + float(errors[n - 1]) / folds
+        return list(model.evaluateEachIteration(folded.where(F.col("fold") == fold), "squared"))
+
+    # Fits are independent jobs, so several are submitted at a time, as a cross-validator does.
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = {point: pool.submit(errors, *point) for point in product(rates, range(folds))}
+        found = {point: future.result() for point, future in found.items()}
     folded.unpersist()
-    return df_from(df, [(n, rate, s) for (n, rate), s in scores.items()], "rounds int, rate double, mse double")
+    rows = [(n, rate, sum(float(found[rate, fold][n - 1]) for fold in range(folds)) / folds) for n in rounds for rate in rates]
+    return df_from(df, rows, "rounds int, rate double, mse double")
 
 
 def factorize(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 10, iterations: int = 10,

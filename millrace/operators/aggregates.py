@@ -23,10 +23,8 @@ def share_of_total(grouped: DataFrame, measure: str, name: str = "share") -> Dat
 
 def group_summary(df: DataFrame, by: Sequence[str], aggregates: Sequence[Column], medians: dict[str, str]) -> DataFrame:
     """Ordinary aggregates together with exact medians, without holding a group in one task."""
-    out = df.groupBy(*by).agg(*aggregates)
-    for name, column in medians.items():
-        out = null_safe_join(out, exact_quantiles(df, column, {name: 0.5}, by=by), by, "left")
-    return out
+    found = exact_quantiles(df, {name: (column, 0.5) for name, column in medians.items()}, by=by)
+    return null_safe_join(df.groupBy(*by).agg(*aggregates), found, by, "left")
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

@@ -69,7 +69,7 @@ def _nearest(left, right, keys, left_ts, right_ts, payload, backward, allow_equa
     probes = left.select(*keys, F.col(left_ts).cast(dtype).alias("_t")).dropna().distinct().withColumn("_b", bucket)
     source = right.select(*keys, F.col(right_ts).alias("_t"), payload.alias("_hit")).withColumn("_b", bucket)
 
-    # One carried row per (key, bucket): at most `buckets` rows per key, however heavy the key is.
+    # One carried row per (key, bucket): at most one per bucket and key, however heavy the key is.
     nothing = F.lit(None).cast(source.schema["_hit"].dataType)
     # Forward: the first in time, but the greatest among equal times.
     edge = F.max("_hit") if backward else F.max_by("_hit", F.struct(_negated("_hit._rt", dtype), F.col("_hit")))

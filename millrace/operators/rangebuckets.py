@@ -9,6 +9,7 @@ results are exact for any choice of them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 from millrace.session import shuffle_width
 
 _SAMPLE_PER_BUCKET = 16
+FINE = 64
+MAX_BROADCAST_ROWS = 20_000
 
 
 def split_points(df: DataFrame, column: str, buckets: int) -> list:
@@ -41,8 +44,13 @@ def split_points(df: DataFrame, column: str, buckets: int) -> list:
     return sorted({values[int(f * len(values))] for f in fractions}) if values else []
 
 
-def bucket_of(value: Column, points: Sequence, dtype: T.DataType) -> Column:
-    """Number of boundaries at or below ``value``, as a balanced tree of comparisons."""
+def bucket_of(value: Column, points: Sequence, dtype: T.DataType, fine: int = FINE) -> Column:
+    """Range bucket of ``value``: a number that never decreases as the value grows.
+
+    A balanced tree of comparisons finds the two boundaries around the value; for numbers, dates and
+    times the range between them is cut further into ``fine`` equal widths by arithmetic, which
+    multiplies the number of buckets without more boundaries or another pass.
+    """
 
     def literal(point) -> Column:
         if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -55,7 +63,40 @@ def bucket_of(value: Column, points: Sequence, dtype: T.DataType) -> Column:
         mid = (low + high) // 2
         return F.when(value < literal(points[mid]), tree(low, mid)).otherwise(tree(mid + 1, high))
 
-    return tree(0, len(points))
+    coarse = tree(0, len(points))
+    marks = [_point_number(p, dtype) for p in points]
+    if fine <= 1 or not marks or marks[0] is None:
+        return coarse
+    ladder = F.array(*[F.lit(m) for m in marks])
+    below, above = F.get(ladder, coarse - 1), F.get(ladder, coarse)
+    width = F.when(above > below, above - below)  # NULL outside the outermost boundaries
+    step = F.floor((_number(value, dtype) - below) / width * F.lit(float(fine)))
+    return coarse * F.lit(fine) + F.greatest(F.lit(0), F.least(F.coalesce(step, F.lit(0)), F.lit(fine - 1))).cast("int")
+
+
+def _number(value: Column, dtype: T.DataType) -> Column:
+    """The value as a double that grows with it; seconds for times, days for dates."""
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(value) / F.lit(1e6)
+    if isinstance(dtype, T.TimestampNTZType):
+        # Field by field: going through a zoned timestamp could run backwards at a clock change.
+        day = F.unix_date(value.cast("date")).cast("double")
+        return day * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+    return value.cast("double")
+
+
+def _point_number(point, dtype: T.DataType) -> float | None:
+    if isinstance(dtype, T.NumericType):
+        return float(point)
+    if isinstance(dtype, T.DateType):
+        return float((point - date(1970, 1, 1)).days)
+    if isinstance(dtype, T.TimestampType):
+        return point.timestamp()
+    if isinstance(dtype, T.TimestampNTZType):
+        return (point - datetime(1970, 1, 1)).total_seconds()
+    return None
 
 
 def with_bucket(df: DataFrame, column: str, buckets: int | None = None, name: str = "_bucket",
@@ -88,7 +129,7 @@ def running_sums(df: DataFrame, order_by: str, sums: dict[str, str], by: Sequenc
     cut = with_bucket(df, order_by, buckets, points=points)
     keys = [*by, "_bucket"]
     totals = cut.groupBy(*keys).agg(*[F.sum(w).alias(f"_t_{o}") for o, w in sums.items()])
-    # One row per bucket here, so this window holds at most `buckets` rows per group.
+    # One row per bucket here, so this window holds at most `buckets * FINE` rows per group.
     earlier = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys, *[F.coalesce(F.sum(f"_t_{o}").over(earlier), F.lit(0)).alias(f"_o_{o}") for o in sums]
@@ -112,54 +153,75 @@ def dense_ids(df: DataFrame, column: str, id_name: str, start: int = 0, buckets:
     return counted.select(column, (F.col(id_name) - 1 + start).alias(id_name))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float] | dict[str, float], by: Sequence[str] = (),
+def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], by: Sequence[str] = (),
                     buckets: int | None = None) -> DataFrame:
-    """Exact interpolated quantiles, one row per group and one column per probability.
+    """Exact interpolated quantiles: one row per group, one column per ``{name: (column, probability)}``.
 
-    Pass one counts rows per (group, range bucket), a small shuffle. Only the rows of the bucket
-    that holds a wanted rank are then grouped by value, so no task ever sees a whole group.
+    Pass one counts rows per (group, column, range bucket), a small shuffle. Only the rows of a
+    bucket that holds a wanted rank are then counted by value, so no task ever sees a whole group,
+    and equal values are combined before they are shuffled. All columns share both passes.
     """
-    named = probs if isinstance(probs, dict) else {f"q{p:g}".replace(".", "_"): p for p in probs}
-    by = list(by)
-    keys = [*by, "_bucket"]
-    data = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
-    points = split_points(data, "_v", buckets or shuffle_width(df.sparkSession))
-    cut = with_bucket(data, "_v", points=points)
-
-    totals = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(*(by or [F.lit(0)]))
+    by, columns = list(by), list(dict.fromkeys(c for c, _ in wanted.values()))
+    keys = [*by, "_column", "_bucket"]
+    points = _split_points_of(df, columns, buckets or shuffle_width(df.sparkSession))
+    cells = [
+        F.struct(F.lit(i).alias("_column"), F.col(c).cast("double").alias("_v"),
+                 bucket_of(F.col(c).cast("double"), points[c], T.DoubleType()).alias("_bucket"))
+        for i, c in enumerate(columns)
+    ]
+    cell = F.explode(F.array(*cells)) if len(cells) > 1 else cells[0]
+    cut = df.select(*by, cell.alias("_cell")).select(*by, "_cell.*").where(F.col("_v").isNotNull())
+
+    group = Window.partitionBy(*by, "_column")
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = totals.select(
-        *keys, F.sum("_n").over(group).alias("_all"), (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), "_n"
+    ranks = F.array(*[
+        F.struct(F.lit(columns.index(c)).alias("column"), F.lit(name).alias("name"), F.lit(side).alias("side"),
+                 rounding(F.lit(float(p)) * (F.col("_all") - 1)).cast("long").alias("rank"))
+        for name, (c, p) in wanted.items() for side, rounding in (("lo", F.floor), ("hi", F.ceil))
+    ])
+    # At most `buckets * FINE` rows per group and column go through these windows.
+    targets = (
+        cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        .select(*keys, "_n", F.sum("_n").over(group).alias("_all"), (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
+        .withColumn("_ranks", F.filter(ranks, lambda r: (r["column"] == F.col("_column")) & (r["rank"] >= F.col("_before"))
+                                       & (r["rank"] < F.col("_before") + F.col("_n"))))
+        .where(F.size("_ranks") > 0)
+        .select(*keys, "_all", "_before", "_ranks")
     )
-    wanted = ranked.withColumn(
-        "_w",
-        F.explode(F.array(*[
-            F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"),
-                     func(F.lit(float(p)) * (F.col("_all") - 1)).cast("long").alias("rank"))
-            for name, p in named.items()
-            for side, func in (("lo", F.floor), ("hi", F.ceil))
-        ])),
-    ).where("_w.rank >= _before and _w.rank < _before + _n").select(*keys, "_all", "_before", "_w.*")
-
-    near = null_safe_join(cut, wanted.select(*keys).distinct(), keys, "left_semi")
+    targets = broadcast_if_small(targets)
+    near = null_safe_join(cut, targets.select(*keys), keys)
     counts = near.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     inside = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("_upto", F.sum("_c").over(inside))
-    hits = null_safe_join(placed, wanted, keys).where(
-        "rank >= _before + _upto - _c and rank < _before + _upto"
-    )
+    placed = null_safe_join(counts.withColumn("_upto", F.sum("_c").over(inside)), targets, keys)
+    end = F.col("_before") + F.col("_upto")
+    hits = placed.select(
+        *by, "_v", "_all", F.explode(F.filter("_ranks", lambda r: (r["rank"] >= end - F.col("_c")) & (r["rank"] < end))).alias("_r"))
 
-    def pick(name: str, side: str) -> Column:
-        return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("_v")))
+    def pick(name: str, field: str, side: str) -> Column:
+        return F.max(F.when((F.col("_r.name") == name) & (F.col("_r.side") == side), F.col(field)))
 
-    sides = hits.groupBy(*by).agg(
-        F.max("_all").alias("_all"),
-        *[pick(n, s).cast("double").alias(f"_{s}_{n}") for n in named for s in ("lo", "hi")],
-    )
+    sides = hits.groupBy(*by).agg(*[
+        pick(n, f, s).alias(f"_{f}{s}_{n}") for n in wanted for f, s in (("_v", "lo"), ("_v", "hi"), ("_all", "lo"))])
     out = []
-    for name, p in named.items():
-        position = F.lit(float(p)) * (F.col("_all") - 1)
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+    for name, (_, p) in wanted.items():
+        low, high, n = F.col(f"__vlo_{name}"), F.col(f"__vhi_{name}"), F.col(f"__alllo_{name}")
+        position = F.lit(float(p)) * (n - 1)
         out.append((low + (high - low) * (position - F.floor(position))).alias(name))
     return sides.select(*by, *out)
+
+
+def broadcast_if_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Compute a frame that is expected to be tiny. If it is, join it by broadcast; otherwise leave it
+    as it is, to be joined by a shuffle."""
+    rows = df.limit(limit + 1).collect()
+    return df if len(rows) > limit else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def _split_points_of(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list]:
+    """Boundaries of several numeric columns from one pass."""
+    if buckets <= 1:
+        return {c: [] for c in columns}
+    fractions = [i / buckets for i in range(1, buckets)]
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), fractions, 10_000).alias(f"p{i}")
+                   for i, c in enumerate(columns)]).first()
+    return {c: sorted(set(row[f"p{i}"] or [])) for i, c in enumerate(columns)}

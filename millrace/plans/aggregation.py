@@ -72,7 +72,7 @@ def agg_ratio(spark, sf):
 
 @query("agg_median", "select l_returnflag, median(l_extendedprice) as median_price from lineitem group by 1")
 def agg_median(spark, sf):
-    return exact_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", {"median_price": 0.5}, by=["l_returnflag"])
+    return exact_quantiles(table(spark, sf, "lineitem"), {"median_price": ("l_extendedprice", 0.5)}, by=["l_returnflag"])
 
 
 @query("agg_count_distinct", """

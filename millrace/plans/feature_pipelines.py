@@ -85,7 +85,7 @@ RETURNS_SQL = """
 
 RAW_SQL = """
     select o_orderkey, coalesce(o_custkey, 0) as o_custkey, coalesce(o_orderdate::date, date '1970-01-01')::varchar as order_date,
-           l_partkey, round(l_extendedprice / l_quantity, 6) as price, l_quantity, coalesce(or_return_quantity, 0.0) as or_return_quantity
+           l_partkey, l_extendedprice / l_quantity as price, l_quantity, coalesce(or_return_quantity, 0.0) as or_return_quantity
     from lineitem {how} join (""" + RETURNS_SQL + """) on l_orderkey = or_order_id and l_partkey = or_product_id
     join orders on l_orderkey = o_orderkey
 """
@@ -113,7 +113,7 @@ def order_lines(spark, sf, all_lines: bool) -> DataFrame:
 
 
 def _shown(lines: DataFrame) -> DataFrame:
-    return lines.withColumns({"order_date": F.col("order_date").cast("string"), "price": F.round("price", 6)})
+    return lines.withColumn("order_date", F.col("order_date").cast("string"))
 
 
 @query("feat_raw_join", RAW_SQL.format(how=""))

@@ -154,8 +154,7 @@ def join_asof_tolerance(spark, sf):
     group by 1, 2
 """)
 def join_asof_equal(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "user_id", (F.date_trunc("day", "ts").cast("timestamp_ntz")
-                                               - F.expr("INTERVAL 9000 DAYS")).alias("day"))
+    events = table(spark, sf, "events").select("event_id", "user_id", F.date_sub(F.to_date("ts"), 9000).cast("timestamp_ntz").alias("day"))
     orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("user_id"), "o_orderdate", "o_orderkey")
     matched = join_asof(events, orders, "user_id", "day", "o_orderdate", columns=["o_orderkey"], direction="equal")
     return matched.select("event_id", "user_id", F.col("o_orderkey").isNotNull().alias("on_an_order_day"))

@@ -74,7 +74,7 @@ def quantile_estimate(spark, sf):
     select quantile_cont(l_extendedprice, 0.25) as q1, median(l_extendedprice) as q2, quantile_cont(l_extendedprice, 0.99) as q99 from lineitem
 """)
 def quantile_exact(spark, sf):
-    return exact_quantiles(table(spark, sf, "lineitem"), "l_extendedprice", {"q1": 0.25, "q2": 0.5, "q99": 0.99})
+    return exact_quantiles(table(spark, sf, "lineitem"), {f"q{n}": ("l_extendedprice", p) for n, p in ((1, 0.25), (2, 0.5), (99, 0.99))})
 
 
 @query("minhash")
@@ -134,7 +134,7 @@ def exact_vs_approx(spark, sf):
     lines = _monthly(spark, sf)
     by = ["l_returnflag"]
     exact = lines.groupBy(*by).agg(F.countDistinct("l_partkey").alias("exact_parts"))
-    medians = exact_quantiles(lines, "l_extendedprice", {"exact_median": 0.5}, by=by)
+    medians = exact_quantiles(lines, {"exact_median": ("l_extendedprice", 0.5)}, by=by)
     rough = lines.groupBy(*by).agg(
         F.approx_count_distinct("l_partkey", 0.02).alias("hll"), F.percentile_approx("l_extendedprice", 0.5, 10_000).alias("rough_median"))
     merged = sk.hll_estimate(sk.hll_combine(sk.hll_accumulate(lines, "l_partkey", [*by, "month"]), by), "merged")

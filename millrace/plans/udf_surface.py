@@ -12,12 +12,10 @@ from millrace.functions.udfs import (
 )
 from millrace.operators.semistruct import dot
 from millrace.plans.registry import query
-from millrace.session import scratch_dir, table
+from millrace.session import scratch_dir, shuffle_width, table
 from millrace.sources.readers import generate_rows, uniform_int
 from millrace.sources.writers import write
 
-SALTS = 16
-
 CIRCLE_SQL = "select p_partkey, round(2 * pi() * p_size, 6) as circumference from part"
 
 
@@ -167,7 +165,7 @@ def udtf_partition(spark, sf):
     """State per partition. A key is split by a salt first, so no key is one task's whole work."""
     spark.udtf.register("partition_totals", PartitionTotals)
     table(spark, sf, "events").select(
-        F.col("event_type").alias("key"), "value", F.pmod(F.xxhash64("event_id"), F.lit(SALTS)).alias("salt")
+        F.col("event_type").alias("key"), "value", F.pmod(F.xxhash64("event_id"), F.lit(shuffle_width(spark))).alias("salt")
     ).createOrReplaceTempView("keyed_values")
     partial = spark.sql("SELECT key, n, total FROM partition_totals(TABLE(keyed_values) PARTITION BY (key, salt))")
     return partial.groupBy("key").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"))
