@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.rangebuckets import bucket_of, split_points
+from millrace.operators.rangebuckets import split_points, with_bucket
 from millrace.session import shuffle_width
 
 
@@ -60,14 +60,15 @@ def _nearest(left, right, keys, left_ts, right_ts, payload, backward, allow_equa
     """(key, time, nearest right row) for each distinct (key, time) of the left side that has one."""
     dtype = right.schema[right_ts].dataType
     points = split_points(right, right_ts, buckets or shuffle_width(right.sparkSession))
-    bucket = bucket_of(F.col("_t"), points, dtype)
-    if not backward:
-        bucket = F.lit(0) - bucket
 
+    def bucketed(rows):
+        rows = with_bucket(rows, "_t", points, "_b")
+        return rows if backward else rows.withColumn("_b", -F.col("_b"))
+
+    probes = bucketed(left.select(*keys, F.col(left_ts).cast(dtype).alias("_t")).dropna().distinct())
+    source = bucketed(right.select(*keys, F.col(right_ts).alias("_t"), payload.alias("_hit")))
     # `_side` settles equal times: a right row sorts before the probe if equality counts, else after.
     probe_side, right_side = (1, 0) if allow_equal else (0, 1)
-    probes = left.select(*keys, F.col(left_ts).cast(dtype).alias("_t")).dropna().distinct().withColumn("_b", bucket)
-    source = right.select(*keys, F.col(right_ts).alias("_t"), payload.alias("_hit")).withColumn("_b", bucket)
 
     # One carried row per (key, bucket): at most one per bucket and key, however heavy the key is.
     nothing = F.lit(None).cast(source.schema["_hit"].dataType)

@@ -19,17 +19,20 @@ from millrace.session import shuffle_width
 
 _SAMPLE_PER_BUCKET = 16
 FINE = 64
+# Boundaries only balance the work, so they are taken from a sample; results never depend on them.
+_BOUNDARY_SAMPLE = 0.05
 MAX_BROADCAST_ROWS = 20_000
 
 
 def split_points(df: DataFrame, column: str, buckets: int) -> list:
-    """At most ``buckets - 1`` boundary values that cut ``column`` into even ranges."""
+    """At most ``buckets - 1`` boundary values that cut ``column`` into about even ranges."""
     if buckets <= 1:
         return []
     dtype = df.schema[column].dataType
     fractions = [i / buckets for i in range(1, buckets)]
     if isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        found = df.agg(F.percentile_approx(column, fractions, 10_000).alias("p")).first()["p"] or []
+        sample = df.select(column).sample(_BOUNDARY_SAMPLE, seed=0)
+        found = sample.agg(F.percentile_approx(column, fractions, 10_000).alias("p")).first()["p"] or []
         return sorted(set(found))
     # No percentile for strings: the labels with the smallest hashes are an even sample of them.
     sample = (
@@ -44,13 +47,8 @@ def split_points(df: DataFrame, column: str, buckets: int) -> list:
     return sorted({values[int(f * len(values))] for f in fractions}) if values else []
 
 
-def bucket_of(value: Column, points: Sequence, dtype: T.DataType, fine: int = FINE) -> Column:
-    """Range bucket of ``value``: a number that never decreases as the value grows.
-
-    A balanced tree of comparisons finds the two boundaries around the value; for numbers, dates and
-    times the range between them is cut further into ``fine`` equal widths by arithmetic, which
-    multiplies the number of buckets without more boundaries or another pass.
-    """
+def _coarse_bucket(value: Column, points: Sequence, dtype: T.DataType) -> Column:
+    """Number of boundaries at or below ``value``, as a balanced tree of comparisons."""
 
     def literal(point) -> Column:
         if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -63,15 +61,15 @@ def bucket_of(value: Column, points: Sequence, dtype: T.DataType, fine: int = FI
         mid = (low + high) // 2
         return F.when(value < literal(points[mid]), tree(low, mid)).otherwise(tree(mid + 1, high))
 
-    coarse = tree(0, len(points))
-    marks = [_point_number(p, dtype) for p in points]
-    if fine <= 1 or not marks or marks[0] is None:
-        return coarse
-    ladder = F.array(*[F.lit(m) for m in marks])
+    return tree(0, len(points))
+
+
+def _fine_bucket(coarse: Column, number: Column, ladder: Column) -> Column:
+    """Cut the range between two boundaries into equal widths, by arithmetic."""
     below, above = F.get(ladder, coarse - 1), F.get(ladder, coarse)
     width = F.when(above > below, above - below)  # NULL outside the outermost boundaries
-    step = F.floor((_number(value, dtype) - below) / width * F.lit(float(fine)))
-    return coarse * F.lit(fine) + F.greatest(F.lit(0), F.least(F.coalesce(step, F.lit(0)), F.lit(fine - 1))).cast("int")
+    step = F.coalesce(F.floor((number - below) / width * F.lit(float(FINE))), F.lit(0))
+    return coarse * F.lit(FINE) + F.greatest(F.lit(0), F.least(step, F.lit(FINE - 1))).cast("int")
 
 
 def _number(value: Column, dtype: T.DataType) -> Column:
@@ -99,11 +97,21 @@ def _point_number(point, dtype: T.DataType) -> float | None:
     return None
 
 
-def with_bucket(df: DataFrame, column: str, buckets: int | None = None, name: str = "_bucket",
-                points: Sequence | None = None) -> DataFrame:
-    if points is None:
-        points = split_points(df, column, buckets or shuffle_width(df.sparkSession))
-    return df.withColumn(name, bucket_of(F.col(column), points, df.schema[column].dataType))
+def with_bucket(df: DataFrame, column: str, points: Sequence, name: str = "_bucket") -> DataFrame:
+    """Add the range bucket of ``column``: a number that never decreases as the value grows.
+
+    A tree of comparisons finds the boundaries around the value. For numbers, dates and times the
+    range between them is cut further, which multiplies the buckets without another pass. The tree
+    is a column of its own, so that it is evaluated once.
+    """
+    dtype = df.schema[column].dataType
+    coarse = _coarse_bucket(F.col(column), points, dtype)
+    marks = [_point_number(p, dtype) for p in points]
+    if not marks or marks[0] is None:
+        return df.withColumn(name, coarse)
+    ladder = F.array(*[F.lit(m) for m in marks])
+    fine = _fine_bucket(F.col("_coarse"), _number(F.col(column), dtype), ladder)
+    return df.withColumn("_coarse", coarse).withColumn(name, fine).drop("_coarse")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -126,7 +134,9 @@ def running_sums(df: DataFrame, order_by: str, sums: dict[str, str], by: Sequenc
     (group, order value); pre-aggregate it so that equal values cannot pile up.
     """
     by = list(by)
-    cut = with_bucket(df, order_by, buckets, points=points)
+    if points is None:
+        points = split_points(df, order_by, buckets or shuffle_width(df.sparkSession))
+    cut = with_bucket(df, order_by, points)
     keys = [*by, "_bucket"]
     totals = cut.groupBy(*keys).agg(*[F.sum(w).alias(f"_t_{o}") for o, w in sums.items()])
     # One row per bucket here, so this window holds at most `buckets * FINE` rows per group.
@@ -166,11 +176,14 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], by: Seq
     points = _split_points_of(df, columns, buckets or shuffle_width(df.sparkSession))
     cells = [
         F.struct(F.lit(i).alias("_column"), F.col(c).cast("double").alias("_v"),
-                 bucket_of(F.col(c).cast("double"), points[c], T.DoubleType()).alias("_bucket"))
+                 _coarse_bucket(F.col(c).cast("double"), points[c], T.DoubleType()).alias("_coarse"))
         for i, c in enumerate(columns)
     ]
-    cell = F.explode(F.array(*cells)) if len(cells) > 1 else cells[0]
-    cut = df.select(*by, cell.alias("_cell")).select(*by, "_cell.*").where(F.col("_v").isNotNull())
+    ladders = F.array(*[F.array(*[F.lit(p) for p in points[c]] or [F.lit(None).cast("double")]) for c in columns])
+    cut = (
+        df.select(*by, F.explode(F.array(*cells)).alias("_cell")).select(*by, "_cell.*").where(F.col("_v").isNotNull())
+        .withColumn("_bucket", _fine_bucket(F.col("_coarse"), F.col("_v"), F.get(ladders, F.col("_column")))).drop("_coarse")
+    )
 
     group = Window.partitionBy(*by, "_column")
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -222,6 +235,6 @@ def _split_points_of(df: DataFrame, columns: Sequence[str], buckets: int) -> dic
     if buckets <= 1:
         return {c: [] for c in columns}
     fractions = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), fractions, 10_000).alias(f"p{i}")
-                   for i, c in enumerate(columns)]).first()
+    row = df.select(*columns).sample(_BOUNDARY_SAMPLE, seed=0).agg(*[
+        F.percentile_approx(F.col(c).cast("double"), fractions, 10_000).alias(f"p{i}") for i, c in enumerate(columns)]).first()
     return {c: sorted(set(row[f"p{i}"] or [])) for i, c in enumerate(columns)}

@@ -70,8 +70,8 @@ def sample_blocks(df: DataFrame, fraction: float, seed: int, block_rows: int = 1
 
 def split_random(df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int) -> list[DataFrame]:
     """Disjoint parts that together hold every row, cut at cumulative weights of the key hash."""
-    return [df.where(F.col("_part") == i).drop("_part")
-            for i in range(len(weights)) for df in [with_split(df, weights, keys, seed)]]
+    numbered = with_split(df, weights, keys, seed)
+    return [numbered.where(F.col("_part") == i).drop("_part") for i in range(len(weights))]
 
 
 def with_split(df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int, name: str = "_part") -> DataFrame:

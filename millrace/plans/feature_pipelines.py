@@ -17,7 +17,7 @@ from millrace.operators.asof import point_in_time
 from millrace.operators.semistruct import dot
 from millrace.plans.registry import query
 from millrace.plans.text_jobs import SCORES_SQL
-from millrace.session import register_views, scratch_dir, table
+from millrace.session import register_views, scratch_dir, spread, table
 from millrace.sources.writers import write
 
 # ---- flagship -------------------------------------------------------------------------------
@@ -322,7 +322,7 @@ def flights_weather(spark, sf):
     from ({SCORES_SQL.format(keys='doc_id', table='documents')}) join documents using (doc_id) group by source
 """)
 def sentiment_by_group(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "source", "text")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "source", "text"))
     scores = sentiment_scores(documents, ["doc_id", "source"], "text", lexicon_frame(spark))
     points = F.when(F.col("sentiment") == "NEGATIVE", -1).when(F.col("sentiment") == "POSITIVE", 1).otherwise(0)
     return scores.groupBy("source").agg(F.count("*").alias("n"), F.sum(points).alias("net_sentiment")).select(

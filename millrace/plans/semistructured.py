@@ -14,14 +14,14 @@ from millrace.operators.semistruct import (
     flatten, flatten_variant, get_path, json_array_rows, split_to_rows,
 )
 from millrace.plans.registry import query
-from millrace.session import table
+from millrace.session import spread, table
 
 SENTINEL = 999.9
 
 
 def weather_documents(spark, sf):
     """(event_id, t, v): one VARIANT document per event."""
-    events = table(spark, sf, "events")
+    events = spread(table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     reading = F.when(F.col("event_type") == "error", SENTINEL).otherwise(F.col("value"))
 
     def observation(hours: int, temp):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import DEFAULT_LEXICON, lexicon_frame, sentiment_scores
 from millrace.plans.registry import query
-from millrace.session import scratch_dir, table
+from millrace.session import scratch_dir, spread, table
 from millrace.sources.readers import text_files
 from millrace.sources.writers import write
 
@@ -39,7 +39,7 @@ def _rounded(scores):
 def sentiment_score(spark, sf):
     """Scores per document, with its text. Texts are joined back, not carried through the word rows."""
     documents = table(spark, sf, "documents").select("doc_id", "text")
-    scores = _rounded(sentiment_scores(documents, ["doc_id"], "text", lexicon_frame(spark)))
+    scores = _rounded(sentiment_scores(spread(documents), ["doc_id"], "text", lexicon_frame(spark)))
     return scores.join(documents, "doc_id").withColumnRenamed("text", "review")
 
 
@@ -49,7 +49,7 @@ def sentiment_score(spark, sf):
 """)
 def sentiment_label(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    scores = sentiment_scores(documents, ["doc_id", "lang"], "text", lexicon_frame(spark))
+    scores = sentiment_scores(spread(documents), ["doc_id", "lang"], "text", lexicon_frame(spark))
     return scores.groupBy("lang", "sentiment").agg(F.count("*").alias("n"))
 
 

@@ -73,3 +73,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan with fewer partitions than cores one partition per core.
+
+    For work that is heavy per row. A table large enough to fill the cluster is left alone, so the
+    extra shuffle only ever moves a few file blocks.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
