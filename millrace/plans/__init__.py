@@ -3,7 +3,7 @@
 from millrace.plans import (  # noqa: F401
     aggregation,
     expressions,
-    feature_pipelines,
+    feature_jobs,
     joining,
     model_jobs,
     scalar,

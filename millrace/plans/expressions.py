@@ -39,11 +39,11 @@ def with_column(spark, sf):
 
 
 @query("with_columns", """
-    select o_orderkey, year(o_orderdate)::integer as order_year, round(o_totalprice / 1000, 3) as thousands from orders
+    select o_orderkey, year(o_orderdate)::integer as order_year, round(o_totalprice / 1000, 5) as thousands from orders
 """)
 def with_columns(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice").withColumns({
-        "order_year": F.year("o_orderdate"), "thousands": F.round(F.col("o_totalprice") / 1000, 3),
+        "order_year": F.year("o_orderdate"), "thousands": F.round(F.col("o_totalprice") / 1000, 5),
     }).drop("o_orderdate", "o_totalprice")
 
 

@@ -1,4 +1,4 @@
-"""Feature pipelines: order features, point-in-time retrieval, reports and scoring."""
+"""Feature jobs: order features, point-in-time retrieval, reports and scoring."""
 
 from __future__ import annotations
 

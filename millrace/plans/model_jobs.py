@@ -7,11 +7,11 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from millrace.features.pipeline import ColumnTransformer, Pipeline
+from millrace.features.steps import ColumnTransformer, Pipeline
 from millrace.features.transformers import MinMaxScaler, OneHotEncoder
 from millrace.models import fits, metrics
 from millrace.models.registry import probabilities
-from millrace.plans.feature_pipelines import churn, customer_features, order_lines
+from millrace.plans.feature_jobs import churn, customer_features, order_lines
 from millrace.plans.registry import query
 from millrace.session import table
 
@@ -28,8 +28,8 @@ def kmeans(spark, sf):
     return fits.cluster_report(model, model.transform(points), ["lat", "lon"])
 
 
-@query("fit_kmeans_pipeline")
-def fit_kmeans_pipeline(spark, sf):
+@query("fit_kmeans_scaled")
+def fit_kmeans_scaled(spark, sf):
     features = customer_features(order_lines(spark, sf, all_lines=True)).na.drop()
     scaled = ["return_ratio_mms", "frequency_mms"]
     model = Pipeline([

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.features import transformers as tr
-from millrace.features.pipeline import ColumnTransformer, Pipeline
+from millrace.features.steps import ColumnTransformer, Pipeline
 from millrace.plans.registry import query
 from millrace.session import table
 
@@ -135,7 +135,7 @@ def custom_transformer(spark, sf):
     return upper.fit_transform(parts)
 
 
-@query("pipeline", """
+@query("fit_transform_steps", """
     with train as (select * from orders where o_orderstatus <> 'P'),
     s as (select min(o_totalprice) as a, max(o_totalprice) as b from train)
     select o_orderkey, round(least(greatest((o_totalprice - a) / (b - a), 0), 1), 6) as price,
@@ -144,7 +144,7 @@ def custom_transformer(spark, sf):
            (o_orderpriority = '4-NOT SPECIFIED')::integer::double as "p_4-NOT SPECIFIED", (o_orderpriority = '5-LOW')::integer::double as "p_5-LOW"
     from orders, s where o_orderstatus = 'P'
 """)
-def pipeline(spark, sf):
+def fit_transform_steps(spark, sf):
     """Fitted on finished and open orders, applied to the others."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     steps = Pipeline([

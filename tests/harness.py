@@ -1,6 +1,7 @@
 """Compare a registered query with its SQL on the same Parquet files.
 
-Run ``python -m tests.harness [name ...]`` for a report; ``SF_DIR`` picks the data.
+Run ``python -m tests.harness [name ...]`` for a report; ``SF_DIR`` picks the data, and ``SPARK_CONF``
+(``key=value,key=value``) sets a session other than the usual one.
 """
 
 from __future__ import annotations
@@ -67,7 +68,8 @@ def compare(df, connection, sql: str) -> list[str]:
 def main(names: list[str]) -> int:
     from millrace.plans import ORACLES, QUERIES
 
-    spark = local_session(8)
+    conf = dict(pair.split("=", 1) for pair in os.environ.get("SPARK_CONF", "").split(",") if pair)
+    spark = local_session(8, **conf)
     connection = oracle_connection()
     failures = 0
     for name in names or QUERIES:

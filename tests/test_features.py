@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.features import transformers as tr
-from millrace.features.pipeline import ColumnTransformer, Pipeline
+from millrace.features.steps import ColumnTransformer, Pipeline
 from millrace.features.views import Entity, FeatureStore, FeatureView
 from millrace.functions.text import lexicon_frame, sentiment_scores
 from millrace.models import metrics
