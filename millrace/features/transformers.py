@@ -149,14 +149,24 @@ class Binarizer(Transformer):
 
 
 def categories_of(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, list]:
-    """Sorted distinct values per column; raises if a column has more than ``limit``."""
-    found = {}
-    for name in columns:
-        rows = df.select(name).where(F.col(name).isNotNull()).distinct().limit(limit + 1).collect()
-        if len(rows) > limit:
+    """Sorted distinct values per column; raises if a column has more than ``limit``.
+
+    Columns of one type share a pass over the data. Values are made distinct before they leave
+    their tasks.
+    """
+    found: dict[str, list] = {c: [] for c in columns}
+    by_type: dict[str, list[str]] = {}
+    for c in columns:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    for names in by_type.values():
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in names]))
+        values = df.select(cells.alias("c")).select("c.*").where(F.col("value").isNotNull()).distinct()
+        for row in values.limit(limit * len(names) + 1).collect():
+            found[row["name"]].append(row["value"])
+    for name, values in found.items():
+        if len(values) > limit:
             raise ValueError(f"{name} has more than {limit} categories")
-        found[name] = sorted(r[0] for r in rows)
-    return found
+    return {name: sorted(values) for name, values in found.items()}
 
 
 class OrdinalEncoder(Transformer):

@@ -86,7 +86,7 @@ def naive_bayes(df: DataFrame, features: Sequence[str], label: str) -> DataFrame
     wide = df.groupBy(label).agg(
         F.count("*").alias("n"),
         *[f(c).alias(f"{c}|{s}") for c in features for s, f in (("mean", F.avg), ("var", F.var_pop))])
-    total = wide.agg(F.sum("n").alias("total"))
+    total = df.agg(F.count("*").alias("total"))
     return wide.select(
         F.col(label).alias("label"), (F.col("n") / total.scalar()).alias("prior"),
         F.inline(F.array(*[

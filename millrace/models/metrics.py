@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import ratio
 from millrace.operators.aggregates import histogram
-from millrace.operators.joins import grid_product
 from millrace.operators.rangebuckets import running_sums
 
 # Fixed value: the smallest denominator of a percentage error (the double-precision epsilon).
 MAPE_EPSILON = 2.220446049250313e-16
 
+MAX_LABELS = 300
+
 
 def regression(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """R2 and RMSE. The residual sum and the spread of the actual values come from the same pass."""
@@ -30,11 +31,18 @@ def mape(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Rows per (actual, predicted) pair over the grid of all labels, zeros included."""
+    """Rows per (actual, predicted) pair over the grid of all labels, zeros included.
+
+    One pass counts the pairs that occur. A matrix has as many rows as labels squared, so more than
+    ``MAX_LABELS`` labels are refused.
+    """
     counts = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
-    labels = counts.select(F.col("actual").alias("label")).union(counts.select("predicted")).distinct()
-    grid = grid_product(labels.withColumnRenamed("label", "actual"), labels.withColumnRenamed("label", "predicted"))
-    return grid.join(counts, ["actual", "predicted"], "left").fillna({"n": 0})
+    rows = counts.limit(MAX_LABELS**2 + 1).collect()
+    labels = {r["actual"] for r in rows} | {r["predicted"] for r in rows}
+    if len(labels) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
+    found = {(r["actual"], r["predicted"]): r["n"] for r in rows}
+    return df.sparkSession.createDataFrame([(a, p, found.get((a, p), 0)) for a in labels for p in labels], counts.schema)
 
 
 def classification(df: DataFrame, actual: str, predicted: str, positive=1) -> DataFrame:

@@ -91,25 +91,37 @@ RAW_SQL = """
 """
 
 
-def order_lines(spark, sf, all_lines: bool) -> DataFrame:
-    """Lines with what was returned of them, and their order.
-
-    With ``all_lines=False`` the order is found through the return, so lines without a return drop
-    out: the outer join is an inner one in effect. ``all_lines=True`` keeps them with 0 returned.
-    """
+def lines_and_returns(spark, sf) -> DataFrame:
+    """Each line with what was returned of its order and product; NULL where nothing was."""
     lines = table(spark, sf, "lineitem")
     returns = lines.where("l_returnflag = 'R'").groupBy(
         F.col("l_orderkey").alias("or_order_id"), F.col("l_partkey").alias("or_product_id")
     ).agg(F.sum("l_quantity").alias("or_return_quantity"))
-    joined = lines.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice").join(
-        returns, (F.col("l_orderkey") == F.col("or_order_id")) & (F.col("l_partkey") == F.col("or_product_id")), "left")
+    on = (F.col("l_orderkey") == F.col("or_order_id")) & (F.col("l_partkey") == F.col("or_product_id"))
+    return lines.select(
+        "l_orderkey", "l_partkey", "l_quantity", (F.col("l_extendedprice") / F.col("l_quantity")).alias("price")
+    ).join(returns, on, "left")
+
+
+def order_key(all_lines: bool) -> str:
+    """The column an order is found by.
+
+    By the key of the return, lines without a return drop out: the outer join before it is an inner
+    one in effect. By the key of the line, they stay, with 0 returned.
+    """
+    return "l_orderkey" if all_lines else "or_order_id"
+
+
+def order_lines(spark, sf, all_lines: bool) -> DataFrame:
+    """Lines with their returns and their order, defaults filled in."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    order_key = F.col("l_orderkey") if all_lines else F.col("or_order_id")
-    return joined.join(orders, order_key == F.col("o_orderkey")).select(
-        "o_orderkey", F.coalesce("o_custkey", F.lit(0)).alias("o_custkey"),
-        F.coalesce(F.to_date("o_orderdate"), F.lit(date(1970, 1, 1))).alias("order_date"), "l_partkey",
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), "l_quantity",
-        F.coalesce("or_return_quantity", F.lit(0.0)).alias("or_return_quantity"))
+    return lines_and_returns(spark, sf).join(orders, F.col(order_key(all_lines)) == F.col("o_orderkey")).select(
+        "o_orderkey", "o_custkey", "o_orderdate", "l_partkey", "price", "l_quantity", "or_return_quantity"
+    ).withColumns({
+        "o_custkey": F.coalesce("o_custkey", F.lit(0)),
+        "order_date": F.coalesce(F.to_date("o_orderdate"), F.lit(date(1970, 1, 1))),
+        "or_return_quantity": F.coalesce("or_return_quantity", F.lit(0.0)),
+    }).drop("o_orderdate")
 
 
 def _shown(lines: DataFrame) -> DataFrame:
@@ -126,19 +138,24 @@ def feat_raw_join_all(spark, sf):
     return _shown(order_lines(spark, sf, all_lines=True))
 
 
-def customer_features(lines: DataFrame) -> DataFrame:
+def customer_features(spark, sf, all_lines: bool) -> DataFrame:
     """Yearly order frequency, mean return ratio per order, and latest order date of each customer.
 
-    One walk down: per order, per customer and year, per customer. The ratio is carried as a sum
-    and a count, so the two averages need no second pass and no join.
+    Lines are totalled per order before orders are joined, so a line crosses the network once. The
+    ratio is then carried as a sum and a count, so both averages come from one walk per order,
+    per customer and year, per customer.
     """
-    per_order = lines.groupBy("o_custkey", "o_orderkey").agg(
+    key = order_key(all_lines)
+    totals = lines_and_returns(spark, sf).groupBy(key).agg(
         F.sum(F.col("l_quantity") * F.col("price")).alias("sold"),
-        F.sum(F.col("or_return_quantity") * F.col("price")).alias("returned"),
-        F.min(F.year("order_date")).alias("order_year"), F.max("order_date").alias("latest"))
-    per_year = per_order.groupBy("o_custkey", "order_year").agg(
-        F.count("*").alias("n"), F.sum(ratio("returned", "sold")).alias("ratios"),
-        F.count(ratio("returned", "sold")).alias("n_ratios"), F.max("latest").alias("latest"))
+        F.sum(F.coalesce("or_return_quantity", F.lit(0.0)) * F.col("price")).alias("returned"))
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.coalesce("o_custkey", F.lit(0)).alias("o_custkey"),
+        F.coalesce(F.to_date("o_orderdate"), F.lit(date(1970, 1, 1))).alias("order_date"))
+    per_order = totals.join(orders, F.col(key) == F.col("o_orderkey")).withColumn("ratio", ratio("returned", "sold"))
+    per_year = per_order.groupBy("o_custkey", F.year("order_date").alias("order_year")).agg(
+        F.count("*").alias("n"), F.sum("ratio").alias("ratios"), F.count("ratio").alias("n_ratios"),
+        F.max("order_date").alias("latest"))
     return per_year.groupBy("o_custkey").agg(
         F.avg("n").alias("frequency"), ratio(F.sum("ratios"), F.sum("n_ratios")).alias("return_ratio"),
         F.max("latest").alias("latest_order_date"))
@@ -166,12 +183,12 @@ def _rounded_features(features: DataFrame) -> DataFrame:
 
 @query("feat_customer_rfm", RFM_SQL.format(how=""))
 def feat_customer_rfm(spark, sf):
-    return _rounded_features(customer_features(order_lines(spark, sf, all_lines=False)))
+    return _rounded_features(customer_features(spark, sf, all_lines=False))
 
 
 @query("feat_customer_rfm_all", RFM_SQL.format(how="left"))
 def feat_customer_rfm_all(spark, sf):
-    return _rounded_features(customer_features(order_lines(spark, sf, all_lines=True)))
+    return _rounded_features(customer_features(spark, sf, all_lines=True))
 
 
 # ---- feature store --------------------------------------------------------------------------
@@ -181,7 +198,7 @@ DESCRIPTIONS = {"frequency": "Average yearly order count", "return_ratio": "Mean
 
 
 def customer_view(spark, sf) -> FeatureView:
-    frame = customer_features(order_lines(spark, sf, all_lines=True))
+    frame = customer_features(spark, sf, all_lines=True)
     return FeatureView("customer_habits", CUSTOMER, frame, "latest_order_date", "Buying habits").describe_features(DESCRIPTIONS)
 
 

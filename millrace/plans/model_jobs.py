@@ -11,7 +11,7 @@ from millrace.features.steps import ColumnTransformer, Pipeline
 from millrace.features.transformers import MinMaxScaler, OneHotEncoder
 from millrace.models import fits, metrics
 from millrace.models.registry import probabilities
-from millrace.plans.feature_jobs import churn, customer_features, order_lines
+from millrace.plans.feature_jobs import churn, customer_features
 from millrace.plans.registry import query
 from millrace.session import table
 
@@ -30,7 +30,7 @@ def kmeans(spark, sf):
 
 @query("fit_kmeans_scaled")
 def fit_kmeans_scaled(spark, sf):
-    features = customer_features(order_lines(spark, sf, all_lines=True)).na.drop()
+    features = customer_features(spark, sf, all_lines=True).na.drop()
     scaled = ["return_ratio_mms", "frequency_mms"]
     model = Pipeline([
         ("scale", MinMaxScaler(["return_ratio", "frequency"], scaled, clip=True)), ("cluster", fits.kmeans(scaled, k=5, seed=0)),

@@ -64,17 +64,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``DataFrame.checkpoint`` and MLlib a checkpoint folder if the context has none."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_dir(spark, "checkpoint"))
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the scratch folder and read it back: cuts lineage, survives lost executors."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def spread(scan: DataFrame) -> DataFrame:
     """Give a scan with fewer partitions than cores one partition per core.
 
