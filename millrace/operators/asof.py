@@ -1,79 +1,145 @@
 """As-of join: for each probe row, the nearest earlier (or later) row of the same key.
 
-Time is cut into range buckets, and the sort inside a window covers one (key, bucket) pair, so a
-key that owns a large share of the rows is spread over many tasks. What a bucket needs from the
-buckets before it is a single carried row, taken from a per-bucket summary. Probe rows enter as
-distinct (key, time) pairs and are joined back, so copies of a probe row do not pile up either.
+Both sides are put together and sorted by time within a key, where the last right row seen is the
+answer: one shuffle and no join. A key too heavy for one task takes another way. Its time is cut
+into range buckets, the sort covers one (key, bucket) pair, and what a bucket needs from those
+before it is a single carried row. Its probe rows enter as distinct (key, time) pairs and are joined
+back, and its right rows are made unique, so copies of a row do not pile up either.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.rangebuckets import split_points, with_bucket
 from millrace.session import shuffle_width
 
+HEAVY_ROWS = 1_000_000
+MAX_HEAVY_KEYS = 50_000
+_DETECTION_SAMPLE = 0.01
+_NULL_SPREAD = 4096
+
 
 def join_asof(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_ts: str, right_ts: str,
               columns: Sequence[str] | None = None, direction: str = "backward", allow_equal: bool = True,
-              tolerance: str | None = None, how: str = "left", buckets: int | None = None) -> DataFrame:
+              tolerance: str | None = None, how: str = "left", buckets: int | None = None,
+              heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Left rows with the columns of the nearest right row.
 
     ``direction`` is ``backward`` (last right row at or before), ``forward`` (first at or after) or
     ``equal``. ``allow_equal=False`` excludes an equal time. ``tolerance`` is an interval text such
-    as ``'7 days'``. Among right rows with one key and time, the greatest by ``columns`` wins.
+    as ``'7 days'``. Among right rows with one key and time, the greatest by ``columns`` wins. Keys
+    with more than ``heavy_rows`` rows are spread over ``buckets`` time ranges.
     """
     keys = [on] if isinstance(on, str) else list(on)
     columns = [c for c in right.columns if c not in keys] if columns is None else list(columns)
+    dtype = right.schema[right_ts].dataType
     payload = F.struct(F.col(right_ts).alias("_rt"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)])
-    known = right.where(F.col(right_ts).isNotNull())
-    for key in keys:
-        known = known.where(F.col(key).isNotNull())
+    known = right.where(F.col(right_ts).isNotNull()).dropna(subset=keys).select(
+        *keys, F.col(right_ts).alias("_t"), payload.alias("_hit"))
+    backward = direction != "forward"
 
     if direction == "equal":
-        best = known.groupBy(*keys, F.col(right_ts).alias("_t")).agg(F.max(payload).alias("_hit"))
+        matched = _joined_back(left, known.groupBy(*keys, "_t").agg(F.max("_hit").alias("_hit")), keys, left_ts)
     elif direction in ("backward", "forward"):
-        best = _nearest(left, known, keys, left_ts, right_ts, payload, direction == "backward", allow_equal, buckets)
+        heavy = _heavy_keys(left, known, keys, heavy_rows)
+        if heavy is None:
+            matched = _by_key(left, known, keys, left_ts, dtype, backward, allow_equal)
+        else:
+            light = _by_key(left.join(heavy, keys, "left_anti"), known.join(heavy, keys, "left_anti"), keys, left_ts, dtype,
+                            backward, allow_equal)
+            some, few = left.join(heavy, keys, "left_semi"), known.join(heavy, keys, "left_semi")
+            found = _by_bucket(some, few, keys, left_ts, dtype, backward, allow_equal, buckets)
+            matched = light.unionByName(_joined_back(some, found, keys, left_ts))
     else:
         raise ValueError(f"unknown direction: {direction}")
+
+    hit: Column = F.col("_hit")
     if tolerance is not None:
         gap = F.expr(f"INTERVAL {tolerance}")
-        reach = (
-            F.col("_hit._rt") >= F.col("_t") - gap if direction == "backward" else F.col("_hit._rt") <= F.col("_t") + gap
-        )
-        best = best.where(reach)
-
-    probe = left.alias("l")
-    found = best.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_t", "_hit")
-    condition = F.col(f"l.{left_ts}") == F.col("_t")
+        near = hit["_rt"] >= F.col(left_ts) - gap if direction == "backward" else hit["_rt"] <= F.col(left_ts) + gap
+        hit = F.when(near, hit)
+    matched = matched.withColumn("_hit", hit)
+    if how == "inner":
+        matched = matched.where(F.col("_hit").isNotNull())
+    return matched.select(*left.columns, *[F.col("_hit")[f"_c{i}"].alias(c) for i, c in enumerate(columns)])
+
+
+def _heavy_keys(left: DataFrame, right: DataFrame, keys: list[str], heavy_rows: int) -> DataFrame | None:
+    """Keys that hold more than ``heavy_rows`` rows, ready to broadcast, or None.
+
+    They are counted on a sample: a miss near the limit costs balance, never a result. A key must
+    also hold more than one part in ``MAX_HEAVY_KEYS`` of the rows, so there cannot be more of them.
+    """
+    rate = 1.0 if heavy_rows < 100 / _DETECTION_SAMPLE else _DETECTION_SAMPLE
+    rows = left.select(*keys).unionByName(right.select(*keys)).dropna()
+    counts = (rows if rate == 1.0 else rows.sample(rate, seed=0)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n").alias("total"))
+    least = F.greatest(F.lit(heavy_rows * rate), F.coalesce(total.scalar(), F.lit(0)) / MAX_HEAVY_KEYS)
+    found = counts.where(F.col("_n") > least).select(*keys).collect()
+    return F.broadcast(left.sparkSession.createDataFrame(found, counts.select(*keys).schema)) if found else None
+
+
+def _sides(allow_equal: bool) -> tuple[int, int]:
+    """Sort order of (probe, right) rows at equal times: the row sorted first is not seen by the other."""
+    return (1, 0) if allow_equal else (0, 1)
+
+
+def _walk(partition: list[str], backward: bool):
+    time = F.col("_t").asc() if backward else F.col("_t").desc()
+    # Ascending payload puts the greatest of equal-time right rows nearest to the probe.
+    return Window.partitionBy(*partition).orderBy(time, F.col("_side").asc(), F.col("_hit").asc()).rowsBetween(
+        Window.unboundedPreceding, 0)
+
+
+def _by_key(left, right, keys, left_ts, dtype, backward, allow_equal):
+    """Left rows with their nearest right row, each key sorted by one task."""
+    probe_side, right_side = _sides(allow_equal)
+    time = F.col(left_ts).cast(dtype)
+    unmatched = time.isNull()
     for key in keys:
-        condition = condition & (F.col(f"l.{key}") == F.col(f"_k_{key}"))
-    return probe.join(found, condition, how).select(
-        "l.*", *[F.col(f"_hit._c{i}").alias(c) for i, c in enumerate(columns)]
-    )
+        unmatched = unmatched | F.col(key).isNull()
+    # Rows that cannot match anything are spread, so that NULLs do not become a heavy key.
+    spread = F.when(unmatched, F.pmod(F.xxhash64(*left.columns), F.lit(_NULL_SPREAD)) + 1).otherwise(F.lit(0))
+    row = F.struct(*left.columns)
+    probes = left.select(
+        *keys, spread.cast("long").alias("_spread"), time.alias("_t"), F.lit(probe_side).alias("_side"), row.alias("_row"),
+        F.lit(None).cast(right.schema["_hit"].dataType).alias("_hit"))
+    source = right.select(
+        *keys, F.lit(0).cast("long").alias("_spread"), "_t", F.lit(right_side).alias("_side"),
+        F.lit(None).cast(probes.schema["_row"].dataType).alias("_row"), "_hit")
+    seen = F.last("_hit", ignorenulls=True).over(_walk([*keys, "_spread"], backward))
+    return probes.unionByName(source).withColumn("_hit", seen).where(F.col("_side") == probe_side).select("_row.*", "_hit")
+
+
+def _joined_back(left, found, keys, left_ts):
+    """Left rows with the hit of their (key, time); ``found`` has one row for each."""
+    found = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_t", "_hit")
+    condition = F.col(left_ts) == F.col("_t")
+    for key in keys:
+        condition = condition & (F.col(key) == F.col(f"_k_{key}"))
+    return left.join(found, condition, "left").select(*left.columns, "_hit")
 
 
-def _nearest(left, right, keys, left_ts, right_ts, payload, backward, allow_equal, buckets):
+def _by_bucket(left, right, keys, left_ts, dtype, backward, allow_equal, buckets):
     """(key, time, nearest right row) for each distinct (key, time) of the left side that has one."""
-    dtype = right.schema[right_ts].dataType
-    points = split_points(right, right_ts, buckets or shuffle_width(right.sparkSession))
+    right = right.groupBy(*keys, "_t").agg(F.max("_hit").alias("_hit"))
+    points = split_points(right, "_t", buckets or shuffle_width(right.sparkSession))
 
     def bucketed(rows):
         rows = with_bucket(rows, "_t", points, "_b")
         return rows if backward else rows.withColumn("_b", -F.col("_b"))
 
+    probe_side, right_side = _sides(allow_equal)
     probes = bucketed(left.select(*keys, F.col(left_ts).cast(dtype).alias("_t")).dropna().distinct())
-    source = bucketed(right.select(*keys, F.col(right_ts).alias("_t"), payload.alias("_hit")))
-    # `_side` settles equal times: a right row sorts before the probe if equality counts, else after.
-    probe_side, right_side = (1, 0) if allow_equal else (0, 1)
+    source = bucketed(right)
 
     # One carried row per (key, bucket): at most one per bucket and key, however heavy the key is.
     nothing = F.lit(None).cast(source.schema["_hit"].dataType)
-    # Forward: the first in time, but the greatest among equal times.
-    edge = F.max("_hit") if backward else F.max_by("_hit", F.struct(_negated("_hit._rt", dtype), F.col("_hit")))
+    edge = F.max("_hit") if backward else F.min("_hit")
     steps = (
         source.select(*keys, "_b", "_hit")
         .unionByName(probes.select(*keys, "_b", nothing.alias("_hit")))
@@ -91,31 +157,13 @@ def _nearest(left, right, keys, left_ts, right_ts, payload, backward, allow_equa
         .unionByName(carried)
         .unionByName(probes.select(*keys, "_t", nothing.alias("_hit"), "_b", F.lit(probe_side).alias("_side")))
     )
-    time = F.col("_t").asc() if backward else F.col("_t").desc()
-    # Ascending payload puts the greatest of equal-time right rows nearest to the probe.
-    walk = (
-        Window.partitionBy(*keys, "_b")
-        .orderBy(time, F.col("_side").asc(), F.col("_hit").asc())
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
     return (
-        rows.withColumn("_hit", F.last("_hit", ignorenulls=True).over(walk))
+        rows.withColumn("_hit", F.last("_hit", ignorenulls=True).over(_walk([*keys, "_b"], backward)))
         .where((F.col("_side") == probe_side) & F.col("_hit").isNotNull())
         .select(*keys, "_t", "_hit")
     )
 
 
-def _negated(name, dtype):
-    kind = dtype.typeName()
-    if kind == "date":
-        return -F.unix_date(name)
-    if kind == "timestamp_ntz":
-        return F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' - {name}")
-    if kind == "timestamp":
-        return -F.unix_micros(name)
-    return -F.col(name)
-
-
 def point_in_time(spine: DataFrame, views: Sequence[tuple[DataFrame, Sequence[str], str, Sequence[str]]],
                   spine_ts: str, **options) -> DataFrame:
     """Feature values as known at each spine row; ``views`` holds (frame, keys, time column, features)."""

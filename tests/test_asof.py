@@ -49,12 +49,13 @@ def _expected(left, right, direction, allow_equal, tolerance):
     ("backward", True, None), ("backward", False, None), ("forward", True, None), ("forward", False, None),
     ("equal", True, None), ("backward", True, timedelta(minutes=5)), ("forward", True, timedelta(minutes=5)),
 ])
-@pytest.mark.parametrize("buckets", [1, 7])
-def test_same_as_nested_loop(spark, direction, allow_equal, tolerance, buckets):
+@pytest.mark.parametrize("heavy_rows,buckets", [(10**6, 1), (200, 1), (200, 7), (0, 7)])
+def test_same_as_nested_loop(spark, direction, allow_equal, tolerance, heavy_rows, buckets):
+    """All keys light, only the hot key heavy, or all keys heavy."""
     left, right = _tables(seed=len(direction) + buckets)
     out = join_asof(
         spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), "k", "t", "rt", columns=["v"],
-        direction=direction, allow_equal=allow_equal, tolerance="5 minutes" if tolerance else None, buckets=buckets)
+        direction=direction, allow_equal=allow_equal, tolerance="5 minutes" if tolerance else None, buckets=buckets, heavy_rows=heavy_rows)
     rows = out.collect()
     assert out.columns == ["id", "k", "t", "v"]
     assert len(rows) == len(left)
@@ -66,8 +67,8 @@ def test_equal_times_take_the_greatest(spark):
     right = spark.createDataFrame([("a", START, 3), ("a", START, 8), ("a", START, 5)], RIGHT)
     for direction, t in (("backward", 9), ("forward", -9)):
         probe = left.selectExpr("id", "k", f"t + INTERVAL {t - 9} MINUTES AS t")
-        for buckets in (1, 4):
-            assert join_asof(probe, right, "k", "t", "rt", ["v"], direction=direction, buckets=buckets).first()["v"] == 8
+        for heavy_rows in (0, 10**6):
+            assert join_asof(probe, right, "k", "t", "rt", ["v"], direction=direction, heavy_rows=heavy_rows).first()["v"] == 8
 
 
 def test_empty_right_side(spark):
@@ -84,10 +85,24 @@ def test_several_views(spark):
     assert (row["x"], row["y"]) == (1, 7)
 
 
+def test_inner(spark):
+    left, right = _tables(seed=9)
+    frames = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    expected = {i for i, v in _expected(left, right, "backward", True, None).items() if v is not None}
+    for heavy_rows in (0, 10**6):
+        rows = join_asof(*frames, "k", "t", "rt", ["v"], how="inner", heavy_rows=heavy_rows).collect()
+        assert {r["id"] for r in rows} == expected
+
+
 def test_heavy_key_is_spread(spark):
-    """The sort that finds the nearest row is partitioned by key and time bucket, not by key alone."""
+    """For a heavy key, the sort is partitioned by key and time bucket; light keys need one window only."""
     left, right = _tables(seed=3)
-    out = join_asof(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), "k", "t", "rt", ["v"], buckets=6)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    walks = [line for line in plan.splitlines() if "Window [last(_hit" in line]
-    assert walks and all("[k#" in w and "_b#" in w.split("windowspecdefinition")[1] for w in walks)
+    frames = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+
+    def walks(heavy_rows):
+        out = join_asof(*frames, "k", "t", "rt", ["v"], buckets=6, heavy_rows=heavy_rows)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        return [line for line in plan.splitlines() if "Window [last(_hit" in line and "_side#" in line]
+
+    assert len(walks(10**6)) == 1
+    assert any("_b#" in w.split("windowspecdefinition")[1] for w in walks(200))
