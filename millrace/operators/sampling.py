@@ -31,6 +31,8 @@ def sample_fraction(df: DataFrame, fraction: float, keys: Sequence[str], seed: i
 def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows (all rows if there are fewer): those with the smallest (hash, key).
 
+    ``keys`` should identify a row: rows with equal keys share a hash and are ranked together.
+
     Three counting passes over 4096, 4096 and 256 hash ranges find the exact cut-off, each one a
     scan with a tiny aggregate. Only rows on the cut-off hash itself are ranked.
     """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scalars import EARTH_RADIUS_M, haversine, weekday_name, within_box
 from millrace.plans.registry import query
 from millrace.session import register_views, table
-from millrace.sources.readers import uniform_int
+from millrace.sources.readers import pick, uniform_int
 
 
 @query("fn_upper", "select p_partkey, upper(p_name) as name from part")
@@ -159,3 +159,16 @@ def fn_geo_distance(spark, sf):
 def fn_call_builtin(spark, sf):
     return table(spark, sf, "part").select(
         "p_partkey", F.call_function("reverse", F.col("p_name")).alias("backwards"), F.expr("length(p_name)").alias("n"))
+
+
+@query("fn_random_pick", """
+    select segment, count(*) as n from (
+        select list_extract(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'],
+                            (1 + ('0x' || substr(md5(c_custkey || '|' || '3'), 1, 8))::bigint % 5)::integer) as segment
+        from customer)
+    group by 1
+""")
+def fn_random_pick(spark, sf):
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    customers = table(spark, sf, "customer").select(pick(segments, ["c_custkey"], seed=3).alias("segment"))
+    return customers.groupBy("segment").agg(F.count("*").alias("n"))

@@ -147,9 +147,12 @@ def write_pandas(spark, sf):
 
 @query("pandas_convert", "select c_mktsegment, round(max(c_acctbal), 2) as top_balance from customer group by 1")
 def pandas_convert(spark, sf):
-    customers = table(spark, sf, "customer").select("c_mktsegment", "c_acctbal").pandas_api()
-    top = customers.groupby("c_mktsegment")["c_acctbal"].max().reset_index()
-    return top.to_spark().select("c_mktsegment", F.round("c_acctbal", 2).alias("top_balance"))
+    import pyspark.pandas as ps
+
+    with ps.option_context("compute.default_index_type", "distributed"):
+        customers = table(spark, sf, "customer").select("c_mktsegment", "c_acctbal").pandas_api()
+        top = customers.groupby("c_mktsegment")["c_acctbal"].max().reset_index()
+        return top.to_spark().select("c_mktsegment", F.round("c_acctbal", 2).alias("top_balance"))
 
 
 @query("key_check", """

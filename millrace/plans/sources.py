@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from millrace.plans.registry import query
 from millrace.session import register_views, scratch_dir, table
 from millrace.sources.readers import (
-    generate_rows, pick, project_load, read_any, read_csv, read_json_variant, read_xml, text_files, uniform_int,
+    generate_rows, project_load, read_any, read_csv, read_json_variant, read_xml, text_files, uniform_int,
 )
 from millrace.streaming.incremental import load_once
 
@@ -214,19 +214,8 @@ def values_rows(spark, sf):
 def read_pandas(spark, sf):
     import pyspark.pandas as ps
 
-    orders = ps.read_parquet(f"{sf}/orders.parquet", columns=["o_orderstatus", "o_totalprice"])
-    means = orders.groupby("o_orderstatus", as_index=False)["o_totalprice"].mean()
-    return means.to_spark().select("o_orderstatus", F.round("o_totalprice", 2).alias("mean_price"))
-
-
-@query("fn_random_pick", """
-    select segment, count(*) as n from (
-        select list_extract(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'],
-                            (1 + ('0x' || substr(md5(c_custkey || '|' || '3'), 1, 8))::bigint % 5)::integer) as segment
-        from customer)
-    group by 1
-""")
-def fn_random_pick(spark, sf):
-    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-    customers = table(spark, sf, "customer").select(pick(segments, ["c_custkey"], seed=3).alias("segment"))
-    return customers.groupBy("segment").agg(F.count("*").alias("n"))
+    # A distributed index is made without counting rows first.
+    with ps.option_context("compute.default_index_type", "distributed"):
+        orders = ps.read_parquet(f"{sf}/orders.parquet", columns=["o_orderstatus", "o_totalprice"])
+        means = orders.groupby("o_orderstatus")["o_totalprice"].mean().reset_index()
+        return means.to_spark().select("o_orderstatus", F.round("o_totalprice", 2).alias("mean_price"))

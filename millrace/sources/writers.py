@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 MAX_CLIENT_ROWS = 100_000
 
@@ -16,8 +17,13 @@ def write(df: DataFrame, path: str, mode: str = "errorifexists", fmt: str = "par
 
 
 def write_sorted(df: DataFrame, path: str, keys: list[str], mode: str = "errorifexists") -> DataFrame:
-    """Clustered layout: range-partitioned and sorted, so min/max statistics prune scans on the keys."""
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+    """Clustered layout: range-partitioned and sorted, so min/max statistics prune scans on the keys.
+
+    A hash of the row comes after the keys in the range order, so rows of one heavy key may end up
+    in several files instead of one.
+    """
+    ranges = df.repartitionByRange(*keys, F.xxhash64(*df.columns))
+    ranges.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
