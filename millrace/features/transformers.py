@@ -55,8 +55,10 @@ class Transformer:
         return {c: {s: row[f"{i}|{s}"] for s in functions} for i, c in enumerate(self.input_cols)}
 
 
-def _scaled(value: Column, offset: float, width: float) -> Column:
-    """(value - offset) / width; a width of 0 (constant column) counts as 1."""
+def _scaled(value: Column, offset: float | None, width: float | None) -> Column:
+    """(value - offset) / width; a width of 0 (constant column) counts as 1. NULL if nothing was seen in ``fit``."""
+    if offset is None or width is None:
+        return F.lit(None).cast("double")
     return (value.cast("double") - F.lit(float(offset))) / F.lit(float(width) or 1.0)
 
 
@@ -72,7 +74,7 @@ class MinMaxScaler(Transformer):
     def column(self, name):
         low, high = self.feature_range
         seen = self.stats[name]
-        value = _scaled(F.col(name), seen["low"], seen["high"] - seen["low"])
+        value = _scaled(F.col(name), seen["low"], _width(seen["low"], seen["high"]))
         value = value * F.lit(float(high - low)) + F.lit(float(low))
         # least/greatest skip NULLs, so a NULL input must be kept NULL explicitly.
         return F.when(F.col(name).isNotNull(), F.greatest(F.least(value, F.lit(float(high))), F.lit(float(low)))) if self.clip else value
@@ -115,7 +117,7 @@ class RobustScaler(Transformer):
 
     def column(self, name):
         s = self.stats[name]
-        return _scaled(F.col(name), s["q2"], s["q3"] - s["q1"])
+        return _scaled(F.col(name), s["q2"], _width(s["q1"], s["q3"]))
 
 
 class Normalizer(Transformer):
@@ -148,6 +150,10 @@ class Binarizer(Transformer):
         return (F.col(name) > F.lit(self.threshold)).cast("int").cast("double")
 
 
+def _width(low: float | None, high: float | None) -> float | None:
+    return None if low is None or high is None else high - low
+
+
 def categories_of(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, list]:
     """Sorted distinct values per column; raises if a column has more than ``limit``.
 
@@ -248,11 +254,13 @@ class KBinsDiscretizer(Transformer):
         inner = [i / self.n_bins for i in range(1, self.n_bins)]
         if self.strategy == "uniform":
             stats = self._stats(df, low=F.min, high=F.max)
-            self.edges = {c: [s["low"] + (s["high"] - s["low"]) * p for p in inner] for c, s in stats.items()}
+            self.edges = {
+                c: [] if s["low"] is None else [s["low"] + (s["high"] - s["low"]) * p for p in inner] for c, s in stats.items()}
         elif self.strategy == "quantile":
             wanted = {f"q{i}|{c}": (c, p) for c in self.input_cols for i, p in enumerate(inner)}
             row = exact_quantiles(df, wanted).first()
-            self.edges = {c: sorted({row[f"q{i}|{c}"] for i in range(len(inner))}) for c in self.input_cols}
+            found = {c: {row[f"q{i}|{c}"] for i in range(len(inner))} - {None} for c in self.input_cols}
+            self.edges = {c: sorted(edges) for c, edges in found.items()}
         else:
             raise ValueError(f"unknown strategy: {self.strategy}")
         return self
@@ -261,7 +269,7 @@ class KBinsDiscretizer(Transformer):
         number = F.lit(0)
         for edge in self.edges[name]:
             number = number + (F.col(name) >= F.lit(edge)).cast("int")
-        return number.cast("double")
+        return F.when(F.col(name).isNotNull(), number.cast("double"))
 
 
 class PolynomialFeatures(Transformer):

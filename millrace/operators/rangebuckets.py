@@ -144,7 +144,8 @@ def running_sums(df: DataFrame, order_by: str, sums: dict[str, str], by: Sequenc
     offsets = totals.select(
         *keys, *[F.coalesce(F.sum(f"_t_{o}").over(earlier), F.lit(0)).alias(f"_o_{o}") for o in sums]
     )
-    inside = Window.partitionBy(*keys).orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
+    # NULLs fall into the last bucket, so they come last inside it as well.
+    inside = Window.partitionBy(*keys).orderBy(F.col(order_by).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     local = cut
     for out, weight in sums.items():
         local = local.withColumn(out, F.sum(weight).over(inside))
@@ -155,7 +156,7 @@ def running_sums(df: DataFrame, order_by: str, sums: dict[str, str], by: Sequenc
 
 
 def dense_ids(df: DataFrame, column: str, id_name: str, start: int = 0, buckets: int | None = None) -> DataFrame:
-    """Map each distinct label to ``start, start + 1, ...`` in label order."""
+    """Map each distinct label to ``start, start + 1, ...`` in label order, NULL last."""
     labels = df.select(column).distinct()
     points = split_points(df if not isinstance(df.schema[column].dataType, T.StringType) else labels,
                           column, buckets or shuffle_width(df.sparkSession))

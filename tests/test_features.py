@@ -34,6 +34,13 @@ def test_scalers_and_constant_columns(numbers):
     assert _column(tr.RobustScaler(["c"], ["z"]).fit_transform(numbers), "z") == [0.0] * 4
 
 
+def test_columns_without_values(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "id int, x double")
+    for step in (tr.MinMaxScaler(["x"], ["y"], clip=True), tr.StandardScaler(["x"], ["y"]), tr.RobustScaler(["x"], ["y"]),
+                 tr.KBinsDiscretizer(["x"], ["y"]), tr.KBinsDiscretizer(["x"], ["y"], strategy="uniform")):
+        assert _column(step.fit_transform(df), "y") == [None, None]
+
+
 def test_clip_keeps_null_and_range(numbers):
     scaler = tr.MinMaxScaler(["x"], ["y"], clip=True).fit(numbers.where("id in (1, 3)"))
     assert _column(scaler.transform(numbers), "y") == [0.0, 1.0, 1.0, None]

@@ -61,6 +61,15 @@ def test_dense_ids(spark, buckets):
     assert {r["x"]: r["id"] for r in found} == {x: i + 1 for i, x in enumerate(sorted(set(labels), key=lambda s: s.encode()))}
 
 
+@pytest.mark.parametrize("buckets", [1, 6])
+def test_null_label_comes_last(spark, buckets):
+    rows = [(x,) for x in (5.5, None, -1.0, float("nan"), 2.0, None, 5.5, *map(float, range(10, 40)))]
+    found = rb.dense_ids(spark.createDataFrame(rows, "x double"), "x", "id", buckets=buckets).orderBy("id").collect()
+    labels = [str(r["x"]) for r in found]
+    assert labels[:4] == ["-1.0", "2.0", "5.5", "10.0"] and labels[-2:] == ["nan", "None"]
+    assert [r["id"] for r in found] == list(range(len(found)))
+
+
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "bigint", "decimal(12,3)", "string"])
 def test_buckets_never_decrease(spark, kind):
     rnd = random.Random(5)
