@@ -21,7 +21,7 @@ HEADLINE = [
     "approx_distinct", "quantile_exact", "approx_quantile", "exact_vs_approx", "join_asof", "point_in_time", "feat_raw_join",
     "feat_customer_rfm", "dense_ids", "m_auc", "sample_n", "split_random", "flatten_agg", "sentiment_by_group",
     "udf_margin_compare", "udf_named", "udf_vector_series", "udf_register", "min_max_scale", "one_hot", "score_pairs",
-    "logistic_fit", "score_batch", "grid_search", "scheduled_refresh", "append_children", "upsert",
+    "logistic_fit", "score_batch", "score_by_version", "grid_search", "scheduled_refresh", "append_children", "upsert",
 ]
 
 
