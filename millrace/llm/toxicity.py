@@ -1,8 +1,9 @@
 """Toxicity: lexicon terms found through Levenshtein automata, weighed by their context.
 
-The lexicon is learned from labelled texts and kept as a trie. Each distinct word of a text is an automaton
-of the strings within its edit distance; walking the trie and the automaton together gives the terms that the
-word may misspell. A hit counts less inside quotation marks or beside words of reporting.
+The lexicon is learned from labelled texts and kept as a trie. A term is a word, or a stem (``abus*``) that any
+ending may follow. Each distinct word of a text is an automaton of the strings within its edit distance; walking
+the trie and the automaton together gives the terms that the word may misspell. A hit counts less inside
+quotation marks or beside words of reporting.
 """
 
 from __future__ import annotations
@@ -15,15 +16,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fold
+from millrace.llm.common import fold, stored
 
 MOST_ROWS = 20_000
 MOST_TERMS = 20_000
 MIN_EVIDENCE = 24.0
 MIN_FUZZY = 5
+MIN_FUZZY_STEM = 6
+STEM_LENGTHS = (4, 5, 6, 7, 8)
 WINDOW = 6
 CACHE = 200_000
 N_FEATURES = 5
@@ -36,91 +40,105 @@ ADDRESS = frozenset("you your youre yourself du dein ihr sie tu vous ton votre u
 
 
 class LevenshteinAutomaton:
-    """Accepts the strings within ``most`` edits of a word. A state is a set of (position, edits) pairs."""
-
-    def __init__(self, word: str, most: int):
-        self.word, self.most = word, most
-        self._steps: dict[tuple[frozenset, str], frozenset] = {}
-
-    def _close(self, pairs: set[tuple[int, int]]) -> frozenset:
-        """Skipping letters of the word costs an edit each; a pair that another one betters is dropped."""
-        best: dict[int, int] = {}
-        for position, edits in pairs:
-            for skip in range(self.most - edits + 1):
-                at = position + skip
-                if at <= len(self.word) and edits + skip < best.get(at, self.most + 1):
-                    best[at] = edits + skip
-        return frozenset(best.items())
-
-    def start(self) -> frozenset:
-        return self._close({(0, 0)})
-
-    def step(self, state: frozenset, letter: str) -> frozenset:
-        key = (state, letter)
-        if key not in self._steps:
-            pairs = set()
-            for position, edits in state:
-                if position < len(self.word) and self.word[position] == letter:
-                    pairs.add((position + 1, edits))
-                if edits < self.most:
-                    pairs.add((position, edits + 1))
-                    if position < len(self.word):
-                        pairs.add((position + 1, edits + 1))
-            self._steps[key] = self._close(pairs)
-        return self._steps[key]
-
-    def edits(self, state: frozenset) -> int | None:
-        """Edits with which the state accepts, if it does."""
-        return min((e for p, e in state if p == len(self.word)), default=None)
+    """Accepts the strings within one edit of a word, or the word alone if ``most`` is 0.
+
+    A state holds, for zero and for one edit, the positions in the word that the letters read so far may have
+    led to, as bits of a number.
+    """
+
+    def __init__(self, word: str, most: int = 1):
+        self.most, self.end = most, 1 << len(word)
+        self.places: dict[str, int] = {}
+        for i, letter in enumerate(word):
+            self.places[letter] = self.places.get(letter, 0) | 1 << i
+
+    def start(self) -> tuple[int, int]:
+        return 1, 2 if self.most else 0
+
+    def step(self, state: tuple[int, int], letter: str) -> tuple[int, int]:
+        exact, edited = state
+        here = self.places.get(letter, 0)
+        onward = (exact & here) << 1
+        if not self.most:
+            return onward, 0
+        # Read on after an edit, or edit now: a letter too many, another letter, or the next letter left out.
+        edited = (edited & here) << 1 | exact | exact << 1 | onward << 1
+        return onward, edited & (self.end << 1) - 1
+
+    def edits(self, state: tuple[int, int], stem: bool = False) -> int | None:
+        """Edits with which the state accepts, if it does. For a stem the word may go on."""
+        if stem:
+            return 0 if state[0] else 1 if state[1] else None
+        return 0 if state[0] & self.end else 1 if state[1] & self.end else None
 
 
 class Trie:
-    """Terms by letter, and the pieces that rule most words out before any walk."""
+    """Terms by letter, and by word length the pieces that rule most words out before any walk."""
 
-    def __init__(self, terms: dict[str, float], min_fuzzy: int = MIN_FUZZY):
-        self.terms, self.min_fuzzy = terms, min_fuzzy
+    def __init__(self, terms: dict[str, float]):
+        self.terms = terms
+        self.stems = {t[:-1]: w for t, w in terms.items() if t.endswith("*")}
+        self.stem_lengths = sorted({len(t) for t in self.stems})
         self.children: list[dict[str, int]] = [{}]
-        self.term_at: list[str | None] = [None]
-        # One edit leaves the first or the second half of a term as it is, at its end of the word.
-        self.heads: dict[int, set[str]] = {}
-        self.tails: dict[int, set[str]] = {}
+        self.terms_at: list[tuple[str, ...]] = [()]
+        # One edit leaves the first or the second half of a term as it is, and moves the second by one place at most.
+        self.pieces: dict[int, tuple[dict[int, set[str]], dict[int, set[str]]]] = {}
+        self.stem_pieces: dict[int, set[str]] = {}
+        self.stem_rests: dict[tuple[int, int], set[str]] = {}
         for term in terms:
-            at = 0
-            for letter in term:
+            at, letters = 0, term.removesuffix("*")
+            for letter in letters:
                 if letter not in self.children[at]:
                     self.children[at][letter] = len(self.children)
                     self.children.append({})
-                    self.term_at.append(None)
+                    self.terms_at.append(())
                 at = self.children[at][letter]
-            self.term_at[at] = term
-            if len(term) >= min_fuzzy:
-                half = len(term) // 2
-                self.heads.setdefault(half, set()).add(term[:half])
-                self.tails.setdefault(len(term) - half, set()).add(term[half:])
+            self.terms_at[at] += (term,)
+            half, size = len(letters) // 2, len(letters)
+            if letters != term and size >= MIN_FUZZY_STEM:
+                self.stem_pieces.setdefault(half, set()).add(letters[:half])
+                for start in (half - 1, half, half + 1):
+                    self.stem_rests.setdefault((start, size - half), set()).add(letters[half:])
+            elif letters == term and size >= MIN_FUZZY:
+                for length in (size - 1, size, size + 1):
+                    heads, tails = self.pieces.setdefault(length, ({}, {}))
+                    heads.setdefault(half, set()).add(letters[:half])
+                    tails.setdefault(size - half, set()).add(letters[half:])
 
     def within(self, word: str, most: int) -> list[tuple[str, int]]:
-        """Terms within ``most`` edits of the word, with the edits."""
+        """Terms within ``most`` edits of the word, or of a beginning of it for stems, with the edits."""
         automaton = LevenshteinAutomaton(word, most)
         found, stack = [], [(0, automaton.start())]
         while stack:
             node, state = stack.pop()
-            if self.term_at[node] is not None and (edits := automaton.edits(state)) is not None:
-                found.append((self.term_at[node], edits))
+            for term in self.terms_at[node]:
+                if (edits := automaton.edits(state, term.endswith("*"))) is not None:
+                    found.append((term, edits))
             for letter, child in self.children[node].items():
                 after = automaton.step(state, letter)
-                if after:
+                if after != (0, 0):
                     stack.append((child, after))
         return found
 
+    def may_match(self, word: str) -> bool:
+        """False only if no term is one edit away."""
+        heads, tails = self.pieces.get(len(word), ({}, {}))
+        return (
+            any(word[:n] in some for n, some in heads.items()) or any(word[-n:] in some for n, some in tails.items())
+            or any(word[:n] in some for n, some in self.stem_pieces.items())
+            or any(word[at:at + n] in some for (at, n), some in self.stem_rests.items())
+        )
+
     def match(self, word: str) -> tuple[float, int] | None:
         """Weight and edits of the best term for a word: exact, or one edit away from a term that is long enough."""
+        exact = [self.stems[word[:n]] for n in self.stem_lengths if word[:n] in self.stems]
         if word in self.terms:
-            return self.terms[word], 0
-        if len(word) < self.min_fuzzy - 1 or not (
-            any(word[:n] in pieces for n, pieces in self.heads.items()) or any(word[-n:] in pieces for n, pieces in self.tails.items())
-        ):
+            exact.append(self.terms[word])
+        if exact:
+            return max(exact), 0
+        if not self.may_match(word):
             return None
-        near = [(self.terms[t], e) for t, e in self.within(word, 1) if len(t) >= self.min_fuzzy]
+        near = [(self.terms[t], e) for t, e in self.within(word, 1) if len(t) >= (MIN_FUZZY_STEM + 1 if t.endswith("*") else MIN_FUZZY)]
         return max(near, default=None)
 
 
@@ -191,15 +209,39 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarra
     return beta
 
 
+def select_terms(found: dict[str, tuple[int, int, float]]) -> dict[str, float]:
+    """Words and stems to keep, from ``term: (toxic texts, other texts, weight)``.
+
+    A stem stands for its words where it is held by clearly more toxic texts than any one longer stem or word that
+    starts with it, and by few others. Words and stems that start with a kept stem are left out.
+    """
+    longest: dict[str, int] = {}
+    for term, (a, _, _) in found.items():
+        letters = term.removesuffix("*")
+        for n in STEM_LENGTHS:
+            if n < len(letters) or (n == len(letters) and letters == term):
+                longest[letters[:n]] = max(longest.get(letters[:n], 0), a)
+    stems: set[str] = set()
+    for term, (a, b, _) in sorted(found.items(), key=lambda t: (len(t[0]), t[0])):
+        letters = term.removesuffix("*")
+        if letters != term and 10 * b <= a and a >= 1.3 * longest.get(letters, 0) and not any(letters[:n] in stems for n in STEM_LENGTHS):
+            stems.add(letters)
+    return {
+        t: w for t, (_, _, w) in found.items()
+        if (t[:-1] in stems if t.endswith("*") else not any(t[:n] in stems for n in STEM_LENGTHS))
+    }
+
+
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_rows: int = MOST_ROWS,
     most_terms: int = MOST_TERMS, min_evidence: float = MIN_EVIDENCE,
 ) -> Model:
-    """Learn lexicon and weights on labelled rows outside fold 0, at most ``most_rows`` by a hash of the id.
+    """Learn lexicon and weights on labelled rows outside fold 0, at most ``most_rows`` by a hash of the id, one of
+    each group of copies.
 
-    A word is a term if its document counts differ between toxic and other texts by a likelihood ratio of
-    ``min_evidence`` at least, towards toxic; the ``most_terms`` strongest are kept. Its weight is the log odds
-    ratio. Labels other than 0 and 1, and ids with both, are not used. Without rows of both classes no word is a
+    A word or stem is a term if its document counts differ between toxic and other texts by a likelihood ratio of
+    ``min_evidence`` at least, towards toxic; of the ``most_terms`` strongest, ``select_terms`` chooses. Its weight
+    is the log odds ratio. Labels other than 0 and 1, and ids with both, are not used. Without rows of both classes no word is a
     term and all texts get one score.
     """
     spark = docs.sparkSession
@@ -207,7 +249,17 @@ def fit_toxicity(
     known = known.where((fold("known_id") != 0) & F.col("label").isin(0, 1)).groupBy("known_id").agg(
         F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
     known = known.orderBy(F.xxhash64("known_id"), "known_id").limit(most_rows)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("known_id")).select("label", "text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("known_id")).select("known_id", "label", "text")
+
+    def key_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [min((xxhash.xxh64_intdigest(w) >> 1 for w in set(_TOKEN.findall((t or "").lower()))), default=0) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["known_id"].cast(pa.int64()), batch["label"], pa.array(keys, pa.int64())], ["known_id", "label", "key"])
+
+    # Copies and near copies share their least word hash, mostly; one of them is evidence enough for their words.
+    single = rows.select("known_id", "label", "text").mapInArrow(key_of, "known_id long, label int, key long").groupBy("label", "key").agg(F.min("known_id").alias("one_id"))
+    single = stored(single.select("one_id"), "toxicity-sample")
+    rows = stored(rows.join(F.broadcast(single), F.col("known_id") == F.col("one_id"), "left_semi").select("label", "text"), "toxicity-texts")
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
     if not ones or not zeros:
@@ -218,7 +270,9 @@ def fit_toxicity(
         for batch in batches:
             counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for label, text in zip(batch["label"].to_pylist(), batch["text"].to_pylist()):
-                counts[label].update({w for w in _TOKEN.findall((text or "").lower()) if len(w) > 2})
+                words = {w for w in _TOKEN.findall((text or "").lower()) if len(w) > 2}
+                counts[label].update(words)
+                counts[label].update({w[:n] + "*" for w in words for n in STEM_LENGTHS if len(w) >= n})
             both = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(both), pa.array([counts[1][w] for w in both], pa.int64()), pa.array([counts[0][w] for w in both], pa.int64())], ["term", "a", "b"])
@@ -229,8 +283,8 @@ def fit_toxicity(
     part = lambda n, expected: F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
     evidence = 2 * (part(F.col("a"), held * share) + part(F.col("b"), held * (1 - share)))
     odds = F.log((F.col("a") + 0.5) / (ones - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (zeros - F.col("b") + 0.5))
-    terms = counts.select("term", evidence.alias("evidence"), odds.alias("odds")).where((F.col("evidence") >= min_evidence) & (F.col("odds") > 2))
-    lexicon = {r["term"]: r["odds"] for r in terms.orderBy(F.desc("evidence"), "term").limit(most_terms).collect()}
+    terms = counts.select("term", "a", "b", evidence.alias("evidence"), odds.alias("odds")).where((F.col("evidence") >= min_evidence) & (F.col("odds") > 2))
+    lexicon = select_terms({r["term"]: (r["a"], r["b"], r["odds"]) for r in terms.orderBy(F.desc("evidence"), "term").limit(most_terms).collect()})
     shared = spark.sparkContext.broadcast(lexicon)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
