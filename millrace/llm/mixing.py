@@ -104,27 +104,32 @@ def rate_of(steps: list[list[float]], width: int) -> Column:
 def fit_rates(posteriors: DataFrame, targets: list[float], most_steps: int = 40, tolerance: float = 1e-6) -> tuple[list[list[float]], list[float]]:
     """Projected gradient steps towards rates whose expected domain tokens are ``targets``, and what they reach.
 
-    Each step is one aggregation to as many sums as there are domains. The gradient is scaled by the inverse of the
-    domains' token overlaps, so a step without a rate at zero is exact. The number of steps is bounded; targets that
-    no nonnegative rates meet are met as closely as the steps allow.
+    Each step is one aggregation to a few sums per domain. The gradient is scaled by the inverse of the domains' token
+    overlaps among documents whose rate is not held at zero, so a step that meets no further zero is exact. The number
+    of steps is bounded; targets that no nonnegative rates meet are met as closely as the steps allow.
     """
     width = len(targets)
     p = [F.col(f"p{i}") for i in range(width)]
-    overlap = posteriors.agg(*[F.sum(F.col("n_tokens") * p[i] * p[j]) for i in range(width) for j in range(width)]).first()
-    matrix = np.array([float(x or 0) for x in overlap]).reshape(width, width)
-    scale = np.linalg.pinv(matrix, rcond=1e-9) if matrix.any() else np.zeros((width, width))
     steps: list[list[float]] = []
     total = max(sum(targets), 1e-12)
     best: tuple[float, int, list[float]] | None = None
     for taken in range(most_steps + 1):
-        weighted = F.col("n_tokens") * rate_of(steps, width)
-        reached = [float(x or 0) for x in posteriors.agg(*[F.sum(weighted * x) for x in p]).first()]
+        rated = posteriors.withColumn("rate", rate_of(steps, width))
+        moving = F.when(F.col("rate") > 0, F.col("n_tokens")).otherwise(0)
+        row = rated.agg(
+            *[F.sum(F.col("n_tokens") * F.col("rate") * x) for x in p], *[F.sum(moving * x * y) for i, x in enumerate(p) for y in p[:i + 1]]).first()
+        sums = [float(x or 0) for x in row]
+        reached = sums[:width]
         excess = np.array(reached) - np.array(targets)
         error = float(np.abs(excess).max()) / total
         if best is None or error < best[0]:
             best = (error, taken, reached)
         if error <= tolerance:
             break
+        overlap = np.zeros((width, width))
+        overlap[np.tril_indices(width)] = sums[width:]
+        overlap += np.tril(overlap, -1).T
+        scale = np.linalg.pinv(overlap, rcond=1e-9) if overlap.any() else np.zeros((width, width))
         steps.append([float(x) for x in scale @ excess])
     return steps[:best[1]], best[2]
 
