@@ -19,7 +19,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def parts_for(df: DataFrame, part_mb: int = 32) -> int:
+def parts_for(df: DataFrame, part_mb: int = 8) -> int:
     """How many parts to deal rows to: the shuffle width, or more where a part would exceed ``part_mb``."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     wanted = math.ceil(size / (part_mb << 20)) if size < 1 << 60 else 1
