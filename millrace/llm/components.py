@@ -25,10 +25,10 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFrame:
-    """``(node, component)`` for every node that has an edge to another; the component is its least node.
+    """``(node, component)`` for every node that is not the least of its component; the component is its least node.
 
-    Edges may repeat, run either way, or join a node to itself; null ends are ignored. A node without an
-    edge to another one is its own component and is not listed. Without edges the result is empty.
+    Edges may repeat, run either way, or join a node to itself; null ends are ignored. The least node of a
+    component, and a node without an edge to another one, are not listed. Without edges the result is empty.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     edges = (
