@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.rangebuckets import dense_ids, exact_quantiles
+from millrace.session import scratch_dir
 
 MAX_CATEGORIES = 10_000
 MAX_ONE_HOT = 1_000
@@ -204,10 +205,18 @@ class OrdinalEncoder(Transformer):
 
 
 class LabelEncoder(Transformer):
-    """Sorted labels to 0..n-1 by a join with the label table, so any number of labels will do."""
+    """Sorted labels to 0..n-1 by a join with the label table, so any number of labels will do.
+
+    ``fit`` writes the tables, so the numbers stay as they are whatever happens to the rows they came from.
+    """
 
     def fit(self, df):
-        self.tables = {c: dense_ids(df.where(F.col(c).isNotNull()), c, "_id") for c in self.input_cols}
+        self.tables = {}
+        for c in self.input_cols:
+            ids = dense_ids(df.where(F.col(c).isNotNull()), c, "_id")
+            path = scratch_dir(df.sparkSession, "labels")
+            ids.write.parquet(path)
+            self.tables[c] = df.sparkSession.read.schema(ids.schema).parquet(path)
         return self
 
     def transform(self, df):

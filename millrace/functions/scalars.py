@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,16 +23,28 @@ def haversine(lat1, lon1, lat2, lon2) -> Column:
 
 
 def within_box(lat, lon, lat0: float, lon0: float, radius_m: float) -> Column:
-    """Cheap bounding box around a circle; plain comparisons that reach the file scan.
+    """Cheap bounding box that holds the whole circle; plain comparisons that reach the file scan.
 
-    Valid for circles that contain no pole and do not cross the 180th meridian.
+    A circle that reaches a pole takes all longitudes; across the 180th meridian the box has two parts.
+    Longitudes run from -180 to 180.
     """
-    import math
-
-    dlat = math.degrees(radius_m / EARTH_RADIUS_M)
-    edge = math.radians(min(89.0, abs(lat0) + dlat))
-    dlon = math.degrees(radius_m / (EARTH_RADIUS_M * math.cos(edge)))
-    return column(lat).between(lat0 - dlat, lat0 + dlat) & column(lon).between(lon0 - dlon, lon0 + dlon)
+    slack = 1e-9
+    dlat = math.degrees(radius_m / EARTH_RADIUS_M) + slack
+    low, high = lat0 - dlat, lat0 + dlat
+    box = column(lat).between(low, high)
+    if low <= -90 or high >= 90:
+        return box
+    # The circle touches its extreme meridians at asin(sin(radius) / cos(latitude)).
+    dlon = math.degrees(math.asin(min(1.0, math.sin(radius_m / EARTH_RADIUS_M) / math.cos(math.radians(lat0))))) + slack
+    west, east = lon0 - dlon, lon0 + dlon
+    if east - west >= 360:
+        return box
+    around = column(lon).between(west, east)
+    if west < -180:
+        around = around | (column(lon) >= west + 360)
+    if east > 180:
+        around = around | (column(lon) <= east - 360)
+    return box & around
 
 
 def weekday_name(ts) -> Column:

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
-from pyspark.ml import Pipeline as MlPipeline
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml import Pipeline as SparkPipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator
@@ -24,20 +25,59 @@ from millrace.session import ensure_checkpoint_dir
 
 
 def assembler(features: Sequence[str], output: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="skip")
+    """Missing values become NaN in the vector, so no row is lost."""
+    return VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="keep")
 
 
-def kmeans(features: Sequence[str], k: int, seed: int = 0, max_iter: int = 300) -> MlPipeline:
-    """k-means with the scalable parallel initialisation; predictions go to ``cluster``."""
-    return MlPipeline(stages=[assembler(features), KMeans(k=k, seed=seed, maxIter=max_iter, predictionCol="cluster")])
+def complete(features: str = "features") -> Column:
+    """Whether a row's feature vector has all its values."""
+    return ~F.exists(vector_to_array(features), F.isnan)
+
+
+class MlPipeline(SparkPipeline):
+    """A pipeline that learns from the rows whose inputs are all known, and keeps every row when it transforms.
+
+    Predictions of the other rows mean nothing; ``score`` sets them to NULL.
+    """
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        inputs = [c for s in self.getStages() if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+        return super()._fit(dataset.na.drop(subset=inputs) if inputs else dataset)
+
+
+def score(model: PipelineModel, df: DataFrame, output: str = "prediction") -> DataFrame:
+    """All rows of ``df`` with the model's columns; ``output`` is NULL where an input is missing."""
+    scored = model.transform(df)
+    return scored.withColumn(output, F.when(complete(), F.col(output)))
+
+
+class RestartedKMeans(Estimator):
+    """k-means from several starts; the one with the least cost stays."""
+
+    def __init__(self, k: int, starts: int, seed: int, max_iter: int):
+        super().__init__()
+        self.k, self.starts, self.seed, self.max_iter = k, starts, seed, max_iter
+
+    def _fit(self, dataset: DataFrame):
+        points = dataset.select("features").persist()
+        models = [
+            KMeans(k=self.k, seed=self.seed + i, maxIter=self.max_iter, predictionCol="cluster").fit(points) for i in range(self.starts)]
+        points.unpersist()
+        return min(models, key=lambda m: m.summary.trainingCost)
+
+
+def kmeans(features: Sequence[str], k: int, seed: int = 0, max_iter: int = 300, starts: int = 10) -> MlPipeline:
+    """k-means with the scalable parallel initialisation, best of ``starts``; predictions go to ``cluster``."""
+    return MlPipeline(stages=[assembler(features), RestartedKMeans(k, starts, seed, max_iter)])
 
 
 def cluster_report(model: PipelineModel, scored: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Centre and size of each cluster."""
+    """Centre and size of each cluster; a row without cluster counts the rows that have none."""
     centres = [(i, *map(float, c)) for i, c in enumerate(model.stages[-1].clusterCenters())]
     schema = "cluster int, " + ", ".join(f"{f} double" for f in features)
     sizes = scored.groupBy("cluster").agg(F.count("*").alias("n"))
-    return df_from(scored, centres, schema).join(sizes, "cluster", "left").fillna({"n": 0})
+    none = sizes.where("cluster is null").select("*", *[F.lit(None).cast("double").alias(f) for f in features])
+    return df_from(scored, centres, schema).join(sizes, "cluster", "left").fillna({"n": 0}).unionByName(none)
 
 
 def df_from(like: DataFrame, rows: list, schema: str) -> DataFrame:
@@ -166,12 +206,12 @@ def random_points(grid: dict, n: int, seed: int) -> list[dict]:
 
 def boosted_grid(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], rounds: Sequence[int],
                  rates: Sequence[float], folds: int = 3, depth: int = 5, seed: int = 0, parallelism: int = 8) -> DataFrame:
-    """Cross-validated squared error for every (rounds, rate).
+    """Cross-validated squared error for every (rounds, rate), over the rows whose inputs and label are known.
 
     The first n trees of a boosted model are the model of n rounds, so each rate is fitted once per
     fold with the most rounds, and one more pass scores all shorter models.
     """
-    folded = assembler(features).transform(with_folds(df, keys, folds, seed)).select("features", label, "fold")
+    folded = assembler(features).transform(with_folds(df.na.drop(subset=[*features, label]), keys, folds, seed)).select("features", label, "fold")
     folded = folded.persist()
 
     def errors(rate: float, fold: int) -> list[float]:

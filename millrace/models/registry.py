@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.models.fits import complete
 from millrace.sources.versions import children, natural_order
 
 
+COMMITTED = "committed"
+
+
 class ModelStore:
     """Fitted pipelines under ``<root>/<name>/<version>``; the newest version is the default."""
 
@@ -16,16 +21,23 @@ class ModelStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def save(self, name: str, version: str, model: PipelineModel) -> None:
-        model.write().save(f"{self.root}/{name}/{version}")
+        """The marker is written last, so a version counts only once all of it is there."""
+        path = f"{self.root}/{name}/{version}"
+        model.write().save(path)
+        self.spark.range(1).write.parquet(f"{path}/{COMMITTED}")
 
     def versions(self, name: str) -> list[str]:
-        return sorted(children(self.spark, f"{self.root}/{name}"), key=natural_order)
+        """Versions whose save was completed."""
+        path = f"{self.root}/{name}"
+        done = [v for v in children(self.spark, path) if "_SUCCESS" in children(self.spark, f"{path}/{v}/{COMMITTED}")]
+        return sorted(done, key=natural_order)
 
     def load(self, name: str, version: str | None = None) -> PipelineModel:
         return PipelineModel.load(f"{self.root}/{name}/{version or self.versions(name)[-1]}")
 
 
 def probabilities(scored: DataFrame, keys: list[str], classes: int = 2) -> DataFrame:
-    """Keys, one probability column per class, and the predicted class."""
-    values = vector_to_array("probability")
-    return scored.select(*keys, *[values[i].alias(f"probability_{i}") for i in range(classes)], "prediction")
+    """Keys, one probability column per class, and the predicted class; NULL where an input is missing."""
+    values, known = vector_to_array("probability"), complete()
+    return scored.select(
+        *keys, *[F.when(known, values[i]).alias(f"probability_{i}") for i in range(classes)], F.when(known, F.col("prediction")).alias("prediction"))

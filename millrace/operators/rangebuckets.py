@@ -164,26 +164,43 @@ def dense_ids(df: DataFrame, column: str, id_name: str, start: int = 0, buckets:
     return counted.select(column, (F.col(id_name) - 1 + start).alias(id_name))
 
 
+def _ranked_type(types: Sequence[T.DataType]) -> T.DataType:
+    """A type that holds the values of all the columns exactly, so they rank as they are."""
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return T.LongType()
+    if all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        scale = max((t.scale for t in types if isinstance(t, T.DecimalType)), default=0)
+        whole = max((t.precision - t.scale for t in types if isinstance(t, T.DecimalType)), default=0)
+        if whole + scale <= 38 and (whole >= 19 or all(isinstance(t, T.DecimalType) for t in types)):
+            return T.DecimalType(whole + scale, scale)
+        return T.DecimalType(38, min(scale, 19))
+    return T.DoubleType()
+
+
 def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], by: Sequence[str] = (),
-                    buckets: int | None = None) -> DataFrame:
+                    buckets: int | None = None, decimals: bool = False) -> DataFrame:
     """Exact interpolated quantiles: one row per group, one column per ``{name: (column, probability)}``.
 
     Pass one counts rows per (group, column, range bucket), a small shuffle. Only the rows of a
     bucket that holds a wanted rank are then counted by value, so no task ever sees a whole group,
     and equal values are combined before they are shuffled. All columns share both passes.
+
+    Whole numbers and decimals are ranked as they are. The result is a double, rounded once; with
+    ``decimals`` it is a decimal for such columns, which also holds numbers beyond 2^53.
     """
     by, columns = list(by), list(dict.fromkeys(c for c, _ in wanted.values()))
     keys = [*by, "_column", "_bucket"]
     points = _split_points_of(df, columns, buckets or shuffle_width(df.sparkSession))
+    ranked = _ranked_type([df.select(c).schema[0].dataType for c in columns])
     cells = [
-        F.struct(F.lit(i).alias("_column"), F.col(c).cast("double").alias("_v"),
+        F.struct(F.lit(i).alias("_column"), F.col(c).cast(ranked).alias("_v"),
                  _coarse_bucket(F.col(c).cast("double"), points[c], T.DoubleType()).alias("_coarse"))
         for i, c in enumerate(columns)
     ]
     ladders = F.array(*[F.array(*[F.lit(p) for p in points[c]] or [F.lit(None).cast("double")]) for c in columns])
     cut = (
         df.select(*by, F.explode(F.array(*cells)).alias("_cell")).select(*by, "_cell.*").where(F.col("_v").isNotNull())
-        .withColumn("_bucket", _fine_bucket(F.col("_coarse"), F.col("_v"), F.get(ladders, F.col("_column")))).drop("_coarse")
+        .withColumn("_bucket", _fine_bucket(F.col("_coarse"), F.col("_v").cast("double"), F.get(ladders, F.col("_column")))).drop("_coarse")
     )
 
     group = Window.partitionBy(*by, "_column")
@@ -220,7 +237,15 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], by: Seq
     for name, (_, p) in wanted.items():
         low, high, n = F.col(f"__vlo_{name}"), F.col(f"__vhi_{name}"), F.col(f"__alllo_{name}")
         position = F.lit(float(p)) * (n - 1)
-        out.append((low + (high - low) * (position - F.floor(position))).alias(name))
+        share = position - F.floor(position)
+        if isinstance(ranked, T.DoubleType):
+            value = low + (high - low) * share
+        elif decimals:
+            kind = T.DecimalType(38, min(getattr(ranked, "scale", 0) + 6, 18))
+            value = low.cast(kind) + ((high - low).cast("double") * share).cast(kind)
+        else:
+            value = low.cast("double") + (high - low).cast("double") * share
+        out.append(value.alias(name))
     return sides.select(*by, *out)
 
 

@@ -11,7 +11,7 @@ from millrace.features.transformers import OneHotEncoder
 from millrace.features.views import Entity, FeatureStore, FeatureView, latest_spine
 from millrace.functions.scalars import flag, ratio
 from millrace.functions.text import lexicon_frame, sentiment_scores
-from millrace.models.fits import balanced_logistic
+from millrace.models.fits import balanced_logistic, score
 from millrace.models.registry import ModelStore, probabilities
 from millrace.operators.asof import point_in_time
 from millrace.operators.semistruct import dot
@@ -63,17 +63,18 @@ def top_quantity_orders_sql(spark, sf):
 
 
 @query("customer_totals", """
-    select c_name as customer_name, count(o_orderkey) as num_orders, round(coalesce(sum(o_totalprice), 0.0), 2) as total_revenue
-    from customer left join orders on c_custkey = o_custkey and o_totalprice > 480000 group by 1
+    select c_name as customer_name, count(o_orderkey) as num_orders,
+           coalesce(sum(o_totalprice::decimal(15, 2)), 0)::decimal(38, 2)::double as total_revenue
+    from customer left join orders on c_custkey = o_custkey group by 1
 """)
 def customer_totals(spark, sf):
-    """Orders and revenue per customer, customers without orders kept at zero."""
-    per_key = table(spark, sf, "orders").where("o_totalprice > 480000").groupBy("o_custkey").agg(
-        F.count("o_orderkey").alias("n"), F.sum("o_totalprice").alias("total"))
+    """Orders and revenue per customer, customers without orders kept at zero. Totals are added up as decimals."""
+    per_key = table(spark, sf, "orders").groupBy("o_custkey").agg(
+        F.count("o_orderkey").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(15,2)")).cast("decimal(38,2)").alias("total"))
     customers = table(spark, sf, "customer").select("c_custkey", "c_name")
     return customers.join(per_key, F.col("c_custkey") == F.col("o_custkey"), "left").groupBy(
         F.col("c_name").alias("customer_name")
-    ).agg(F.sum(F.coalesce("n", F.lit(0))).alias("num_orders"), F.round(F.sum(F.coalesce("total", F.lit(0.0))), 2).alias("total_revenue"))
+    ).agg(F.sum(F.coalesce("n", F.lit(0))).alias("num_orders"), F.coalesce(F.sum("total"), F.lit(0)).cast("double").alias("total_revenue"))
 
 
 # ---- order features -------------------------------------------------------------------------
@@ -420,7 +421,7 @@ def score_by_version(spark, sf):
     models.save("churn", "v1", balanced_logistic(["n_orders"], "target").fit(data))
     models.save("churn", "v2", balanced_logistic(["c_acctbal", "n_orders"], "target").fit(data))
     scored = [
-        models.load("churn", version).transform(data).select("id", F.lit(label).alias("version"), F.col("prediction"))
+        score(models.load("churn", version), data).select("id", F.lit(label).alias("version"), F.col("prediction"))
         for version, label in (("v1", "v1"), (None, "default"))
     ]
     return scored[0].unionByName(scored[1]).groupBy("version", "prediction").agg(F.count("*").alias("n"))

@@ -22,13 +22,13 @@ def join_inner(spark, sf):
 @query("join_inner_using", """
     select user_id, event_type, n, total from
       (select user_id, event_type, count(*) as n from events group by 1, 2)
-      join (select user_id, event_type, round(sum(value), 2) as total from events where value > 100 group by 1, 2)
+      join (select user_id, event_type, round(sum(value), 2) as total from events group by 1, 2)
       using (user_id, event_type)
 """)
 def join_inner_using(spark, sf):
     events = table(spark, sf, "events")
     counts = events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    totals = events.where("value > 100").groupBy("user_id", "event_type").agg(F.round(F.sum("value"), 2).alias("total"))
+    totals = events.groupBy("user_id", "event_type").agg(F.round(F.sum("value"), 2).alias("total"))
     return counts.join(totals, ["user_id", "event_type"])
 
 
@@ -47,46 +47,46 @@ def join_multi_key(spark, sf):
     ).select(everything["day"], "event_type", "n", "n_large")
 
 
-def _customers_and_large_orders(spark, sf):
+def _customers_and_orders(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    orders = table(spark, sf, "orders").where("o_totalprice > 400000").select(
+    orders = table(spark, sf, "orders").select(
         "o_orderkey", (F.col("o_custkey") + 700).alias("o_custkey"))
     return customers, orders, F.col("c_custkey") == F.col("o_custkey")
 
 
 # Keys are shifted so that both sides have rows without a partner.
 SIDES = """(select c_custkey, c_nationkey from customer) c {how} join
-           (select o_orderkey, o_custkey + 700 as o_custkey from orders where o_totalprice > 400000) o
+           (select o_orderkey, o_custkey + 700 as o_custkey from orders) o
            on c.c_custkey = o.o_custkey"""
 
 
 @query("join_left", "select * from " + SIDES.format(how="left"))
 def join_left(spark, sf):
-    customers, orders, on = _customers_and_large_orders(spark, sf)
+    customers, orders, on = _customers_and_orders(spark, sf)
     return customers.join(orders, on, "left")
 
 
 @query("join_right", "select * from " + SIDES.format(how="right"))
 def join_right(spark, sf):
-    customers, orders, on = _customers_and_large_orders(spark, sf)
+    customers, orders, on = _customers_and_orders(spark, sf)
     return customers.join(orders, on, "right")
 
 
 @query("join_full", "select * from " + SIDES.format(how="full"))
 def join_full(spark, sf):
-    customers, orders, on = _customers_and_large_orders(spark, sf)
+    customers, orders, on = _customers_and_orders(spark, sf)
     return customers.join(orders, on, "full")
 
 
 @query("join_semi", "select * from " + SIDES.format(how="semi"))
 def join_semi(spark, sf):
-    customers, orders, on = _customers_and_large_orders(spark, sf)
+    customers, orders, on = _customers_and_orders(spark, sf)
     return customers.join(orders, on, "left_semi")
 
 
 @query("join_anti", "select * from " + SIDES.format(how="anti"))
 def join_anti(spark, sf):
-    customers, orders, on = _customers_and_large_orders(spark, sf)
+    customers, orders, on = _customers_and_orders(spark, sf)
     return customers.join(orders, on, "left_anti")
 
 

@@ -25,17 +25,17 @@ def _points(spark, sf):
 def kmeans(spark, sf):
     points = _points(spark, sf)
     model = fits.kmeans(["lat", "lon"], k=3, seed=0).fit(points)
-    return fits.cluster_report(model, model.transform(points), ["lat", "lon"])
+    return fits.cluster_report(model, fits.score(model, points, "cluster"), ["lat", "lon"])
 
 
 @query("fit_kmeans_scaled")
 def fit_kmeans_scaled(spark, sf):
-    features = customer_features(spark, sf, all_lines=True).na.drop()
+    features = customer_features(spark, sf, all_lines=True)
     scaled = ["return_ratio_mms", "frequency_mms"]
     model = Pipeline([
         ("scale", MinMaxScaler(["return_ratio", "frequency"], scaled, clip=True)), ("cluster", fits.kmeans(scaled, k=5, seed=0)),
     ]).fit(features)
-    scored = model.transform(features)
+    scored = model.transform(features).withColumn("cluster", F.when(fits.complete(), F.col("cluster")))
     return fits.cluster_report(model["cluster"], scored, scaled)
 
 
@@ -117,7 +117,7 @@ def forest_fit(spark, sf):
 @query("boosted_fit")
 def boosted_fit(spark, sf):
     data = churn(spark, sf)
-    model = fits.boosted_classifier(FOREST_FEATURES, "target", rounds=20).fit(data)
+    model = fits.boosted_classifier(FOREST_FEATURES, "target", rounds=100).fit(data)
     return probabilities(model.transform(data), ["id"])
 
 
@@ -142,7 +142,7 @@ def grid_search_classes(spark, sf):
     """Cross-validated grid over rounds and depth, scored by F1."""
     learner = GBTClassifier(labelCol="target", seed=0)
     grid = fits.param_grid({learner.maxIter: [2, 5], learner.maxDepth: [1, 3]})
-    data = fits.assembler(FOREST_FEATURES).transform(churn(spark, sf))
+    data = fits.assembler(FOREST_FEATURES).transform(churn(spark, sf).na.drop(subset=FOREST_FEATURES))
     evaluator = MulticlassClassificationEvaluator(labelCol="target", metricName="f1")
     return fits.search(learner, grid, evaluator, data, ["id"])[1]
 
@@ -151,7 +151,7 @@ def grid_search_classes(spark, sf):
 def random_search(spark, sf):
     learner = GBTRegressor(labelCol="p_retailprice", maxDepth=3, seed=0)
     grid = {learner.maxIter: [2, 5, 10, 15], learner.stepSize: [0.05, 0.1, 0.3, 0.5]}
-    data = fits.assembler(["p_partkey", "p_size"]).transform(table(spark, sf, "part"))
+    data = fits.assembler(["p_partkey", "p_size"]).transform(table(spark, sf, "part").na.drop(subset=["p_partkey", "p_size"]))
     evaluator = RegressionEvaluator(labelCol="p_retailprice", metricName="rmse")
     return fits.search(learner, fits.random_points(grid, 4, seed=7), evaluator, data, ["p_partkey"])[1]
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline as MlPipeline
-from pyspark.ml.clustering import KMeans
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.models.fits import assembler
+from millrace.models.fits import kmeans, score
 from millrace.plans.registry import query
 from millrace.session import scratch_dir, table
 from millrace.streaming.incremental import (
@@ -147,9 +145,9 @@ def stream_scoring(spark, sf):
     """A fitted pipeline applied to rows as they arrive."""
     orders = _orders(spark, sf)
     past, rest = preload(orders, "o_orderdate", NOW)
-    model = MlPipeline(stages=[assembler(["o_totalprice", "o_custkey"]), KMeans(k=3, seed=0, predictionCol="cluster")]).fit(past)
+    model = kmeans(["o_totalprice", "o_custkey"], k=3).fit(past)
     inbox, out, state = (scratch_dir(spark, f"scoring-{p}") for p in ("inbox", "out", "state"))
     rest.write.parquet(inbox)
-    scored = model.transform(change_stream(spark, inbox, orders.schema)).select("o_orderkey", "cluster")
+    scored = score(model, change_stream(spark, inbox, orders.schema), "cluster").select("o_orderkey", "cluster")
     run_to_files(scored, out, state)
     return spark.read.schema(scored.schema).parquet(out).groupBy("cluster").agg(F.count("*").alias("n"))

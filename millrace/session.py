@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -50,12 +51,12 @@ def shuffle_width(spark: SparkSession, upper: int = 512) -> int:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for written tables and stream checkpoints.
 
-    It lies under ``spark.checkpoint.dir``, which every executor can reach. Only a local
-    master without that setting gets a temporary folder of its own machine.
+    It lies under ``spark.checkpoint.dir``, which every executor can reach. Only a master within
+    this process and without that setting gets a temporary folder of its own machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
     return f"{base.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"

@@ -84,7 +84,12 @@ def natural_order(version: str) -> list:
 
 
 def upsert(current: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``changes`` replace current rows of the same key; other rows of both are kept."""
+    """Rows of ``changes`` replace current rows of the same key; other rows of both are kept.
+
+    Two changes to one key are an error, as it would not be clear which one holds.
+    """
+    if changes.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError(f"several changes to one key ({', '.join(keys)})")
     kept = current.join(changes.select(*keys), keys, "left_anti")
     return kept.select(*current.columns).unionByName(changes.select(*current.columns))
 

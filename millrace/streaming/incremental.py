@@ -153,6 +153,9 @@ class FeatureRefresh:
 
     def current(self, name: str = "features") -> DataFrame:
         """The newest row of every key."""
+        if name not in self.schemas:  # written by an earlier run
+            stored = self.spark.read.parquet(f"{self.root}/{name}").schema
+            self.schemas[name] = T.StructType([f for f in stored if f.name != "batch"])
         rows = read_batches(self.spark, f"{self.root}/{name}", self.schemas[name])
         values = F.struct(*[c for c in self.schemas[name].names if c not in self.keys])
         newest = rows.groupBy(*self.keys).agg(F.max_by(values, F.col("batch")).alias("_v"))
