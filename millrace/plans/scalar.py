@@ -130,10 +130,14 @@ def fn_hash_uniform(spark, sf):
         F.count("*").alias("n"))
 
 
-@query("fn_random")
+@query("fn_random", "select c_custkey, true as number_ok, 8 as code_length, true as score_ok from customer")
 def fn_random(spark, sf):
-    return table(spark, sf, "customer").select(
+    """Random numbers, strings and whole numbers per row, with whether each keeps to its range."""
+    drawn = table(spark, sf, "customer").select(
         "c_custkey", F.rand(1).alias("number"), F.randstr(F.lit(8), 2).alias("code"), F.uniform(F.lit(0), F.lit(100), 3).alias("score"))
+    return drawn.select(
+        "c_custkey", ((F.col("number") >= 0) & (F.col("number") < 1)).alias("number_ok"), F.length("code").alias("code_length"),
+        F.col("score").between(0, 100).alias("score_ok"))
 
 
 GEO_SQL = f"""

@@ -1,4 +1,4 @@
-"""Approximate aggregates. Estimates have no SQL twin; ``exact_vs_approx`` checks their error bounds."""
+"""Approximate aggregates, each with what is exact beside it and whether the estimate keeps its bound."""
 
 from __future__ import annotations
 
@@ -16,58 +16,93 @@ def _monthly(spark, sf):
         "l_returnflag", "l_partkey", "l_extendedprice", F.date_format("l_shipdate", "yyyy-MM").alias("month"))
 
 
-@query("approx_distinct")
+MONTH = "strftime(l_shipdate, '%Y-%m')"
+
+
+def _beside_exact(estimates, lines, by, estimate="n_distinct", bound=0.08):
+    """The exact distinct count, and whether the estimate is within its bound of it."""
+    exact = lines.groupBy(*by).agg(F.countDistinct("l_partkey").alias("exact"))
+    joined = exact.join(estimates, by) if by else exact.crossJoin(F.broadcast(estimates))
+    return joined.select(*by, "exact", (F.abs(F.col(estimate) - F.col("exact")) <= F.greatest(F.col("exact") * bound, F.lit(1))).alias("within"))
+
+
+def _ranks_hold(estimates, lines, by, wanted, bound=0.03):
+    """Whether each estimated quantile lies where its share of the rows says it should."""
+    checks = [
+        ((F.avg((F.col("l_extendedprice") <= F.col(name)).cast("double")) >= p - bound)
+         & (F.avg((F.col("l_extendedprice") < F.col(name)).cast("double")) <= p + bound)).alias(f"{name}_ok") for name, p in wanted.items()
+    ]
+    joined = lines.join(estimates, by) if by else lines.crossJoin(F.broadcast(estimates))
+    return joined.groupBy(*by).agg(F.count("*").alias("n"), *checks)
+
+
+@query("approx_distinct", """
+    select count(distinct l_orderkey) as orders, count(distinct l_partkey) as parts, true as orders_ok, true as parts_ok from lineitem
+""")
 def approx_distinct(spark, sf):
-    return table(spark, sf, "lineitem").agg(
-        F.approx_count_distinct("l_orderkey", 0.02).alias("orders"), F.approx_count_distinct("l_partkey", 0.02).alias("parts"))
+    lines = table(spark, sf, "lineitem")
+    rough = lines.agg(F.approx_count_distinct("l_orderkey", 0.02).alias("o"), F.approx_count_distinct("l_partkey", 0.02).alias("p"))
+    exact = lines.agg(F.countDistinct("l_orderkey").alias("orders"), F.countDistinct("l_partkey").alias("parts"))
+    return exact.crossJoin(F.broadcast(rough)).select(
+        "orders", "parts", (F.abs(F.col("o") - F.col("orders")) <= 0.08 * F.col("orders")).alias("orders_ok"),
+        (F.abs(F.col("p") - F.col("parts")) <= 0.08 * F.col("parts")).alias("parts_ok"))
+
+
+BY_MONTH = f"select {MONTH} as month, count(distinct l_partkey) as exact, true as within from lineitem group by 1"
 
 
-@query("hll_accumulate")
+@query("hll_accumulate", BY_MONTH.replace("true as within", "true as within, true as small"))
 def hll_accumulate(spark, sf):
+    """One state per month: bounded in size, and its estimate is within the bound."""
     states = sk.hll_accumulate(_monthly(spark, sf), "l_partkey", ["month"])
-    return states.select("month", F.length("sketch").alias("bytes"))
+    sizes = states.select("month", (F.length("sketch") <= 8192).alias("small"))
+    return _beside_exact(sk.hll_estimate(states), _monthly(spark, sf), ["month"]).join(sizes, "month")
 
 
-@query("hll_combine")
+@query("hll_combine", "select l_returnflag, count(distinct l_partkey) as exact, true as within from lineitem group by 1")
 def hll_combine(spark, sf):
     states = sk.hll_accumulate(_monthly(spark, sf), "l_partkey", ["l_returnflag", "month"])
-    return sk.hll_estimate(sk.hll_combine(states, ["l_returnflag"]))
+    return _beside_exact(sk.hll_estimate(sk.hll_combine(states, ["l_returnflag"])), _monthly(spark, sf), ["l_returnflag"])
 
 
-@query("hll_estimate")
+@query("hll_estimate", BY_MONTH)
 def hll_estimate(spark, sf):
-    return sk.hll_estimate(sk.hll_accumulate(_monthly(spark, sf), "l_partkey", ["month"]))
+    return _beside_exact(sk.hll_estimate(sk.hll_accumulate(_monthly(spark, sf), "l_partkey", ["month"])), _monthly(spark, sf), ["month"])
 
 
-@query("hll_export_import")
+@query("hll_export_import", "select count(distinct l_partkey) as exact, true as within from lineitem")
 def hll_export_import(spark, sf):
     """States stored as binary values, read back and merged."""
     stored = write(sk.hll_accumulate(_monthly(spark, sf), "l_partkey", ["month"]), scratch_dir(spark, "hll"))
-    return sk.hll_estimate(sk.hll_combine(stored))
+    return _beside_exact(sk.hll_estimate(sk.hll_combine(stored)), _monthly(spark, sf), [])
 
 
-@query("approx_quantile")
+@query("approx_quantile", "select count(*) as n, true as median_ok, true as p95_ok from lineitem")
 def approx_quantile(spark, sf):
-    return table(spark, sf, "lineitem").agg(
-        F.percentile_approx("l_extendedprice", 0.5, 10_000).alias("median"),
-        F.percentile_approx("l_extendedprice", 0.95, 10_000).alias("p95"))
+    lines = table(spark, sf, "lineitem")
+    rough = lines.agg(
+        F.percentile_approx("l_extendedprice", 0.5, 10_000).alias("median"), F.percentile_approx("l_extendedprice", 0.95, 10_000).alias("p95"))
+    return _ranks_hold(rough, lines.select("l_extendedprice"), [], {"median": 0.5, "p95": 0.95}, bound=0.001)
 
 
-@query("quantile_accumulate")
+@query("quantile_accumulate", f"select {MONTH} as month, count(*) as n from lineitem group by 1")
 def quantile_accumulate(spark, sf):
     states = sk.quantile_accumulate(_monthly(spark, sf), "l_extendedprice", ["month"])
     return states.select("month", F.kll_sketch_get_n_double("sketch").alias("n"))
 
 
-@query("quantile_combine")
+@query("quantile_combine", "select l_returnflag, count(*) as n, true as median_ok, true as p95_ok from lineitem group by 1")
 def quantile_combine(spark, sf):
+    wanted = {"median": 0.5, "p95": 0.95}
     states = sk.quantile_accumulate(_monthly(spark, sf), "l_extendedprice", ["l_returnflag", "month"])
-    return sk.quantile_estimate(sk.quantile_combine(states, ["l_returnflag"]), {"median": 0.5, "p95": 0.95})
+    merged = sk.quantile_estimate(sk.quantile_combine(states, ["l_returnflag"]), wanted)
+    return _ranks_hold(merged, _monthly(spark, sf), ["l_returnflag"], wanted)
 
 
-@query("quantile_estimate")
+@query("quantile_estimate", f"select {MONTH} as month, count(*) as n, true as median_ok from lineitem group by 1")
 def quantile_estimate(spark, sf):
-    return sk.quantile_estimate(sk.quantile_accumulate(_monthly(spark, sf), "l_extendedprice", ["month"]), {"median": 0.5})
+    rough = sk.quantile_estimate(sk.quantile_accumulate(_monthly(spark, sf), "l_extendedprice", ["month"]), {"median": 0.5})
+    return _ranks_hold(rough, _monthly(spark, sf), ["month"], {"median": 0.5})
 
 
 @query("quantile_exact", """
@@ -77,21 +112,36 @@ def quantile_exact(spark, sf):
     return exact_quantiles(table(spark, sf, "lineitem"), {f"q{n}": ("l_extendedprice", p) for n, p in ((1, 0.25), (2, 0.5), (99, 0.99))})
 
 
-@query("minhash")
+@query("minhash", "select l_returnflag, 64 as slots, true as unchanged_by_copies from lineitem group by 1")
 def minhash(spark, sf):
-    return sk.minhash_signature(_monthly(spark, sf), "l_partkey", ["l_returnflag"], k=64)
+    """A signature depends on the set alone: rows given twice do not change it."""
+    lines = _monthly(spark, sf)
+    twice = sk.minhash_signature(lines.unionAll(lines), "l_partkey", ["l_returnflag"], k=64, name="again")
+    return sk.minhash_signature(lines, "l_partkey", ["l_returnflag"], k=64).join(twice, "l_returnflag").select(
+        "l_returnflag", F.size("signature").alias("slots"), (F.col("signature") == F.col("again")).alias("unchanged_by_copies"))
 
 
-@query("minhash_combine")
+@query("minhash_combine", "select l_returnflag, true as same_as_direct from lineitem group by 1")
 def minhash_combine(spark, sf):
+    """Signatures of months merge to the signature of all their rows."""
     states = sk.minhash_signature(_monthly(spark, sf), "l_partkey", ["l_returnflag", "month"], k=64)
-    return sk.minhash_combine(states, ["l_returnflag"], k=64)
+    direct = sk.minhash_signature(_monthly(spark, sf), "l_partkey", ["l_returnflag"], k=64, name="direct")
+    return sk.minhash_combine(states, ["l_returnflag"], k=64).join(direct, "l_returnflag").select(
+        "l_returnflag", (F.col("signature") == F.col("direct")).alias("same_as_direct"))
 
 
-@query("approx_similarity")
+@query("approx_similarity", """
+    with held as (select l_partkey, count(distinct l_returnflag) as flags from lineitem group by 1)
+    select round(avg(case when flags = (select count(distinct l_returnflag) from lineitem) then 1.0 else 0.0 end), 6) as jaccard, true as within from held
+""")
 def approx_similarity(spark, sf):
-    states = sk.minhash_signature(_monthly(spark, sf), "l_partkey", ["l_returnflag"], k=128)
-    return sk.signature_similarity(states, k=128)
+    """The exact Jaccard index of all groups together, and whether the estimate is within four deviations of it."""
+    lines = _monthly(spark, sf)
+    rough = sk.signature_similarity(sk.minhash_signature(lines, "l_partkey", ["l_returnflag"], k=128), k=128)
+    flags = lines.agg(F.countDistinct("l_returnflag")).first()[0]
+    held = lines.groupBy("l_partkey").agg(F.countDistinct("l_returnflag").alias("flags"))
+    exact = held.agg(F.round(F.avg((F.col("flags") == flags).cast("double")), 6).alias("jaccard"))
+    return exact.crossJoin(F.broadcast(rough)).select("jaccard", (F.abs(F.col("similarity") - F.col("jaccard")) <= 4 * 0.5 / 128 ** 0.5).alias("within"))
 
 
 @query("approx_topk")

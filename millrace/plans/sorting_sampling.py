@@ -31,14 +31,26 @@ def limit_offset(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", "c_acctbal").orderBy("c_acctbal", "c_custkey").offset(7).limit(7)
 
 
-@query("head")
+@query("head", "select 5::bigint as n, true as members")
 def head(spark, sf):
-    return table(spark, sf, "orders").limit(5)
+    """Any five rows: as many as asked for, all of them rows of the table."""
+    orders = table(spark, sf, "orders")
+    some = orders.limit(5)
+    found = some.join(orders.select(F.col("o_orderkey").alias("key")), F.col("o_orderkey") == F.col("key"), "left")
+    return found.agg(F.count("*").alias("n"), F.every(F.col("key").isNotNull()).alias("members"))
 
 
-@query("sample_frac")
+@query("sample_frac", "select count(*) as rows, true as within, true as members from lineitem")
 def sample_frac(spark, sf):
-    return table(spark, sf, "lineitem").sample(0.01)
+    """An unseeded sample: its size is within six deviations of the fraction, and it holds no row more often than the table."""
+    lines = table(spark, sf, "lineitem")
+    key = ["l_orderkey", "l_partkey", "l_linenumber"]
+    drawn = lines.sample(0.01).groupBy(*key).agg(F.count("*").alias("drawn"))
+    held = lines.groupBy(*key).agg(F.count("*").alias("held"))
+    counted = held.join(drawn, key, "left").agg(
+        F.sum("held").alias("rows"), F.sum(F.coalesce("drawn", F.lit(0))).alias("drawn"), F.every(F.coalesce("drawn", F.lit(0)) <= F.col("held")).alias("members"))
+    bound = 6 * F.sqrt(F.col("rows") * 0.01 * 0.99) + 1
+    return counted.select("rows", (F.abs(F.col("drawn") - F.col("rows") * 0.01) <= bound).alias("within"), "members")
 
 
 @query("sample_seeded", f"select o_orderkey, o_totalprice from orders where {HASH.format(key='o_orderkey', seed=400)} < 858993459")

@@ -186,10 +186,13 @@ def gen_rows(spark, sf):
     return rows.groupBy("bucket").agg(F.count("*").alias("n"))
 
 
-@query("gen_rows_sql")
+@query("gen_rows_sql", """
+    select c_custkey - (select min(c_custkey) from customer) as id,
+           'Customer#' || lpad((c_custkey - (select min(c_custkey) from customer))::varchar, 9, '0') as name, 10 as note_length, true as grade_ok, true as score_ok from customer
+""")
 def gen_rows_sql(spark, sf):
     n = table(spark, sf, "customer").count()
-    return spark.sql(
+    rows = spark.sql(
         """
         SELECT id, concat('Customer#', lpad(cast(id AS string), 9, '0')) AS name, randstr(10, 5) AS note,
                pmod(xxhash64(id, 1), 10) AS grade, uniform(0, 100, 42) AS score
@@ -197,6 +200,8 @@ def gen_rows_sql(spark, sf):
         """,
         args={"n": n},
     )
+    return rows.select(
+        "id", "name", F.length("note").alias("note_length"), F.col("grade").between(0, 9).alias("grade_ok"), F.col("score").between(0, 100).alias("score_ok"))
 
 
 @query("values_rows", PRIORITY_SQL.replace("::bigint", ""))

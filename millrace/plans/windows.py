@@ -34,10 +34,11 @@ def dense_ids_sql(spark, sf):
     return spark.sql("SELECT o_custkey, id FROM customer_ids")
 
 
-@query("row_ids_any_order")
+@query("row_ids_any_order", "select count(*) as n, count(*) as ids, true as not_negative from part")
 def row_ids_any_order(spark, sf):
     """Unique, increasing ids in no stated order: partition number and position, without a shuffle."""
-    return table(spark, sf, "part").select(F.monotonically_increasing_id().alias("row_id"), "p_partkey")
+    ids = table(spark, sf, "part").select(F.monotonically_increasing_id().alias("row_id"), "p_partkey")
+    return ids.agg(F.count("p_partkey").alias("n"), F.countDistinct("row_id").alias("ids"), (F.min("row_id") >= 0).alias("not_negative"))
 
 
 @query("win_total", SHARE_SQL)

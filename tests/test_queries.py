@@ -9,7 +9,7 @@ from millrace.plans import ORACLES, QUERIES
 from tests.harness import compare, oracle_connection
 
 SF_DIR = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
-MAY_BE_EMPTY = {"sample_frac", "sample_block"}
+MAY_BE_EMPTY = {"sample_block"}
 
 
 @pytest.fixture(scope="module")
