@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.asof import point_in_time
-from millrace.sources.versions import VersionedTable, children
+from millrace.sources.versions import VersionedTable, children, exists
+from millrace.streaming.incremental import FeatureRefresh
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,7 @@ class FeatureView:
     description: str = ""
     feature_descriptions: dict[str, str] = field(default_factory=dict)
     version: str | None = None
+    refresh_every: str | None = None
 
     @property
     def features(self) -> list[str]:
@@ -42,15 +44,13 @@ class FeatureView:
         frame = self.frame
         for name, text in descriptions.items():
             frame = frame.withMetadata(name, {"comment": text})
-        return FeatureView(self.name, self.entity, frame, self.timestamp_col, self.description,
-                           {**self.feature_descriptions, **descriptions}, self.version)
+        return replace(self, frame=frame, feature_descriptions={**self.feature_descriptions, **descriptions})
 
     def slice(self, names: Sequence[str]) -> FeatureView:
         """The same view with some of its features; only these are read from storage."""
         kept = [*self.entity.join_keys, *([self.timestamp_col] if self.timestamp_col else []), *names]
         notes = {n: t for n, t in self.feature_descriptions.items() if n in names}
-        return FeatureView(self.name, self.entity, self.frame.select(*kept), self.timestamp_col, self.description, notes,
-                           self.version)
+        return replace(self, frame=self.frame.select(*kept), feature_descriptions=notes)
 
 
 class FeatureStore:
@@ -71,11 +71,10 @@ class FeatureStore:
         entry = json.dumps({
             "name": view.name, "version": version, "entity": view.entity.name, "entity_description": view.entity.description,
             "keys": list(view.entity.join_keys), "timestamp_col": view.timestamp_col, "description": view.description,
-            "features": view.feature_descriptions,
+            "features": view.feature_descriptions, "refresh_every": view.refresh_every,
         })
         self.spark.createDataFrame([(entry,)], "value string").coalesce(1).write.text(self._entry(view.name, version))
-        return FeatureView(view.name, view.entity, stored, view.timestamp_col, view.description,
-                           view.feature_descriptions, version)
+        return replace(view, frame=stored, version=version)
 
     def get(self, name: str, version: str | None = None) -> FeatureView:
         version = version or self._table(name).latest()
@@ -84,7 +83,7 @@ class FeatureStore:
         meta = json.loads(self.spark.read.text(self._entry(name, version)).first()["value"])
         entity = Entity(meta["entity"], tuple(meta["keys"]), meta["entity_description"])
         return FeatureView(name, entity, self._table(name).read(version), meta["timestamp_col"], meta["description"],
-                           meta["features"], version)
+                           meta["features"], version, meta.get("refresh_every"))
 
     def get_or_register(self, view: FeatureView, version: str) -> FeatureView:
         try:
@@ -103,8 +102,23 @@ class FeatureStore:
             rows, "name string, version string, entity string, keys string, timestamp_col string, description string, features string")
 
     def read(self, name: str, version: str | None = None) -> DataFrame:
-        """Current rows of a view."""
-        return self.get(name, version).frame
+        """Current rows of a view: of the version asked for, else as last refreshed, else of the newest version."""
+        view = self.get(name, version)
+        if version is None and exists(self.spark, f"{self.root}/refreshed/{name}/features"):
+            return self._refresh(view, None).current()
+        return view.frame
+
+    def _refresh(self, view: FeatureView, features: Callable[[DataFrame], DataFrame] | None) -> FeatureRefresh:
+        return FeatureRefresh(self.spark, f"{self.root}/refreshed/{view.name}", view.entity.join_keys, features)
+
+    def keep_fresh(self, name: str, stream: DataFrame, features: Callable[[DataFrame], DataFrame]):
+        """Recompute a registered view's features for the keys that new rows of ``stream`` touch.
+
+        A view with ``refresh_every`` is refreshed at that interval until the returned streaming query is stopped;
+        without it, one run handles what is there.
+        """
+        view = self.get(name)
+        return self._refresh(view, features).run(stream, view.refresh_every)
 
     def retrieve(self, spine: DataFrame, views: Sequence[FeatureView], spine_ts: str | None = None) -> DataFrame:
         """Feature values for each spine row, as of ``spine_ts`` where a view has a time column."""

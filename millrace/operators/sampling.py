@@ -33,12 +33,12 @@ def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 0) -> DataF
 
     ``keys`` should identify a row: rows with equal keys share a hash and are ranked together.
 
-    Three counting passes over 4096, 4096 and 256 hash ranges find the exact cut-off, each one a
-    scan with a tiny aggregate. Only rows on the cut-off hash itself are ranked.
+    Two counting passes over 65,536 hash ranges each find the exact cut-off, each one a scan of the
+    keys with a small aggregate. Only rows on the cut-off hash itself are ranked.
     """
     hashed = df.withColumn("_h", key_hash(keys, seed))
     low, width, room = 0, HASH_SPAN, n
-    for parts in (4096, 4096, 256):
+    for parts in (1 << 16, 1 << 16):
         step = width // parts
         inside = hashed.where((F.col("_h") >= low) & (F.col("_h") < low + width))
         counts = {

@@ -283,8 +283,13 @@ def fillna_map(spark, sf):
         "first_day", F.coalesce("first_day", F.lit(date(1970, 1, 1))).cast("string"))
 
 
-@query("context_fns")
+@query("context_fns", "select r_regionkey, true as named, true as known_place, true as one_moment from region")
 def context_fns(spark, sf):
-    return table(spark, sf, "region").select(
+    """User, catalogue, schema and time of the session: set, listed, and the same for all rows."""
+    facts = table(spark, sf, "region").select(
         "r_regionkey", F.current_user().alias("user"), F.current_catalog().alias("catalog"),
         F.current_schema().alias("schema"), F.current_date().alias("today"), F.current_timestamp().alias("now"))
+    catalog, schema = spark.catalog.currentCatalog(), spark.catalog.currentDatabase()
+    return facts.select(
+        "r_regionkey", (F.length("user") > 0).alias("named"), ((F.col("catalog") == catalog) & (F.col("schema") == schema)).alias("known_place"),
+        (F.col("today") == F.to_date("now")).alias("one_moment"))

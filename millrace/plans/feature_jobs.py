@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from millrace.features.views import Entity, FeatureStore, FeatureView, latest_sp
 from millrace.functions.scalars import flag, ratio
 from millrace.functions.text import lexicon_frame, sentiment_scores
 from millrace.models.fits import balanced_logistic, score
-from millrace.models.registry import ModelStore, probabilities
+from millrace.models.registry import ModelStore, probabilities, register_sql_model
 from millrace.operators.asof import point_in_time
 from millrace.operators.semistruct import dot
 from millrace.plans.registry import query
@@ -404,26 +405,61 @@ def score_pairs(spark, sf):
         "o_orderkey", F.round(dot(F.col("user_features"), F.col("item_features")), 4).alias("prediction"))
 
 
-@query("score_batch")
+SCORED_SQL = "select c_custkey as id, true as sums_to_one, true as likelier_class from customer"
+
+
+def checked_scores(scored: DataFrame) -> DataFrame:
+    """Per scored row, whether its probabilities are shares of one and its class is the likelier one."""
+    likelier = F.when(F.col("probability_1") > F.col("probability_0"), 1.0).when(F.col("probability_1") < F.col("probability_0"), 0.0)
+    return scored.select(
+        "id", (F.col("probability_0").between(0, 1) & (F.abs(F.col("probability_0") + F.col("probability_1") - 1) < 1e-9)).alias("sums_to_one"),
+        (F.col("prediction") == F.coalesce(likelier, "prediction")).alias("likelier_class"))
+
+
+@query("score_batch", SCORED_SQL)
 def score_batch(spark, sf):
-    """Id, class probabilities and class of every customer, written."""
+    """Id, class probabilities and class of every customer, written; read again and checked."""
     data = churn(spark, sf)
     model = balanced_logistic(["c_acctbal", "n_orders"], "target").fit(data)
     scored = probabilities(model.transform(data), ["id"])
-    return write(scored, scratch_dir(spark, "scores"))
+    return checked_scores(write(scored, scratch_dir(spark, "scores")))
+
+
+@query("score_in_sql", "select c_custkey as id, true as same_v1, true as same_default from customer")
+def score_in_sql(spark, sf):
+    """Stored versions called from SQL; each gives what scoring the frame gives."""
+    data = churn(spark, sf)
+    models = ModelStore(spark, scratch_dir(spark, "models"))
+    models.save("churn", "v1", balanced_logistic(["n_orders"], "target").fit(data))
+    models.save("churn", "v2", balanced_logistic(["c_acctbal", "n_orders"], "target").fit(data))
+    first, newest = models.load("churn", "v1"), models.load("churn")
+    register_sql_model(spark, "churn_v1", first)
+    register_sql_model(spark, "churn_default", newest)
+    data.createOrReplaceTempView("churn_customers")
+    called = spark.sql("SELECT id, churn_v1(n_orders) AS v1, churn_default(c_acctbal, n_orders) AS newest FROM churn_customers")
+    direct = [
+        probabilities(model.transform(data), ["id"]).select("id", F.col("probability_1").alias(name))
+        for model, name in ((first, "direct_v1"), (newest, "direct_newest"))
+    ]
+    return called.join(direct[0], "id").join(direct[1], "id").select(
+        "id", (F.abs(F.col("v1") - F.col("direct_v1")) < 1e-9).alias("same_v1"),
+        (F.abs(F.col("newest") - F.col("direct_newest")) < 1e-9).alias("same_default"))
 
 
-@query("score_by_version")
+@query("score_by_version", """
+    select version, inputs, count(*) as n from customer, (values ('v1', 1), ('default', 2)) v(version, inputs) group by 1, 2
+""")
 def score_by_version(spark, sf):
-    """Two stored versions of one model; the default is the newest."""
+    """Two stored versions of one model, of one and two inputs; the default is the newest. Each scores all customers."""
     data = churn(spark, sf)
     models = ModelStore(spark, scratch_dir(spark, "models"))
     models.save("churn", "v1", balanced_logistic(["n_orders"], "target").fit(data))
     models.save("churn", "v2", balanced_logistic(["c_acctbal", "n_orders"], "target").fit(data))
     scored = [
-        score(models.load("churn", version), data).select("id", F.lit(label).alias("version"), F.col("prediction"))
+        score(models.load("churn", version), data).select(
+            F.lit(label).alias("version"), F.size(vector_to_array("features")).alias("inputs"), "prediction")
         for version, label in (("v1", "v1"), (None, "default"))
     ]
-    return scored[0].unionByName(scored[1]).groupBy("version", "prediction").agg(F.count("*").alias("n"))
+    return scored[0].unionByName(scored[1]).where("prediction in (0, 1)").groupBy("version", "inputs").agg(F.count("*").alias("n"))
 
 

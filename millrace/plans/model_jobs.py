@@ -11,7 +11,7 @@ from millrace.features.steps import ColumnTransformer, Pipeline
 from millrace.features.transformers import MinMaxScaler, OneHotEncoder
 from millrace.models import fits, metrics
 from millrace.models.registry import probabilities
-from millrace.plans.feature_jobs import churn, customer_features
+from millrace.plans.feature_jobs import SCORED_SQL, checked_scores, churn, customer_features
 from millrace.plans.registry import query
 from millrace.session import table
 
@@ -33,15 +33,21 @@ def kmeans(spark, sf):
     return report.agg(F.count("cluster").alias("clusters"), F.sum("n").alias("rows"), mean("lat"), mean("lon"))
 
 
-@query("fit_kmeans_scaled")
+@query("fit_kmeans_scaled", """
+    select 5::bigint as clusters, count(distinct o_custkey) as rows, true as inside
+    from orders where o_orderkey in (select l_orderkey from lineitem)
+""")
 def fit_kmeans_scaled(spark, sf):
+    """Clusters of scaled features: they share out all customers, and their centres lie in the scaled range."""
     features = customer_features(spark, sf, all_lines=True)
     scaled = ["return_ratio_mms", "frequency_mms"]
     model = Pipeline([
         ("scale", MinMaxScaler(["return_ratio", "frequency"], scaled, clip=True)), ("cluster", fits.kmeans(scaled, k=5, seed=0)),
     ]).fit(features)
     scored = model.transform(features).withColumn("cluster", F.when(fits.complete(), F.col("cluster")))
-    return fits.cluster_report(model["cluster"], scored, scaled)
+    report = fits.cluster_report(model["cluster"], scored, scaled)
+    inside = [F.every(F.col("cluster").isNull() | F.col(c).between(0, 1)) for c in scaled]
+    return report.agg(F.count("cluster").alias("clusters"), F.sum("n").alias("rows"), (inside[0] & inside[1]).alias("inside"))
 
 
 @query("linear_fit", """
@@ -67,16 +73,22 @@ def linear_fit_many(spark, sf):
     return fits.coefficients(model, lines, features).withColumn("value", F.round("value", 2))
 
 
-@query("logistic_fit")
+@query("logistic_fit", "select count(*) as rows, true as better_than_chance, true as in_range from customer")
 def logistic_fit(spark, sf):
-    """Scaled and one-hot features, balanced classes, metrics on the rows it was fitted on."""
+    """Scaled and one-hot features, balanced classes: every row scored, and the classes told apart better than by chance."""
     data = churn(spark, sf)
     prepared = Pipeline([("prepare", ColumnTransformer([
         ("num", MinMaxScaler, ["c_acctbal", "n_orders"]), ("cat", OneHotEncoder(["c_mktsegment"], drop_input_cols=True), None)]))])
     ready = prepared.fit(data).transform(data)
     features = ["c_acctbal", "n_orders", *[c for c in ready.columns if c.startswith("c_mktsegment_")]]
     scored = fits.balanced_logistic(features, "target").fit(ready).transform(ready)
-    return metrics.classification(scored, "target", "prediction")
+    held = metrics.classification(scored, "target", "prediction")
+    by_class = scored.agg(
+        F.count("prediction").alias("rows"), F.avg(F.when(F.col("target") == 1, F.col("prediction"))).alias("hit"),
+        F.avg(F.when(F.col("target") == 0, F.col("prediction"))).alias("false_alarm"))
+    return by_class.crossJoin(F.broadcast(held)).select(
+        "rows", (F.col("hit") > F.col("false_alarm")).alias("better_than_chance"),
+        (F.col("accuracy").between(0, 1) & F.col("precision").between(0, 1) & (F.col("recall") == F.col("hit")) & F.col("f1").between(0, 1)).alias("in_range"))
 
 
 NB_SQL = """
@@ -112,53 +124,69 @@ def naive_bayes_predict(spark, sf):
 FOREST_FEATURES = ["c_acctbal", "c_nationkey", "n_orders"]
 
 
-@query("forest_fit")
+@query("forest_fit", "select unnest(['c_acctbal', 'c_nationkey', 'n_orders']) as feature, true as valid, 1.0::double as total")
 def forest_fit(spark, sf):
+    """Importances: a share for each feature, one in all."""
     data = churn(spark, sf)
     model = fits.forest(FOREST_FEATURES, "target", trees=300).fit(data)
-    return fits.importances(model, data, FOREST_FEATURES)
+    shares = fits.importances(model, data, FOREST_FEATURES)
+    total = shares.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return shares.crossJoin(F.broadcast(total)).select("feature", F.col("importance").between(0, 1).alias("valid"), "total")
 
 
-@query("boosted_fit")
+@query("boosted_fit", SCORED_SQL)
 def boosted_fit(spark, sf):
     data = churn(spark, sf)
     model = fits.boosted_classifier(FOREST_FEATURES, "target", rounds=100).fit(data)
-    return probabilities(model.transform(data), ["id"])
+    return checked_scores(probabilities(model.transform(data), ["id"]))
 
 
-@query("boosted_regression")
+@query("boosted_regression", "select count(*) as rows, true as better_than_mean from part")
 def boosted_regression(spark, sf):
+    """Every part gets a price, nearer to its own than the mean price is."""
     parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", F.length("p_name").alias("name_length"))
-    model = fits.boosted_regressor(["p_size", "p_partkey", "name_length"], "p_retailprice", rounds=20).fit(parts)
-    return metrics.regression(model.transform(parts), "p_retailprice", "prediction")
+    model = fits.boosted_regressor(["p_size", "p_partkey", "name_length"], "p_retailprice", rounds=100).fit(parts)
+    scored = fits.score(model, parts)
+    return metrics.regression(scored, "p_retailprice", "prediction").crossJoin(
+        F.broadcast(scored.agg(F.count("prediction").alias("rows")))).select("rows", (F.col("r2") > 0).alias("better_than_mean"))
 
 
-@query("grid_search")
+@query("grid_search", """
+    select rounds, rate::double as rate, true as better_than_mean
+    from (select unnest([2, 4, 6, 8, 10, 12]) as rounds), (select unnest([0.05, 0.1, 0.2, 0.3, 0.4, 0.5]) as rate)
+""")
 def grid_search(spark, sf):
-    """Six numbers of rounds by six learning rates."""
+    """Six numbers of rounds by six learning rates: each scored on rows it was not fitted on, below the variance of the prices."""
     parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
-    return fits.boosted_grid(
+    scores = fits.boosted_grid(
         parts, ["p_partkey", "p_size"], "p_retailprice", ["p_partkey"], rounds=[2, 4, 6, 8, 10, 12],
         rates=[0.05, 0.1, 0.2, 0.3, 0.4, 0.5], folds=3, depth=3)
+    spread = parts.agg(F.var_pop("p_retailprice").alias("variance"))
+    return scores.crossJoin(F.broadcast(spread)).select("rounds", "rate", (F.col("mse") < F.col("variance")).alias("better_than_mean"))
 
 
-@query("grid_search_classes")
+@query("grid_search_classes", """
+    select row_number() over (order by iter, depth)::integer - 1 as point, 'maxDepth=' || depth || ', maxIter=' || iter as params, true as scored
+    from (select unnest([2, 5]) as iter), (select unnest([1, 3]) as depth)
+""")
 def grid_search_classes(spark, sf):
-    """Cross-validated grid over rounds and depth, scored by F1."""
+    """Cross-validated grid over rounds and depth, scored by F1: a score for every point."""
     learner = GBTClassifier(labelCol="target", seed=0)
     grid = fits.param_grid({learner.maxIter: [2, 5], learner.maxDepth: [1, 3]})
     data = fits.assembler(FOREST_FEATURES).transform(churn(spark, sf).na.drop(subset=FOREST_FEATURES))
     evaluator = MulticlassClassificationEvaluator(labelCol="target", metricName="f1")
-    return fits.search(learner, grid, evaluator, data, ["id"])[1]
+    return fits.search(learner, grid, evaluator, data, ["id"])[1].select("point", "params", F.col("score").between(0, 1).alias("scored"))
 
 
-@query("random_search")
+@query("random_search", "select 4::bigint as points, 4::bigint as different, true as scored")
 def random_search(spark, sf):
+    """Four different points of a grid, each with an error."""
     learner = GBTRegressor(labelCol="p_retailprice", maxDepth=3, seed=0)
     grid = {learner.maxIter: [2, 5, 10, 15], learner.stepSize: [0.05, 0.1, 0.3, 0.5]}
     data = fits.assembler(["p_partkey", "p_size"]).transform(table(spark, sf, "part").na.drop(subset=["p_partkey", "p_size"]))
     evaluator = RegressionEvaluator(labelCol="p_retailprice", metricName="rmse")
-    return fits.search(learner, fits.random_points(grid, 4, seed=7), evaluator, data, ["p_partkey"])[1]
+    found = fits.search(learner, fits.random_points(grid, 4, seed=7), evaluator, data, ["p_partkey"])[1]
+    return found.agg(F.count("*").alias("points"), F.countDistinct("params").alias("different"), F.every(F.col("score") > 0).alias("scored"))
 
 
 def _ratings(spark, sf):
@@ -168,20 +196,30 @@ def _ratings(spark, sf):
         F.avg("l_quantity").alias("rating"))
 
 
-@query("factorize")
+RATED = "(select distinct o_custkey, l_partkey from lineitem join orders on l_orderkey = o_orderkey)"
+
+
+@query("factorize", f"select count(*) as n, true as better_than_mean from {RATED}")
 def factorize(spark, sf):
+    """Every rating is fitted, and nearer than the mean rating is."""
     ratings = _ratings(spark, sf)
     model, users, items = fits.factorize(ratings, "o_custkey", "l_partkey", "rating", rank=10)
     fitted = ratings.join(users, "o_custkey").join(items, "l_partkey").select(
         F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating")
-    return metrics.regression(model.transform(fitted).withColumn("prediction", F.col("prediction").cast("double")), "rating", "prediction")
+    scored = model.transform(fitted).withColumn("prediction", F.col("prediction").cast("double"))
+    return metrics.regression(scored, "rating", "prediction").crossJoin(F.broadcast(scored.agg(F.count("prediction").alias("n")))).select(
+        "n", (F.col("r2") > 0).alias("better_than_mean"))
 
 
-@query("factor_tables")
+@query("factor_tables", f"""
+    select distinct 'user' as kind, o_custkey as id, 10 as width from {RATED} union all select distinct 'item', l_partkey, 10 from {RATED}
+""")
 def factor_tables(spark, sf):
+    """Ten factors for every user and item."""
     model, users, items = fits.factorize(_ratings(spark, sf), "o_custkey", "l_partkey", "rating", rank=10)
     by_user, by_item = fits.factor_tables(model, users, items, "o_custkey", "l_partkey")
-    return by_user.withColumn("kind", F.lit("user")).unionByName(by_item.withColumn("kind", F.lit("item")))
+    both = by_user.withColumn("kind", F.lit("user")).unionByName(by_item.withColumn("kind", F.lit("item")))
+    return both.select("kind", "id", F.size("features").alias("width"))
 
 
 @query("select_features", " union all ".join(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.semistruct import (
-    flatten, flatten_variant, get_path, json_array_rows, split_to_rows,
+    flatten, flatten_nested, flatten_variant, get_path, json_array_rows, split_to_rows,
 )
 from millrace.plans.registry import query
 from millrace.session import spread, table
@@ -83,6 +83,36 @@ def flatten_outer(spark, sf):
     return flatten(turns, "parts", ["conv_id", "turn"], outer=True).withColumnRenamed("value", "part")
 
 
+@query("flatten_object", """
+    select event_id, unnest(['ICAO', 'coord', 'id']) as key, (unnest([null, round(user_id / 10, 4), null]))::double as lat from events
+""")
+def flatten_object(spark, sf):
+    """The fields of an object, one row each."""
+    rows = flatten_variant(weather_documents(spark, sf), "v", "station", ["event_id"], mode="object")
+    return rows.select("event_id", "key", F.round(get_path("value", "lat", "double"), 4).alias("lat"))
+
+
+NESTED_SQL = f"""
+    with fields as (
+        select event_id, unnest(['station', 'station.ICAO', 'station.id', 'station.coord', 'station.coord.lat', 'station.coord.lon',
+                                 'data', 'data.observations', 'data.observations[0]', 'data.observations[1]']) as path from events
+        union all
+        select event_id, 'data.observations[' || index || ']' || unnest(['.dt', '.air', '.air.temp', '.air.dew-point']) from ({OBSERVATIONS}))
+    select event_id, path, case when path like '%]' then null else string_split(path, '.')[-1] end as key,
+           case when path like '%]' then path[-2]::integer end as index,
+           case when path like '%[_].air.temp' then temp end as temp
+    from fields left join ({OBSERVATIONS}) o using (event_id)
+    where case when path like '%[_]%' then o.index = string_split(path, '[')[2][1]::integer else o.index = 0 end
+"""
+
+
+@query("flatten_recursive", NESTED_SQL)
+def flatten_recursive(spark, sf):
+    """Every element of the documents, at any depth."""
+    temp = F.when(F.col("path").rlike(r"air\.temp$"), F.col("value").try_cast("double"))
+    return flatten_nested(weather_documents(spark, sf), "v", ["event_id"]).select("event_id", "path", "key", "index", temp.alias("temp"))
+
+
 @query("flatten_sql", f"select event_id, index, dew from ({OBSERVATIONS})")
 def flatten_sql(spark, sf):
     weather_documents(spark, sf).createOrReplaceTempView("weather_documents")

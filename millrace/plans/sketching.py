@@ -144,22 +144,42 @@ def approx_similarity(spark, sf):
     return exact.crossJoin(F.broadcast(rough)).select("jaccard", (F.abs(F.col("similarity") - F.col("jaccard")) <= 4 * 0.5 / 128 ** 0.5).alias("within"))
 
 
-@query("approx_topk")
+def _top_holds(estimates, rows, item, by, counters=10_000):
+    """Per group: number of items, whether each count is within the sketch's error, and whether no left-out item is clearly more frequent.
+
+    The error of a frequent-items sketch is at most 3.5 rows in ``counters``.
+    """
+    exact = rows.groupBy(*by, F.col(item).alias("item")).agg(F.count("*").alias("exact"))
+    sizes = exact.groupBy(*by).agg(F.ceil(3.5 * F.sum("exact") / counters).alias("error"))
+    named = exact.join(estimates, [*by, "item"], "left")
+    named = named.join(sizes, by) if by else named.crossJoin(F.broadcast(sizes))
+    found = named.groupBy(*by).agg(
+        F.count("n").alias("items"), F.every(F.coalesce(F.abs(F.col("n") - F.col("exact")) <= F.col("error"), F.lit(True))).alias("within"),
+        F.min(F.when(F.col("n").isNotNull(), F.col("exact"))).alias("least"), F.max(F.when(F.col("n").isNull(), F.col("exact"))).alias("missed"),
+        F.max("error").alias("error"))
+    return found.select(*by, "items", "within", F.coalesce(F.col("missed") <= F.col("least") + F.col("error"), F.lit(True)).alias("heaviest"))
+
+
+@query("approx_topk", "select least(10, count(distinct user_id)) as items, true as within, true as heaviest from events")
 def approx_topk(spark, sf):
-    return table(spark, sf, "events").agg(F.expr("approx_top_k(user_id, 10, 10000)").alias("top")).select(
-        F.inline("top").alias("user_id", "n"))
+    events = table(spark, sf, "events")
+    top = events.agg(F.expr("approx_top_k(user_id, 10, 10000)").alias("top")).select(F.inline("top").alias("item", "n"))
+    return _top_holds(top, events, "user_id", [])
 
 
-@query("topk_accumulate")
+@query("topk_accumulate", """
+    select event_type, least(3, count(distinct user_id)) as items, true as within, true as heaviest from events group by 1
+""")
 def topk_accumulate(spark, sf):
-    states = sk.topk_accumulate(table(spark, sf, "events"), "user_id", ["event_type"])
-    return sk.topk_estimate(states, 3)
+    events = table(spark, sf, "events")
+    return _top_holds(sk.topk_estimate(sk.topk_accumulate(events, "user_id", ["event_type"]), 3), events, "user_id", ["event_type"])
 
 
-@query("topk_combine")
+@query("topk_combine", "select least(10, count(distinct user_id)) as items, true as within, true as heaviest from events")
 def topk_combine(spark, sf):
-    states = sk.topk_accumulate(table(spark, sf, "events"), "user_id", ["event_type"])
-    return sk.topk_estimate(sk.topk_combine(states), 10)
+    events = table(spark, sf, "events")
+    states = sk.topk_accumulate(events, "user_id", ["event_type"])
+    return _top_holds(sk.topk_estimate(sk.topk_combine(states), 10), events, "user_id", [])
 
 
 @query("topk_estimate", """

@@ -63,9 +63,14 @@ def sample_n_query(spark, sf):
     return sample_n(table(spark, sf, "events"), 500, ["event_id"]).select("event_id", "user_id")
 
 
-@query("sample_block")
+@query("sample_block", "select count(*) as rows, true as whole from lineitem")
 def sample_block(spark, sf):
-    return sample_blocks(table(spark, sf, "lineitem"), 0.1, seed=1)
+    """Every block of rows is in the sample as a whole or not at all."""
+    lines = table(spark, sf, "lineitem")
+    block = F.struct(F.col("_metadata.file_name").alias("file"), F.floor(F.col("_metadata.row_index") / 1024).alias("run")).alias("block")
+    drawn = sample_blocks(lines, 0.1, seed=1).select(block).groupBy("block").agg(F.count("*").alias("drawn"))
+    held = lines.select(block).groupBy("block").agg(F.count("*").alias("held"))
+    return held.join(drawn, "block", "left").agg(F.sum("held").alias("rows"), F.every(F.coalesce("drawn", "held") == F.col("held")).alias("whole"))
 
 
 @query("split_random", f"""

@@ -140,9 +140,9 @@ def refresh_chain(spark, sf):
     return _refreshed(spark, sf, "chain", ("segments", segment)).current("segments")
 
 
-@query("stream_scoring")
+@query("stream_scoring", f"select count(*) as n, true as clustered from orders where o_orderdate >= timestamp '{NOW}'")
 def stream_scoring(spark, sf):
-    """A fitted pipeline applied to rows as they arrive."""
+    """A fitted pipeline applied to rows as they arrive: each of them gets one of the three clusters."""
     orders = _orders(spark, sf)
     past, rest = preload(orders, "o_orderdate", NOW)
     model = kmeans(["o_totalprice", "o_custkey"], k=3).fit(past)
@@ -150,4 +150,5 @@ def stream_scoring(spark, sf):
     rest.write.parquet(inbox)
     scored = score(model, change_stream(spark, inbox, orders.schema), "cluster").select("o_orderkey", "cluster")
     run_to_files(scored, out, state)
-    return spark.read.schema(scored.schema).parquet(out).groupBy("cluster").agg(F.count("*").alias("n"))
+    return spark.read.schema(scored.schema).parquet(out).agg(
+        F.countDistinct("o_orderkey").alias("n"), F.every(F.coalesce(F.col("cluster").isin(0, 1, 2), F.lit(False))).alias("clustered"))

@@ -5,13 +5,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.features.views import Entity, FeatureStore, FeatureView
 from millrace.functions.scalars import haversine, within_box
 from millrace.models import fits
 from millrace.models.registry import ModelStore, probabilities
 from millrace.operators.rangebuckets import exact_quantiles
 from millrace.session import scratch_dir
 from millrace.sources.versions import upsert
-from millrace.streaming.incremental import FeatureRefresh
+from millrace.streaming.incremental import FeatureRefresh, change_stream
 
 
 @pytest.fixture(scope="module")
@@ -70,6 +71,30 @@ def test_refresh_after_a_restart(spark):
     assert sorted(map(tuple, views().current().collect())) == [(1, 5), (2, 5)]
 
 
+@pytest.mark.parametrize("every", [None, "200 milliseconds"])
+def test_registered_view_refreshes_itself(spark, every):
+    root, inbox = scratch_dir(spark, "store"), scratch_dir(spark, "inbox")
+    rows = lambda *values: spark.createDataFrame(list(values), "k int, v int")
+    totals = lambda found: found.groupBy("k").agg(F.sum("v").alias("total"))
+    rows((1, 2), (2, 5)).write.parquet(inbox)
+    FeatureStore(spark, root).register(FeatureView("totals", Entity("k", ("k",)), totals(spark.read.parquet(inbox)), refresh_every=every), "v1")
+    store = FeatureStore(spark, root)
+    assert store.get("totals").refresh_every == every
+
+    def refresh():
+        running = store.keep_fresh("totals", change_stream(spark, inbox, rows((0, 0)).schema), totals)
+        if every:
+            running.processAllAvailable()
+            running.stop()
+        return sorted(map(tuple, store.read("totals").collect()))
+
+    assert sorted(map(tuple, store.read("totals").collect())) == [(1, 2), (2, 5)]
+    assert refresh() == [(1, 2), (2, 5)]
+    rows((1, 3)).write.mode("append").parquet(inbox)
+    assert refresh() == [(1, 5), (2, 5)]
+    assert sorted(map(tuple, store.read("totals", "v1").collect())) == [(1, 2), (2, 5)]
+
+
 def test_half_written_versions_do_not_count(spark, gaps):
     store = ModelStore(spark, scratch_dir(spark, "models"))
     model = fits.balanced_logistic(["b"], "target").fit(gaps)
