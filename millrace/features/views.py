@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,11 +124,12 @@ class FeatureStore:
     def retrieve(self, spine: DataFrame, views: Sequence[FeatureView], spine_ts: str | None = None) -> DataFrame:
         """Feature values for each spine row, as of ``spine_ts`` where a view has a time column."""
         out = spine
-        for view in views:
-            keys = list(view.entity.join_keys)
-            if spine_ts and view.timestamp_col:
-                out = point_in_time(out, [(view.frame, keys, view.timestamp_col, view.features)], spine_ts)
-            else:
+        for timed, some in groupby(views, lambda v: bool(spine_ts and v.timestamp_col)):
+            if timed:
+                out = point_in_time(out, [(v.frame, v.entity.join_keys, v.timestamp_col, v.features) for v in some], spine_ts)
+                continue
+            for view in some:
+                keys = list(view.entity.join_keys)
                 out = out.join(view.frame.select(*keys, *view.features), keys, "left")
         return out
 

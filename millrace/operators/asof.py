@@ -36,46 +36,64 @@ def join_asof(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_t
     """
     keys = [on] if isinstance(on, str) else list(on)
     columns = [c for c in right.columns if c not in keys] if columns is None else list(columns)
-    dtype = right.schema[right_ts].dataType
-    payload = F.struct(F.col(right_ts).alias("_rt"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)])
-    known = right.where(F.col(right_ts).isNotNull()).dropna(subset=keys).select(
-        *keys, F.col(right_ts).alias("_t"), payload.alias("_hit"))
+    return _join_views(left, [(right, right_ts, columns)], keys, left_ts, direction, allow_equal, tolerance, how, buckets, heavy_rows)
+
+
+def _join_views(left, views, keys, left_ts, direction="backward", allow_equal=True, tolerance=None, how="left", buckets=None,
+                heavy_rows=HEAVY_ROWS):
+    """As-of join with several right sides of one key and one time type; ``views`` holds (frame, time column, columns)."""
+    dtype = views[0][0].schema[views[0][1]].dataType
+    known = {}
+    for number, (right, ts, columns) in enumerate(views):
+        payload = F.struct(F.col(ts).alias("_rt"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)])
+        known[f"_hit{number}"] = right.where(F.col(ts).isNotNull()).dropna(subset=keys).select(
+            *keys, F.col(ts).alias("_t"), payload.alias("_hit"))
     backward = direction != "forward"
 
     if direction == "equal":
-        matched = _joined_back(left, known.groupBy(*keys, "_t").agg(F.max("_hit").alias("_hit")), keys, left_ts)
+        matched = left
+        for name, rows in known.items():
+            matched = _joined_back(matched, rows.groupBy(*keys, "_t").agg(F.max("_hit").alias("_hit")), keys, left_ts, name)
     elif direction in ("backward", "forward"):
-        heavy = _heavy_keys(left, known, keys, heavy_rows)
+        heavy = _heavy_keys(left, list(known.values()), keys, heavy_rows)
         if heavy is None:
             matched = _by_key(left, known, keys, left_ts, dtype, backward, allow_equal)
         else:
-            light = _by_key(left.join(heavy, keys, "left_anti"), known.join(heavy, keys, "left_anti"), keys, left_ts, dtype,
-                            backward, allow_equal)
-            some, few = left.join(heavy, keys, "left_semi"), known.join(heavy, keys, "left_semi")
-            found = _by_bucket(some, few, keys, left_ts, dtype, backward, allow_equal, buckets)
-            matched = light.unionByName(_joined_back(some, found, keys, left_ts))
+            light = _by_key(left.join(heavy, keys, "left_anti"), {n: r.join(heavy, keys, "left_anti") for n, r in known.items()},
+                            keys, left_ts, dtype, backward, allow_equal)
+            some = full = left.join(heavy, keys, "left_semi")
+            for name, rows in known.items():
+                found = _by_bucket(some, rows.join(heavy, keys, "left_semi"), keys, left_ts, dtype, backward, allow_equal, buckets)
+                full = _joined_back(full, found, keys, left_ts, name)
+            matched = light.unionByName(full)
     else:
         raise ValueError(f"unknown direction: {direction}")
 
-    hit: Column = F.col("_hit")
-    if tolerance is not None:
-        gap = F.expr(f"INTERVAL {tolerance}")
-        near = hit["_rt"] >= F.col(left_ts) - gap if direction == "backward" else hit["_rt"] <= F.col(left_ts) + gap
-        hit = F.when(near, hit)
-    matched = matched.withColumn("_hit", hit)
-    if how == "inner":
-        matched = matched.where(F.col("_hit").isNotNull())
-    return matched.select(*left.columns, *[F.col("_hit")[f"_c{i}"].alias(c) for i, c in enumerate(columns)])
-
-
-def _heavy_keys(left: DataFrame, right: DataFrame, keys: list[str], heavy_rows: int) -> DataFrame | None:
+    taken = []
+    for name, (_, _, columns) in zip(known, views):
+        hit: Column = F.col(name)
+        if tolerance is not None:
+            gap = F.expr(f"INTERVAL {tolerance}")
+            near = hit["_rt"] >= F.col(left_ts) - gap if direction == "backward" else hit["_rt"] <= F.col(left_ts) + gap
+            hit = F.when(near, hit)
+        matched = matched.withColumn(name, hit)
+        if how == "inner":
+            matched = matched.where(F.col(name).isNotNull())
+        taken += [F.col(name)[f"_c{i}"].alias(c) for i, c in enumerate(columns)]
+    return matched.select(*left.columns, *taken)
+
+
+def _heavy_keys(left: DataFrame, rights: Sequence[DataFrame], keys: list[str], heavy_rows: int) -> DataFrame | None:
     """Keys that hold more than ``heavy_rows`` rows, ready to broadcast, or None.
 
     They are counted on a sample: a miss near the limit costs balance, never a result. A key must
     also hold more than one part in ``MAX_HEAVY_KEYS`` of the rows, so there cannot be more of them.
     """
     rate = 1.0 if heavy_rows < 100 / _DETECTION_SAMPLE else _DETECTION_SAMPLE
-    rows = left.select(*keys).unionByName(right.select(*keys)).dropna()
+    rows = left.select(*keys)
+    for right in rights:
+        rows = rows.unionByName(right.select(*keys))
+    rows = rows.dropna()
     counts = (rows if rate == 1.0 else rows.sample(rate, seed=0)).groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("total"))
     least = F.greatest(F.lit(heavy_rows * rate), F.coalesce(total.scalar(), F.lit(0)) / MAX_HEAVY_KEYS)
@@ -88,15 +106,16 @@ def _sides(allow_equal: bool) -> tuple[int, int]:
     return (1, 0) if allow_equal else (0, 1)
 
 
-def _walk(partition: list[str], backward: bool):
+def _walk(partition: list[str], backward: bool, hits: Sequence[str] = ("_hit",)):
     time = F.col("_t").asc() if backward else F.col("_t").desc()
-    # Ascending payload puts the greatest of equal-time right rows nearest to the probe.
-    return Window.partitionBy(*partition).orderBy(time, F.col("_side").asc(), F.col("_hit").asc()).rowsBetween(
+    # Ascending payload puts the greatest of equal-time right rows nearest to the probe. A row has one payload
+    # only, so several of them do not disturb each other's order.
+    return Window.partitionBy(*partition).orderBy(time, F.col("_side").asc(), *[F.col(h).asc() for h in hits]).rowsBetween(
         Window.unboundedPreceding, 0)
 
 
-def _by_key(left, right, keys, left_ts, dtype, backward, allow_equal):
-    """Left rows with their nearest right row, each key sorted by one task."""
+def _by_key(left, rights, keys, left_ts, dtype, backward, allow_equal):
+    """Left rows with their nearest row of each right side, each key sorted by one task. One shuffle serves all sides."""
     probe_side, right_side = _sides(allow_equal)
     time = F.col(left_ts).cast(dtype)
     unmatched = time.isNull()
@@ -104,24 +123,27 @@ def _by_key(left, right, keys, left_ts, dtype, backward, allow_equal):
         unmatched = unmatched | F.col(key).isNull()
     # Rows that cannot match anything are spread, so that NULLs do not become a heavy key.
     spread = F.when(unmatched, F.pmod(F.xxhash64(*left.columns), F.lit(_NULL_SPREAD)) + 1).otherwise(F.lit(0))
-    row = F.struct(*left.columns)
-    probes = left.select(
-        *keys, spread.cast("long").alias("_spread"), time.alias("_t"), F.lit(probe_side).alias("_side"), row.alias("_row"),
-        F.lit(None).cast(right.schema["_hit"].dataType).alias("_hit"))
-    source = right.select(
-        *keys, F.lit(0).cast("long").alias("_spread"), "_t", F.lit(right_side).alias("_side"),
-        F.lit(None).cast(probes.schema["_row"].dataType).alias("_row"), "_hit")
-    seen = F.last("_hit", ignorenulls=True).over(_walk([*keys, "_spread"], backward))
-    return probes.unionByName(source).withColumn("_hit", seen).where(F.col("_side") == probe_side).select("_row.*", "_hit")
-
-
-def _joined_back(left, found, keys, left_ts):
-    """Left rows with the hit of their (key, time); ``found`` has one row for each."""
-    found = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_t", "_hit")
+    nothing = {name: F.lit(None).cast(right.schema["_hit"].dataType) for name, right in rights.items()}
+    rows = left.select(
+        *keys, spread.cast("long").alias("_spread"), time.alias("_t"), F.lit(probe_side).alias("_side"),
+        F.struct(*left.columns).alias("_row"), *[n.alias(name) for name, n in nothing.items()])
+    empty = F.lit(None).cast(rows.schema["_row"].dataType).alias("_row")
+    for own, right in rights.items():
+        rows = rows.unionByName(right.select(
+            *keys, F.lit(0).cast("long").alias("_spread"), "_t", F.lit(right_side).alias("_side"), empty,
+            *[(F.col("_hit") if name == own else n).alias(name) for name, n in nothing.items()]))
+    walk = _walk([*keys, "_spread"], backward, list(rights))
+    seen = [F.last(name, ignorenulls=True).over(walk).alias(name) for name in rights]
+    return rows.select("_side", "_row", *seen).where(F.col("_side") == probe_side).select("_row.*", *rights)
+
+
+def _joined_back(left, found, keys, left_ts, name):
+    """Left rows with the hit of their (key, time) as ``name``; ``found`` has one row for each."""
+    found = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_t", F.col("_hit").alias(name))
     condition = F.col(left_ts) == F.col("_t")
     for key in keys:
         condition = condition & (F.col(key) == F.col(f"_k_{key}"))
-    return left.join(found, condition, "left").select(*left.columns, "_hit")
+    return left.join(found, condition, "left").select(*left.columns, name)
 
 
 def _by_bucket(left, right, keys, left_ts, dtype, backward, allow_equal, buckets):
@@ -166,8 +188,16 @@ def _by_bucket(left, right, keys, left_ts, dtype, backward, allow_equal, buckets
 
 def point_in_time(spine: DataFrame, views: Sequence[tuple[DataFrame, Sequence[str], str, Sequence[str]]],
                   spine_ts: str, **options) -> DataFrame:
-    """Feature values as known at each spine row; ``views`` holds (frame, keys, time column, features)."""
-    out = spine
+    """Feature values as known at each spine row; ``views`` holds (frame, keys, time column, features).
+
+    Views with the same keys and type of time share one shuffle and sort of the spine. ``options`` are those of
+    ``join_asof``. Columns come in the order of the views.
+    """
+    together: dict[tuple, list] = {}
     for frame, keys, ts, features in views:
-        out = join_asof(out, frame.select(*keys, ts, *features), keys, spine_ts, ts, columns=features, **options)
-    return out
+        kind = tuple(keys), frame.schema[ts].dataType.simpleString()
+        together.setdefault(kind, []).append((frame.select(*keys, ts, *features), ts, list(features)))
+    out = spine
+    for (keys, _), some in together.items():
+        out = _join_views(out, some, list(keys), spine_ts, **options)
+    return out.select(*spine.columns, *[c for _, _, _, features in views for c in features])

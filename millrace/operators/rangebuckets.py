@@ -8,6 +8,7 @@ results are exact for any choice of them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -17,34 +18,45 @@ from pyspark.sql import types as T
 
 from millrace.session import shuffle_width
 
-_SAMPLE_PER_BUCKET = 16
+_LABELS_PER_BUCKET = 16
 FINE = 64
+_TAIL_HALVINGS = 6
 # Boundaries only balance the work, so they are taken from a sample; results never depend on them.
 _BOUNDARY_SAMPLE = 0.05
 MAX_BROADCAST_ROWS = 20_000
 
 
+def _fractions(buckets: int) -> list[float]:
+    """Even shares, both ends halved again and again, and the ends themselves: a long tail is cut like the middle."""
+    tails = [0.5 ** k / buckets for k in range(1, _TAIL_HALVINGS + 1)]
+    return sorted({0.0, 1.0, *(i / buckets for i in range(1, buckets)), *tails, *(1 - t for t in tails)})
+
+
+def _boundaries(found: Sequence | None) -> list:
+    return sorted({p for p in found or [] if not isinstance(p, float) or math.isfinite(p)})
+
+
 def split_points(df: DataFrame, column: str, buckets: int) -> list:
-    """At most ``buckets - 1`` boundary values that cut ``column`` into about even ranges."""
+    """Boundary values that cut ``column`` into about ``buckets`` even ranges and its tails into smaller ones.
+
+    For strings they are all of a sample of labels, ``_LABELS_PER_BUCKET`` to a range.
+    """
     if buckets <= 1:
         return []
     dtype = df.schema[column].dataType
-    fractions = [i / buckets for i in range(1, buckets)]
     if isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         sample = df.select(column).sample(_BOUNDARY_SAMPLE, seed=0)
-        found = sample.agg(F.percentile_approx(column, fractions, 10_000).alias("p")).first()["p"] or []
-        return sorted(set(found))
+        return _boundaries(sample.agg(F.percentile_approx(column, _fractions(buckets), 10_000).alias("p")).first()["p"])
     # No percentile for strings: the labels with the smallest hashes are an even sample of them.
     sample = (
         df.select(column)
         .where(F.col(column).isNotNull())
         .distinct()
         .orderBy(F.xxhash64(column), column)
-        .limit(buckets * _SAMPLE_PER_BUCKET)
+        .limit(buckets * _LABELS_PER_BUCKET)
         .collect()
     )
-    values = sorted(row[0] for row in sample)
-    return sorted({values[int(f * len(values))] for f in fractions}) if values else []
+    return sorted(row[0] for row in sample)
 
 
 def _coarse_bucket(value: Column, points: Sequence, dtype: T.DataType) -> Column:
@@ -72,6 +84,16 @@ def _fine_bucket(coarse: Column, number: Column, ladder: Column) -> Column:
     return coarse * F.lit(FINE) + F.greatest(F.lit(0), F.least(step, F.lit(FINE - 1))).cast("int")
 
 
+def _label_bucket(value: Column, points: Sequence[str], dtype: T.DataType) -> tuple[Column, Column]:
+    """Coarse and fine number of a label: a tree finds its group of boundaries, and those at or below it are counted."""
+    groups = [points[i:i + _LABELS_PER_BUCKET] for i in range(0, len(points), _LABELS_PER_BUCKET)]
+    coarse = _coarse_bucket(value, [g[0] for g in groups[1:]], dtype)
+    inside = F.get(F.array(*[F.array(*[F.lit(p) for p in g]) for g in groups]), F.col("_coarse"))
+    # NULL comes after all labels of the last group.
+    fine = F.when(value.isNull(), _LABELS_PER_BUCKET).otherwise(F.size(F.filter(inside, lambda p: p <= value)))
+    return coarse, F.col("_coarse") * (_LABELS_PER_BUCKET + 1) + fine
+
+
 def _number(value: Column, dtype: T.DataType) -> Column:
     """The value as a double that grows with it; seconds for times, days for dates."""
     if isinstance(dtype, T.DateType):
@@ -101,10 +123,13 @@ def with_bucket(df: DataFrame, column: str, points: Sequence, name: str = "_buck
     """Add the range bucket of ``column``: a number that never decreases as the value grows.
 
     A tree of comparisons finds the boundaries around the value. For numbers, dates and times the
-    range between them is cut further, which multiplies the buckets without another pass. The tree
-    is a column of its own, so that it is evaluated once.
+    range between them is cut further, which multiplies the buckets without another pass; for strings
+    the tree finds a group of boundaries. The tree is a column of its own, so that it is evaluated once.
     """
     dtype = df.schema[column].dataType
+    if isinstance(dtype, T.StringType) and points:
+        coarse, fine = _label_bucket(F.col(column), points, dtype)
+        return df.withColumn("_coarse", coarse).withColumn(name, fine).drop("_coarse")
     coarse = _coarse_bucket(F.col(column), points, dtype)
     marks = [_point_number(p, dtype) for p in points]
     if not marks or marks[0] is None:
@@ -260,7 +285,6 @@ def _split_points_of(df: DataFrame, columns: Sequence[str], buckets: int) -> dic
     """Boundaries of several numeric columns from one pass."""
     if buckets <= 1:
         return {c: [] for c in columns}
-    fractions = [i / buckets for i in range(1, buckets)]
     row = df.select(*columns).sample(_BOUNDARY_SAMPLE, seed=0).agg(*[
-        F.percentile_approx(F.col(c).cast("double"), fractions, 10_000).alias(f"p{i}") for i, c in enumerate(columns)]).first()
-    return {c: sorted(set(row[f"p{i}"] or [])) for i, c in enumerate(columns)}
+        F.percentile_approx(F.col(c).cast("double"), _fractions(buckets), 10_000).alias(f"p{i}") for i, c in enumerate(columns)]).first()
+    return {c: _boundaries(row[f"p{i}"]) for i, c in enumerate(columns)}

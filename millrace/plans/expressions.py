@@ -256,12 +256,12 @@ def derived_price(spark, sf):
 
 @query("coalesce_fill", """
     select c_custkey, coalesce(round(sum(o_totalprice), 2), 0.0) as total
-    from customer left join orders on c_custkey = o_custkey and o_orderstatus = 'F' and o_orderpriority = '1-URGENT'
-    group by 1
+    from customer left join orders on c_custkey = o_custkey + 700 group by 1
 """)
 def coalesce_fill(spark, sf):
-    urgent = table(spark, sf, "orders").where("o_orderstatus = 'F' and o_orderpriority = '1-URGENT'")
-    totals = urgent.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
+    # The key is shifted so that some customers have no orders.
+    orders = table(spark, sf, "orders")
+    totals = orders.groupBy((F.col("o_custkey") + 700).alias("c_custkey")).agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
     return table(spark, sf, "customer").select("c_custkey").join(totals, "c_custkey", "left").select(
         "c_custkey", F.coalesce("total", F.lit(0.0)).alias("total"))
 
@@ -270,14 +270,15 @@ def coalesce_fill(spark, sf):
     select c_custkey, coalesce(n, 0) as n, coalesce(first_day, date '1970-01-01')::varchar as first_day,
            coalesce(priority, 'none') as priority
     from customer left join (
-        select o_custkey, count(*) as n, min(o_orderdate)::date as first_day, min(o_orderpriority) as priority
-        from orders where o_totalprice > 450000 group by 1) on c_custkey = o_custkey
+        select o_custkey + 700 as shifted, count(*) as n, min(o_orderdate)::date as first_day, min(o_orderpriority) as priority
+        from orders group by 1) on c_custkey = shifted
 """)
 def fillna_map(spark, sf):
-    large = table(spark, sf, "orders").where("o_totalprice > 450000").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    # The key is shifted so that some customers have no orders.
+    facts = table(spark, sf, "orders").groupBy((F.col("o_custkey") + 700).alias("c_custkey")).agg(
         F.count("*").alias("n"), F.min("o_orderdate").cast("date").alias("first_day"),
         F.min("o_orderpriority").alias("priority"))
-    joined = table(spark, sf, "customer").select("c_custkey").join(large, "c_custkey", "left")
+    joined = table(spark, sf, "customer").select("c_custkey").join(facts, "c_custkey", "left")
     # fillna takes numbers, strings and booleans; a date default needs coalesce.
     return joined.fillna({"n": 0, "priority": "none"}).withColumn(
         "first_day", F.coalesce("first_day", F.lit(date(1970, 1, 1))).cast("string"))

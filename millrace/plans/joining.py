@@ -33,18 +33,18 @@ def join_inner_using(spark, sf):
 
 
 @query("join_multi_key", """
-    select b.day, b.event_type, b.n, a.n as n_large from
+    select b.day, b.event_type, b.n, a.n as n_day_before from
       (select ts::date::varchar as day, event_type, count(*) as n from events group by 1, 2) b
-      join (select ts::date::varchar as day, event_type as kind, count(*) as n from events where value > 50 group by 1, 2) a
+      join (select (ts::date + 1)::varchar as day, event_type as kind, count(*) as n from events group by 1, 2) a
       on b.day = a.day and b.event_type = a.kind
 """)
 def join_multi_key(spark, sf):
-    events = table(spark, sf, "events").withColumn("day", F.to_date("ts").cast("string"))
-    everything = events.groupBy("day", "event_type").agg(F.count("*").alias("n"))
-    large = events.where("value > 50").groupBy("day", F.col("event_type").alias("kind")).agg(F.count("*").alias("n_large"))
-    return everything.join(
-        large, (everything["day"] == large["day"]) & (everything["event_type"] == large["kind"])
-    ).select(everything["day"], "event_type", "n", "n_large")
+    events = table(spark, sf, "events").withColumn("date", F.to_date("ts"))
+    own = events.groupBy(F.col("date").cast("string").alias("day"), "event_type").agg(F.count("*").alias("n"))
+    before = events.groupBy(F.date_add("date", 1).cast("string").alias("day"), F.col("event_type").alias("kind")).agg(
+        F.count("*").alias("n_day_before"))
+    return own.join(before, (own["day"] == before["day"]) & (own["event_type"] == before["kind"])).select(
+        own["day"], "event_type", "n", "n_day_before")
 
 
 def _customers_and_orders(spark, sf):

@@ -94,12 +94,14 @@ def append_new(spark: SparkSession, source: DataFrame, ts: str, target: str, now
     in between is repeated under its own number and overwrites what it had written.
     """
     marks = f"{target}/marks"
-    done = sorted(int(c.split("=")[1]) for c in children(spark, marks) if exists(spark, f"{marks}/{c}/_SUCCESS"))
-    run = done[-1] + 1 if done else 0
+    # Newest first: one listing, and as a rule one look for a commit, however many runs there were.
+    started = sorted((int(c.split("=")[1]) for c in children(spark, marks)), reverse=True)
+    last = next((n for n in started if exists(spark, f"{marks}/run={n}/_SUCCESS")), None)
+    run = 0 if last is None else last + 1
     moment = F.lit(str(now)).cast(source.schema[ts].dataType)
     rows = source.where(F.col(ts) <= moment)
-    if done:
-        mark = spark.read.parquet(f"{marks}/run={done[-1]}").first()["mark"]
+    if last is not None:
+        mark = spark.read.parquet(f"{marks}/run={last}").first()["mark"]
         rows = rows.where(F.col(ts) > F.lit(str(mark)).cast(source.schema[ts].dataType))
     else:
         mark = None
@@ -119,14 +121,17 @@ def preload(source: DataFrame, ts: str, now) -> tuple[DataFrame, DataFrame]:
 class FeatureRefresh:
     """Keeps a per-key feature table up to date from a stream of new rows.
 
-    Each batch is added to the history; features are recomputed from the whole history of the
-    keys it touches, and only those rows are written. ``then`` adds dependent views that are
-    refreshed from the new feature rows in the same batch.
+    Each batch is added to the history, which is cut into ``buckets`` folders by a hash of the keys.
+    Features are recomputed from the whole history of the keys a batch touches, for which only the
+    buckets of those keys are read, and only the rows of those keys are written. ``buckets`` must stay
+    the same for a root. ``then`` adds dependent views that are refreshed from the new feature rows
+    in the same batch.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
-                 features: Callable[[DataFrame], DataFrame]):
+                 features: Callable[[DataFrame], DataFrame], buckets: int = 64):
         self.spark, self.root, self.keys, self.features = spark, root.rstrip("/"), list(keys), features
+        self.buckets = buckets
         self.dependents: list[tuple[str, Callable[[DataFrame], DataFrame]]] = []
         self.schemas: dict[str, T.StructType] = {}
 
@@ -135,15 +140,24 @@ class FeatureRefresh:
         return self
 
     def handle(self, rows: DataFrame, batch_id: int) -> None:
-        write_batch(rows, f"{self.root}/history", batch_id)
-        history = read_batches(self.spark, f"{self.root}/history", rows.schema, upto=batch_id).drop("batch")
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("key_bucket")
+        # Few files per bucket; AQE splits a bucket that one key makes large.
+        dealt = rows.select("*", bucket).hint("rebalance", "key_bucket")
+        dealt.write.mode("overwrite").partitionBy("key_bucket").parquet(f"{self.root}/history/batch={batch_id}")
+        some = [r["key_bucket"] for r in rows.select(bucket).distinct().collect()]
         touched = rows.select(*self.keys).distinct()
-        fresh = self.features(history.join(touched, self.keys, "left_semi"))
+        fresh = self.features(self.history(rows.schema, some, batch_id).join(touched, self.keys, "left_semi"))
         self._store("features", fresh, batch_id)
         for name, derive in self.dependents:
             done = self.spark.read.schema(self.schemas["features"]).parquet(f"{self.root}/features/batch={batch_id}")
             self._store(name, derive(done), batch_id)
 
+    def history(self, schema: T.StructType, buckets: Sequence[int], upto: int) -> DataFrame:
+        """Rows of all batches up to ``upto`` in the given buckets; the folders of others are not read."""
+        full = T.StructType([*schema.fields, T.StructField("key_bucket", T.IntegerType())])
+        rows = read_batches(self.spark, f"{self.root}/history", full, upto)
+        return rows.where(F.col("key_bucket").isin(*buckets)).drop("batch", "key_bucket")
+
     def _store(self, name: str, rows: DataFrame, batch_id: int) -> None:
         self.schemas[name] = rows.schema
         write_batch(rows, f"{self.root}/{name}", batch_id)

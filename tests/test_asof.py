@@ -85,6 +85,34 @@ def test_several_views(spark):
     assert (row["x"], row["y"]) == (1, 7)
 
 
+@pytest.mark.parametrize("direction", ["backward", "forward", "equal"])
+@pytest.mark.parametrize("heavy_rows", [10**6, 200, 0])
+def test_views_in_one_pass_as_one_by_one(spark, direction, heavy_rows):
+    """Views of one key share the pass; ties and empty views do not disturb the others, columns keep the views' order."""
+    left, right = _tables(seed=11)
+    other = [(k, t, v + 10_000) for k, t, v in _tables(seed=12)[1]] + [("hot", START, 1), ("hot", START, 2)]
+    spine = spark.createDataFrame(left, LEFT)
+    named = [spark.createDataFrame(rows, RIGHT).withColumnRenamed("v", name) for name, rows in (("x", right), ("y", other), ("z", []))]
+    by_id = spark.createDataFrame([(i, START, i) for i in range(50)], "id int, rt timestamp_ntz, w int")
+    views = [(named[0], ["k"], "rt", ["x"]), (by_id, ["id"], "rt", ["w"]), (named[1], ["k"], "rt", ["y"]), (named[2], ["k"], "rt", ["z"])]
+    out = point_in_time(spine, views, "t", direction=direction, heavy_rows=heavy_rows, buckets=3)
+    assert out.columns == ["id", "k", "t", "x", "w", "y", "z"]
+    rows = out.collect()
+    assert len(rows) == len(left)
+    assert {r["id"]: r["x"] for r in rows} == _expected(left, right, direction, True, None)
+    assert {r["id"]: r["y"] for r in rows} == _expected(left, other, direction, True, None)
+    assert {r["z"] for r in rows} == {None}
+    after = {"backward": lambda t: t >= START, "forward": lambda t: t <= START, "equal": lambda t: t == START}[direction]
+    assert {r["id"]: r["w"] for r in rows} == {i: i if i < 50 and t and after(t) else None for i, _, t in left}
+
+
+def test_views_of_one_key_share_the_sort(spark):
+    left, right = _tables(seed=3)
+    views = [(spark.createDataFrame(right, RIGHT).withColumnRenamed("v", n), ["k"], "rt", [n]) for n in "abc"]
+    plan = point_in_time(spark.createDataFrame(left, LEFT), views, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [last(_hit") == 1
+
+
 def test_inner(spark):
     left, right = _tables(seed=9)
     frames = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)

@@ -84,6 +84,23 @@ def test_buckets_never_decrease(spark, kind):
     assert len(set(buckets)) > 3
 
 
+@pytest.mark.parametrize("kind", ["double", "string"])
+def test_no_bucket_holds_a_large_share(spark, kind):
+    """A long tail and labels that pile up at one end are cut as well: no bucket of 16 ranges has 4 % of the values."""
+    long_tail = F.exp(F.randn(seed=3) * 3)
+    value = long_tail if kind == "double" else F.concat(F.lit("key-"), F.md5(F.col("id").cast("string")))
+    df = spark.range(20_000).select(value.alias("v"))
+    sizes = [r["count"] for r in rb.with_bucket(df, "v", rb.split_points(df, "v", 16)).groupBy("_bucket").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 800
+
+
+def test_not_a_number_is_no_boundary(spark):
+    df = spark.createDataFrame([(float(x),) for x in range(300)] + [(float("nan"),), (float("inf"),), (float("-inf"),), (None,)] * 40, "v double")
+    points = rb.split_points(df, "v", 4)
+    assert points and all(abs(p) < 300 for p in points)
+    assert rb.dense_ids(df, "v", "id", buckets=4).where("id = 0").first()["v"] == float("-inf")
+
+
 def test_auc_with_ties(spark):
     rnd = random.Random(6)
     rows = [(rnd.randrange(2), float(rnd.randrange(20))) for _ in range(400)]

@@ -71,6 +71,22 @@ def test_refresh_after_a_restart(spark):
     assert sorted(map(tuple, views().current().collect())) == [(1, 5), (2, 5)]
 
 
+def test_refresh_reads_touched_buckets_only(spark):
+    refresh = FeatureRefresh(spark, scratch_dir(spark, "buckets"), ["k"], lambda rows: rows.groupBy("k").agg(F.sum("v").alias("total")))
+    whole, read = refresh.history, []
+
+    def history(schema, buckets, upto):
+        rows = whole(schema, buckets, upto)
+        read.append({r["file"].split("key_bucket=")[1].split("/")[0] for r in rows.select(F.input_file_name().alias("file")).collect()})
+        return rows
+
+    refresh.history = history
+    refresh.handle(spark.range(500).selectExpr("id AS k", "1 AS v"), 0)
+    refresh.handle(spark.createDataFrame([(3, 5), (3, 1)], "k long, v int"), 1)
+    assert len(read[0]) > 30 and read[1] == {str(r["b"]) for r in spark.sql("select pmod(xxhash64(3L), 64) as b").collect()}
+    assert {r["k"]: r["total"] for r in refresh.current().collect()} == {k: 7 if k == 3 else 1 for k in range(500)}
+
+
 @pytest.mark.parametrize("every", [None, "200 milliseconds"])
 def test_registered_view_refreshes_itself(spark, every):
     root, inbox = scratch_dir(spark, "store"), scratch_dir(spark, "inbox")
