@@ -123,13 +123,14 @@ class FeatureRefresh:
 
     Each batch is added to the history, which is cut into ``buckets`` folders by a hash of the keys.
     Features are recomputed from the whole history of the keys a batch touches, for which only the
-    buckets of those keys are read, and only the rows of those keys are written. ``buckets`` must stay
+    buckets of those keys are read, and only the rows of those keys are written. More buckets read less
+    and write more files: raise their number for a long history. It must stay
     the same for a root. ``then`` adds dependent views that are refreshed from the new feature rows
     in the same batch.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
-                 features: Callable[[DataFrame], DataFrame], buckets: int = 64):
+                 features: Callable[[DataFrame], DataFrame], buckets: int = 16):
         self.spark, self.root, self.keys, self.features = spark, root.rstrip("/"), list(keys), features
         self.buckets = buckets
         self.dependents: list[tuple[str, Callable[[DataFrame], DataFrame]]] = []

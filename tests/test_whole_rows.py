@@ -72,7 +72,7 @@ def test_refresh_after_a_restart(spark):
 
 
 def test_refresh_reads_touched_buckets_only(spark):
-    refresh = FeatureRefresh(spark, scratch_dir(spark, "buckets"), ["k"], lambda rows: rows.groupBy("k").agg(F.sum("v").alias("total")))
+    refresh = FeatureRefresh(spark, scratch_dir(spark, "buckets"), ["k"], lambda rows: rows.groupBy("k").agg(F.sum("v").alias("total")), buckets=64)
     whole, read = refresh.history, []
 
     def history(schema, buckets, upto):
