@@ -41,7 +41,7 @@ def test_regression_and_clusters_keep_rows(gaps):
 
 
 def test_the_cheapest_start_stays(gaps, monkeypatch):
-    """Held against the starts of the same fit: a second fit from the same seed may start elsewhere, as tasks end in any order."""
+    """Held against the starts of the same fit: a second fit from the same seed was seen to cost something else."""
     costs, plain = [], fits.KMeans.fit
 
     def fit(self, points):
