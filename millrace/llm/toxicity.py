@@ -237,7 +237,8 @@ def fit_toxicity(
     most_terms: int = MOST_TERMS, min_evidence: float = MIN_EVIDENCE,
 ) -> Model:
     """Learn lexicon and weights on labelled rows outside fold 0, at most ``most_rows`` by a hash of the id, one of
-    each group of copies.
+    each group of copies: rows of one label with the same words and signs in the same order, whatever their case and
+    spacing. Near copies count each.
 
     A word or stem is a term if its document counts differ between toxic and other texts by a likelihood ratio of
     ``min_evidence`` at least, towards toxic; of the ``most_terms`` strongest, ``select_terms`` chooses. Its weight
@@ -253,11 +254,11 @@ def fit_toxicity(
 
     def key_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [min((xxhash.xxh64_intdigest(w) >> 1 for w in set(_TOKEN.findall((t or "").lower()))), default=0) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["known_id"].cast(pa.int64()), batch["label"], pa.array(keys, pa.int64())], ["known_id", "label", "key"])
+            keys = [xxhash.xxh3_128_digest(" ".join((t or "").lower().split())) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["known_id"].cast(pa.int64()), batch["label"], pa.array(keys, pa.binary())], ["known_id", "label", "key"])
 
-    # Copies and near copies share their least word hash, mostly; one of them is evidence enough for their words.
-    single = rows.select("known_id", "label", "text").mapInArrow(key_of, "known_id long, label int, key long").groupBy("label", "key").agg(F.min("known_id").alias("one_id"))
+    # One of several copies is evidence enough for their words; the 128 bits are of the whole text.
+    single = rows.select("known_id", "label", "text").mapInArrow(key_of, "known_id long, label int, key binary").groupBy("label", "key").agg(F.min("known_id").alias("one_id"))
     single = stored(single.select("one_id"), "toxicity-sample")
     rows = stored(rows.join(F.broadcast(single), F.col("known_id") == F.col("one_id"), "left_semi").select("label", "text"), "toxicity-texts")
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}

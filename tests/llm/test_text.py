@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -187,6 +188,18 @@ def test_toxicity_on_held_out_labels(spark):
     assert right > 0.96 and ranked > 0.93
 
 
+def test_toxicity_learns_from_all_distinct_texts(spark):
+    # All texts of a label share the word whose hash is least among theirs; only equal word sequences are copies.
+    least = min((f"w{i}" for i in range(3000)), key=lambda w: xxhash.xxh64_intdigest(w) >> 1)
+    texts = [(i, f"{least} {'grobian' if i % 2 else 'garden'} plain{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}") for i in range(100)]
+    known = [(i, 1, i % 2) for i, _ in texts]
+    labels = spark.createDataFrame(known, "doc_id long, quality int, toxic int")
+    model = toxicity.fit_toxicity(frame(spark, [(i, t, "en", "s") for i, t in texts]), labels)
+    assert any("grobian".startswith(t.removesuffix("*")) for t in model.lexicon)
+    copies = toxicity.fit_toxicity(frame(spark, [(i, "A grobian" if i % 2 else "a  garden", "en", "s") for i, _ in texts]), labels)
+    assert copies.lexicon == {}
+
+
 def test_log_count_ratios_and_hinge_loss():
     rng = np.random.default_rng(0)
     labels = rng.integers(0, 2, 300)
