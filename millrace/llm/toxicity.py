@@ -2,7 +2,8 @@
 
 The lexicon is learned from labelled texts and kept as a trie. A term is a word, or a stem (``abus*``) that any
 ending may follow. Each distinct word of a text is an automaton of the strings within its edit distance; walking
-the trie and the automaton together gives the terms that the word may misspell. A hit counts less inside
+the trie and the automaton together gives the terms that the word may misspell. Two runs of letters around one digit
+or sign are tried as one word too, and so are words with two neighbouring letters swapped. A hit counts less inside
 quotation marks or beside words of reporting.
 """
 
@@ -32,6 +33,8 @@ WINDOW = 6
 CACHE = 200_000
 N_FEATURES = 5
 _TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»‘’]")
+# A run of letters, one digit or sign, and the next run: what a word with an inner sign looks like.
+_JOINED = re.compile(r"(?<![^\W\d_])([^\W\d_]++)(?=([^\w\s\"“”„«»‘’]|[\d_])([^\W\d_]++))")
 _QUOTES = frozenset("\"“”„«»‘’")
 REPORTING = frozenset(
     "said says say called calls quote quoted quotes wrote writes word term phrase means reported alleged "
@@ -39,6 +42,16 @@ REPORTING = frozenset(
 ADDRESS = frozenset("you your youre yourself du dein ihr sie tu vous ton votre usted tú vosotros".split())
 
 
+def joined_words(lowered: str) -> list[str]:
+    """Both runs of letters with the digit or sign between them, for each place where there is just one."""
+    return ["".join(parts) for parts in _JOINED.findall(lowered)]
+
+
+def swaps(letters: str) -> set[str]:
+    """The strings with two neighbouring letters swapped."""
+    return {letters[:i] + letters[i + 1] + letters[i] + letters[i + 2:] for i in range(len(letters) - 1)} - {letters}
+
+
 class LevenshteinAutomaton:
     """Accepts the strings within one edit of a word, or the word alone if ``most`` is 0.
 
@@ -147,21 +160,57 @@ class Lexicon:
     terms: dict[str, float]
     trie: Trie = field(init=False)
     known: dict = field(init=False, default_factory=dict)
+    swapped: dict = field(init=False, default_factory=dict)
+    swapped_stems: dict = field(init=False, default_factory=dict)
 
     def __post_init__(self) -> None:
         self.trie = Trie(self.terms)
+        for term, weight in self.terms.items():
+            letters = term.removesuffix("*")
+            if len(letters) >= (MIN_FUZZY if letters == term else MIN_FUZZY_STEM):
+                found = self.swapped if letters == term else self.swapped_stems
+                for other in swaps(letters):
+                    found[other] = max(weight, found.get(other, weight))
+        self.swapped_lengths = sorted({len(t) for t in self.swapped_stems})
+
+    def match_swapped(self, word: str) -> tuple[float, int] | None:
+        """The best term that two swapped neighbours make of the word; that counts as one edit."""
+        near = [self.swapped_stems[word[:n]] for n in self.swapped_lengths if word[:n] in self.swapped_stems]
+        if word in self.swapped:
+            near.append(self.swapped[word])
+        return (max(near), 1) if near else None
 
     def match(self, word: str) -> tuple[float, int] | None:
         if word not in self.known:
             if len(self.known) >= CACHE:
                 self.known.clear()
-            self.known[word] = self.trie.match(word)
+            self.known[word] = self.trie.match(word) or self.match_swapped(word)
         return self.known[word]
 
+    @staticmethod
+    def join(lowered: str, joined: dict, hits: dict) -> list[str]:
+        """The words, where two runs of letters are one word if that is a hit and neither of them is one without edits."""
+        exact = {w for w, (_, edits) in hits.items() if not edits}
+        words, end, last = [], -1, ""
+        for m in _TOKEN.finditer(lowered):
+            word = m.group()
+            # The run before may already be part of a joined word: then it is not free to join again.
+            if last and m.start() == end + 1 and exact.isdisjoint((last, word)) and (whole := last + lowered[end] + word) in joined:
+                words[-1], last = whole, ""
+            else:
+                words.append(word)
+                last = "" if word in _QUOTES else word
+            end = m.end()
+        return words
+
     def features(self, text: str | None) -> list[float]:
         """Weight of plain, misspelled and quoted hits, their number, and whether there is any."""
-        words = _TOKEN.findall((text or "").lower())
+        lowered = (text or "").lower()
+        words = _TOKEN.findall(lowered)
         hits = {w: m for w in set(words) if (m := self.match(w)) is not None}
+        if joined := {w: m for w in set(joined_words(lowered)) if (m := self.match(w)) is not None}:
+            words = self.join(lowered, joined, hits)
+            hits |= joined
         if not hits:
             return [0.0] * N_FEATURES
         quotes = np.cumsum([w in _QUOTES for w in words])
@@ -213,8 +262,13 @@ def select_terms(found: dict[str, tuple[int, int, float]]) -> dict[str, float]:
     """Words and stems to keep, from ``term: (toxic texts, other texts, weight)``.
 
     A stem stands for its words where it is held by clearly more toxic texts than any one longer stem or word that
-    starts with it, and by few others. Words and stems that start with a kept stem are left out.
+    starts with it, and by few others. Words and stems that start with a kept stem are left out, unless misspellings
+    are found of them but not of the stem, as it is too short.
     """
+    def covered(letters: str, stem: bool) -> bool:
+        fuzzy = len(letters) >= (MIN_FUZZY_STEM if stem else MIN_FUZZY)
+        return any(letters[:n] in stems for n in STEM_LENGTHS if n <= len(letters) and (n >= MIN_FUZZY_STEM or not fuzzy))
+
     longest: dict[str, int] = {}
     for term, (a, _, _) in found.items():
         letters = term.removesuffix("*")
@@ -224,11 +278,11 @@ def select_terms(found: dict[str, tuple[int, int, float]]) -> dict[str, float]:
     stems: set[str] = set()
     for term, (a, b, _) in sorted(found.items(), key=lambda t: (len(t[0]), t[0])):
         letters = term.removesuffix("*")
-        if letters != term and 10 * b <= a and a >= 1.3 * longest.get(letters, 0) and not any(letters[:n] in stems for n in STEM_LENGTHS):
+        if letters != term and 10 * b <= a and a >= 1.3 * longest.get(letters, 0) and not covered(letters, True):
             stems.add(letters)
     return {
         t: w for t, (_, _, w) in found.items()
-        if (t[:-1] in stems if t.endswith("*") else not any(t[:n] in stems for n in STEM_LENGTHS))
+        if (t[:-1] in stems if t.endswith("*") else not covered(t, False))
     }
 
 
@@ -271,8 +325,9 @@ def fit_toxicity(
         for batch in batches:
             counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for label, text in zip(batch["label"].to_pylist(), batch["text"].to_pylist()):
-                words = {w for w in _TOKEN.findall((text or "").lower()) if len(w) > 2}
-                counts[label].update(words)
+                lowered = (text or "").lower()
+                words = {w for w in _TOKEN.findall(lowered) if len(w) > 2}
+                counts[label].update(words.union(joined_words(lowered)))
                 counts[label].update({w[:n] + "*" for w in words for n in STEM_LENGTHS if len(w) >= n})
             both = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_arrays(

@@ -268,6 +268,27 @@ def test_context_of_a_hit():
     assert lexicon.features("a stupud song")[1] > 0 and lexicon.features(None) == lexicon.features("fine") == [0.0] * toxicity.N_FEATURES
 
 
+def test_misspelled_words_beside_short_stems():
+    found = {"idiot": (40, 0, 5.0), "idiot*": (60, 0, 5.0), "idiots": (25, 0, 5.0), "moro*": (60, 0, 5.0), "moron": (40, 0, 5.0), "mor": (30, 0, 5.0), "stupid*": (60, 0, 5.0), "stupidly": (30, 0, 5.0)}
+    terms = toxicity.select_terms(found)
+    assert set(terms) == {"idiot*", "idiot", "idiots", "moro*", "moron", "mor", "stupid*"}
+    lexicon = toxicity.Lexicon(terms)
+    for word in ("idjot", "idiqts", "mozon", "stuqidly"):
+        assert lexicon.match(word) == (5.0, 1)
+    assert lexicon.match("idiotic") == (5.0, 0)
+
+
+def test_words_with_inner_signs_and_swapped_letters():
+    lexicon = toxicity.Lexicon({"idiot": 4.0, "stupid*": 4.0, "m0r": 3.0})
+    for word in ("id*ot", "STUP1D", "stup_idly", "i-diot", "idito", "sutpidly", "you/id*ot", "x.id*ot.y"):
+        assert lexicon.features(f"a {word} song")[1] == pytest.approx(math.log1p(4.0)), word
+    assert lexicon.features("an m0r song")[0] == pytest.approx(math.log1p(3.0))
+    # Runs that are hits on their own stay so; two signs, a blank or a quotation mark do not join.
+    assert lexicon.features("idiot's and/idiot")[3] == math.log1p(2) and lexicon.features("idiot's and/idiot")[1] == 0
+    assert lexicon.features('stup11d stup d id"ot id--ot') == [0.0] * toxicity.N_FEATURES
+    assert lexicon.features('they sang "an id*ot song" then')[2] > 0
+
+
 # --- mixing
 
 def test_rates_meet_targets(spark):
