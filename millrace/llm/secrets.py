@@ -31,8 +31,15 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]+", 24),
 )
+# A private key reaches from BEGIN to END, over all that has no five dashes in a row. Where END is missing it takes
+# the header lines and base64 that follow, and a short last line of it that stands alone. RE2 has no lookahead and
+# multiplies nested repeats up to 1000, Java takes stack for each repeat of a group: hence the form and the bounds.
+_KEY_BEGIN, _KEY_END = "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----END [A-Z ]*PRIVATE KEY-----"
+_KEY_GAP, _KEY_LETTER = r"""[\x20\t\r\n\\"'+,>|#*]*""", "[A-Za-z0-9+/=]"
+_KEY_HEADERS = rf"(?:{_KEY_GAP}(?:Proc-Type|DEK-Info|Comment|Version):[^\r\n\\]*){{0,4}}"
+_KEY_REST = rf"{_KEY_HEADERS}(?:{_KEY_GAP}{_KEY_LETTER * 16}+){{1,200}}(?:\r?\n[\x20\t]*{_KEY_LETTER}{{1,15}}(?:\r?\n|$))?"
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", rf"{_KEY_BEGIN}(?:[^-]*(?:--?-?-?[^-]+){{0,400}}{_KEY_END}|{_KEY_REST})?"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -72,6 +79,7 @@ def _of_strings(strings: set[str] | None) -> Query:
 def _walk(tokens) -> tuple[set[str] | None, list[Query]]:
     """Strings that the tokens may match, if few, and queries that any match satisfies."""
     exact: set[str] | None = {""}
+    whole = True
     needs: list[Query] = []
     for kind, value in tokens:
         strings: set[str] | None = None
@@ -105,6 +113,9 @@ def _walk(tokens) -> tuple[set[str] | None, list[Query]]:
         exact = joined if joined is not None else {""}
         if joined is None or strings is None:
             exact = {""}
+            whole = False
+    if not whole:
+        return None, [*needs, _of_strings(exact)]
     return exact, needs
 
 
