@@ -8,10 +8,13 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, embeddings, language, mixing, quality, secrets, simhash, suffix_dedup, toxicity, window_dedup
+from millrace.llm import (
+    decontaminate, embeddings, hard_negatives, language, mixing, periodic_runs, quality, secrets, simhash, suffix_dedup, toxicity, window_dedup)
+from millrace.llm.checks_sql import LINES_SQL, NEGATIVES_SQL, RUNS_SQL
 from millrace.llm.common import fold
+from millrace.llm.line_dedup import LineIndex
 from millrace.llm.secrets_sql import SECRETS_SQL
-from millrace.session import table
+from millrace.session import scratch_dir, table
 
 
 def _of_kind(kind: str, span: Column) -> Column:
@@ -74,11 +77,43 @@ def op10_window_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(table(spark, sf, "embeddings").withColumn("label", label), "vec_id % 100 = 0")
+
+
+def op12_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    index = LineIndex(spark, scratch_dir(spark, "line-index"), min_docs=10, min_length=1)
+    index.insert(docs)
+    return index.clean(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """One document in ten repeats a stretch of its words to the end."""
+    docs = table(spark, sf, "documents")
+    h, n = F.crc32(F.col("doc_id").cast("string").cast("binary")), periodic_runs.n_words(F.col("text"))
+    g = F.floor(h / 10)
+    begin = g % n
+    period = 1 + F.floor((n - begin) / (3 + g % 8))
+    text = F.when(h % 10 == 0, F.when(n > 0, periodic_runs.with_period_from(F.col("text"), begin, period)).otherwise("")).otherwise(F.col("text"))
+    found = periodic_runs.periodic_runs(docs, text_col=text)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.shorter")).alias("period"), F.floor(1000 * F.col("best.length") / -F.col("best.shorter")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_suffix_dedup, op3_decontamination, op4_simhash, op5_language_id, op6_quality, op7_embedding_dedup, op8_mixing,
-        op9_toxicity, op10_window_dedup)
+        op9_toxicity, op10_window_dedup, op11_hard_negatives, op12_line_dedup, op13_periodic_runs)
 }
 ORACLES = {
     "op1_secret_scan": SECRETS_SQL,
+    "op11_hard_negatives": NEGATIVES_SQL,
+    "op12_line_dedup": LINES_SQL,
+    "op13_periodic_runs": RUNS_SQL,
 }
