@@ -239,12 +239,14 @@ def periodic_runs(docs: DataFrame, id_col: str | Column = "doc_id", text_col: st
     return rows.mapInArrow(find, SCHEMA)
 
 
-def with_period_from(text: Column, begin: Column, period: Column) -> Column:
-    """The text's words, joined by spaces, where those from number ``begin`` on repeat the first ``period`` of them."""
-    words = F.filter(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
-    return F.array_join(F.transform(words, lambda w, i: F.when(i < begin, w).otherwise(
-        F.element_at(words, (begin + (i - begin) % period + 1).cast("int")))), " ")
+def word_list(text: Column) -> Column:
+    return F.filter(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
 
 
-def n_words(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != ""))
+def with_period_from(text: Column, begin: Column, period: Column) -> Column:
+    """The text's words, joined by spaces, where those from number ``begin`` on repeat the first ``period`` of them."""
+    words = word_list(text)
+    n = F.size(words)
+    times = F.ceil((n - begin) / period).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, (begin + 1).cast("int"), period.cast("int")), times))
+    return F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), begin.cast("int")), again), F.lit(1), n), " ")

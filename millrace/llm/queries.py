@@ -92,7 +92,7 @@ def op12_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     """One document in ten repeats a stretch of its words to the end."""
     docs = table(spark, sf, "documents")
-    h, n = F.crc32(F.col("doc_id").cast("string").cast("binary")), periodic_runs.n_words(F.col("text"))
+    h, n = F.crc32(F.col("doc_id").cast("string").cast("binary")), F.size(periodic_runs.word_list(F.col("text")))
     g = F.floor(h / 10)
     begin = g % n
     period = 1 + F.floor((n - begin) / (3 + g % 8))
