@@ -52,32 +52,42 @@ def lyndon_lengths(letters: np.ndarray) -> np.ndarray:
     left = list(range(len(letters)))  # the nearest place at or before this one whose group was not taken yet, with shortcuts
     group = top
     while group > 0:
-        pointed: dict[int, int] = {}
-        for i in sorted(j for j in members[group] if group_of[j] == group):
-            at = i - 1
-            found = at
-            while left[found] != found:
-                found = left[found]
-            while left[at] != found:
-                left[at], at = found, left[at]
-            left[i] = found
-            if group_of[found]:
-                pointed[found] = pointed.get(found, 0) + 1
+        own = members[group]
         leaving: dict[tuple[int, int], list[int]] = {}
-        for j, times in pointed.items():
-            leaving.setdefault((times, group_of[j]), []).append(j)
-        for times, old in sorted(leaving, reverse=True):
+        if len(own) == 1:
+            i = own[0]
+            found = i - 1
+            while left[found] != found:
+                left[found] = found = left[left[found]]
+            if group_of[i] == group:
+                left[i] = found
+                if group_of[found]:
+                    leaving[1, group_of[found]] = [found]
+        else:
+            pointed: dict[int, int] = {}
+            own.sort()
+            for i in own:
+                if group_of[i] == group:
+                    found = i - 1
+                    while left[found] != found:
+                        left[found] = found = left[left[found]]
+                    left[i] = found
+                    if group_of[found]:
+                        pointed[found] = pointed.get(found, 0) + 1
+            for j, times in pointed.items():
+                leaving.setdefault((times, group_of[j]), []).append(j)
+        known = length[group]
+        for times, old in leaving if len(leaving) < 2 else sorted(leaving, reverse=True):
             new = len(members)
-            own = leaving[times, old]
-            members.append(own)
-            length.append(length[old] + times * length[group])
+            moved = leaving[times, old]
+            members.append(moved)
+            length.append(length[old] + times * known)
             above = higher[old]
             lower.append(old)
             higher.append(above)
             higher[old] = lower[above] = new
-            for j in own:
+            for j in moved:
                 group_of[j] = new
-        members[group] = []
         group = lower[group]
     return np.array(length)[group_of]
 
