@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.asof import point_in_time
+from millrace.operators.rangebuckets import null_safe_join
 from millrace.sources.versions import VersionedTable, children, exists
 from millrace.streaming.incremental import FeatureRefresh
 
@@ -103,23 +104,35 @@ class FeatureStore:
             rows, "name string, version string, entity string, keys string, timestamp_col string, description string, features string")
 
     def read(self, name: str, version: str | None = None) -> DataFrame:
-        """Current rows of a view: of the version asked for, else as last refreshed, else of the newest version."""
-        view = self.get(name, version)
-        if version is None and exists(self.spark, f"{self.root}/refreshed/{name}/features"):
-            return self._refresh(view, None).current()
-        return view.frame
-
-    def _refresh(self, view: FeatureView, features: Callable[[DataFrame], DataFrame] | None) -> FeatureRefresh:
-        return FeatureRefresh(self.spark, f"{self.root}/refreshed/{view.name}", view.entity.join_keys, features)
-
-    def keep_fresh(self, name: str, stream: DataFrame, features: Callable[[DataFrame], DataFrame]):
-        """Recompute a registered view's features for the keys that new rows of ``stream`` touch.
+        """A version as it was registered; unless one is named, the newest with what was refreshed since.
 
-        A view with ``refresh_every`` is refreshed at that interval until the returned streaming query is stopped;
-        without it, one run handles what is there.
+        A refreshed key has the one row of its last refresh in place of its registered rows, other keys keep theirs.
+        Each version is refreshed on its own, so a new version starts with its registered rows.
         """
-        view = self.get(name)
-        return self._refresh(view, features).run(stream, view.refresh_every)
+        view = self.get(name, version)
+        if version is not None or not exists(self.spark, f"{self._refreshed(view)}/features"):
+            return view.frame
+        fresh = FeatureRefresh(self.spark, self._refreshed(view), view.entity.join_keys, lambda rows: rows).current()
+        untouched = null_safe_join(view.frame, fresh.select(*view.entity.join_keys), view.entity.join_keys, "left_anti")
+        return untouched.unionByName(fresh.select(*view.frame.columns))
+
+    def _refreshed(self, view: FeatureView) -> str:
+        return f"{self.root}/refreshed/{view.name}/version={view.version}"
+
+    def keep_fresh(self, name: str, stream: DataFrame, features: Callable[[DataFrame], DataFrame],
+                   history: DataFrame | None = None, version: str | None = None):
+        """Refresh a registered version (the newest unless named) for the keys that new rows of ``stream`` touch.
+
+        ``features`` is the view's aggregation by its keys; it must give the view's columns. ``history`` holds the rows
+        that the registered features were made of, and is read in the first run; it is None if the stream
+        delivers those rows too. A view with ``refresh_every`` is refreshed at that interval until the returned
+        streaming query is stopped; without it, one run handles what is there.
+        """
+        view = self.get(name, version)
+        made = features(stream).columns
+        if set(made) != set(view.frame.columns):
+            raise ValueError(f"{name} has the columns {view.frame.columns}, not {made}")
+        return FeatureRefresh(self.spark, self._refreshed(view), view.entity.join_keys, features, history).run(stream, view.refresh_every)
 
     def retrieve(self, spine: DataFrame, views: Sequence[FeatureView], spine_ts: str | None = None) -> DataFrame:
         """Feature values for each spine row, as of ``spine_ts`` where a view has a time column."""

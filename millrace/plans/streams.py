@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.features.views import Entity, FeatureStore, FeatureView
 from millrace.models.fits import kmeans, score
 from millrace.plans.registry import query
 from millrace.session import scratch_dir, table
@@ -140,6 +141,20 @@ def refresh_chain(spark, sf):
     return _refreshed(spark, sf, "chain", ("segments", segment)).current("segments")
 
 
+@query("read_refreshed_view", """
+    select o_custkey, count(*) as n_orders, round(sum(o_totalprice), 2) as total, max(o_orderdate) as latest from orders group by 1
+""")
+def read_refreshed_view(spark, sf):
+    """A view registered on past orders and refreshed by the later ones: customers without a later order keep their registered row."""
+    orders, inbox = _orders(spark, sf), scratch_dir(spark, "view-inbox")
+    past, rest = preload(orders, "o_orderdate", NOW)
+    store = FeatureStore(spark, scratch_dir(spark, "store"))
+    store.register(FeatureView("habits", Entity("customer", ("o_custkey",)), _habits(past), "latest"), "V1")
+    rest.write.parquet(inbox)
+    store.keep_fresh("habits", change_stream(spark, inbox, orders.schema), _habits, history=past)
+    return store.read("habits")
+
+
 @query("stream_scoring", f"select count(*) as n, true as clustered from orders where o_orderdate >= timestamp '{NOW}'")
 def stream_scoring(spark, sf):
     """A fitted pipeline applied to rows as they arrive: each of them gets one of the three clusters."""

@@ -7,7 +7,8 @@ replayed after a failure overwrites its own ``batch=<id>`` folder, so nothing is
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,60 +119,97 @@ def preload(source: DataFrame, ts: str, now) -> tuple[DataFrame, DataFrame]:
     return source.where(F.col(ts) < moment), source.where(F.col(ts) >= moment)
 
 
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """State of the streams started inside lies on local disk, keyed, with its changes in the checkpoint; a session that
+    names a state store keeps its own. A stream keeps the settings that it was first started with."""
+    own = {} if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("RocksDBStateStoreProvider") else ROCKSDB
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 class FeatureRefresh:
     """Keeps a per-key feature table up to date from a stream of new rows.
 
-    Each batch is added to the history, which is cut into ``buckets`` folders by a hash of the keys.
-    Features are recomputed from the whole history of the keys a batch touches, for which only the
-    buckets of those keys are read, and only the rows of those keys are written. More buckets read less
-    and write more files: raise their number for a long history. It must stay
-    the same for a root. ``then`` adds dependent views that are refreshed from the new feature rows
-    in the same batch.
+    ``features`` is one grouped aggregation by ``keys``. What it has summed up per key (counts, sums, extremes,
+    sketches) is kept in Spark's state store below the root: a batch reads its own rows and the state of their keys, never
+    older rows, and writes the features of those keys. The state's partitions are fixed by the first run and
+    stored with the checkpoint, so later sessions may have any shuffle width. ``history`` holds rows from before the stream;
+    they are written below the root once and enter the state in the first run. ``then`` adds dependent
+    views that are refreshed from the new feature rows in the same batch.
+
+    Each ``compact_every`` batches the newest rows of all keys are written as a new base, from which reading goes on.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
-                 features: Callable[[DataFrame], DataFrame], buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], features: Callable[[DataFrame], DataFrame],
+                 history: DataFrame | None = None, compact_every: int = 16):
         self.spark, self.root, self.keys, self.features = spark, root.rstrip("/"), list(keys), features
-        self.buckets = buckets
+        self.compact_every = compact_every
         self.dependents: list[tuple[str, Callable[[DataFrame], DataFrame]]] = []
         self.schemas: dict[str, T.StructType] = {}
+        if exists(spark, f"{self.root}/history"):
+            raise ValueError(f"{self.root} holds a history of rows, not keyed state: start a new root")
+        if history is not None and not exists(spark, f"{self.root}/seed/_SUCCESS"):
+            if exists(spark, f"{self.root}/state"):
+                raise ValueError("history has to be there before the first run")
+            history.write.mode("overwrite").parquet(f"{self.root}/seed")
 
     def then(self, name: str, derive: Callable[[DataFrame], DataFrame]) -> FeatureRefresh:
         self.dependents.append((name, derive))
         return self
 
-    def handle(self, rows: DataFrame, batch_id: int) -> None:
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("key_bucket")
-        # Few files per bucket; AQE splits a bucket that one key makes large.
-        dealt = rows.select("*", bucket).hint("rebalance", "key_bucket")
-        dealt.write.mode("overwrite").partitionBy("key_bucket").parquet(f"{self.root}/history/batch={batch_id}")
-        some = [r["key_bucket"] for r in rows.select(bucket).distinct().collect()]
-        touched = rows.select(*self.keys).distinct()
-        fresh = self.features(self.history(rows.schema, some, batch_id).join(touched, self.keys, "left_semi"))
+    def handle(self, fresh: DataFrame, batch_id: int) -> None:
+        """Stores the new feature rows of a batch and what derives from them. A repeated batch overwrites its own folder."""
         self._store("features", fresh, batch_id)
         for name, derive in self.dependents:
             done = self.spark.read.schema(self.schemas["features"]).parquet(f"{self.root}/features/batch={batch_id}")
             self._store(name, derive(done), batch_id)
 
-    def history(self, schema: T.StructType, buckets: Sequence[int], upto: int) -> DataFrame:
-        """Rows of all batches up to ``upto`` in the given buckets; the folders of others are not read."""
-        full = T.StructType([*schema.fields, T.StructField("key_bucket", T.IntegerType())])
-        rows = read_batches(self.spark, f"{self.root}/history", full, upto)
-        return rows.where(F.col("key_bucket").isin(*buckets)).drop("batch", "key_bucket")
-
     def _store(self, name: str, rows: DataFrame, batch_id: int) -> None:
         self.schemas[name] = rows.schema
         write_batch(rows, f"{self.root}/{name}", batch_id)
+        if batch_id % self.compact_every == self.compact_every - 1:
+            self.current(name).write.mode("overwrite").parquet(f"{self.root}/base/{name}/upto={batch_id}")
 
     def run(self, stream: DataFrame, every: str | None = None):
-        return run_batches(stream, f"{self.root}/state", self.handle, every)
+        """One run over what is there, or with ``every`` a running query that looks again at that interval."""
+        if exists(self.spark, f"{self.root}/seed/_SUCCESS"):
+            stream = change_stream(self.spark, f"{self.root}/seed", stream.schema).unionByName(stream)
+        fresh = self.features(stream)
+        writer = fresh.writeStream.outputMode("update").option("checkpointLocation", f"{self.root}/state")
+        with keyed_state(self.spark):
+            started = writer.foreachBatch(self.handle).trigger(**_trigger(every)).start()
+        if every is None:
+            started.awaitTermination()
+        return started
 
     def current(self, name: str = "features") -> DataFrame:
-        """The newest row of every key."""
+        """The newest row of every key: the last base, and the batches after it."""
+        path, spark = f"{self.root}/{name}", self.spark
         if name not in self.schemas:  # written by an earlier run
-            stored = self.spark.read.parquet(f"{self.root}/{name}").schema
+            stored = spark.read.parquet(path).schema
             self.schemas[name] = T.StructType([f for f in stored if f.name != "batch"])
-        rows = read_batches(self.spark, f"{self.root}/{name}", self.schemas[name])
-        values = F.struct(*[c for c in self.schemas[name].names if c not in self.keys])
+        schema = self.schemas[name]
+        bases = sorted((int(c.split("=")[1]) for c in children(spark, f"{self.root}/base/{name}")), reverse=True)
+        base = next((n for n in bases if exists(spark, f"{self.root}/base/{name}/upto={n}/_SUCCESS")), -1)
+        late = [c for c in children(spark, path) if c.startswith("batch=") and int(c.split("=")[1]) > base]
+        rows = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("batch", T.LongType())]))
+        if late:
+            rows = spark.read.schema(rows.schema).option("basePath", path).parquet(*[f"{path}/{c}" for c in late])
+        if base >= 0:
+            rows = rows.unionByName(spark.read.schema(schema).parquet(f"{self.root}/base/{name}/upto={base}").withColumn("batch", F.lit(base).cast("long")))
+        values = F.struct(*[c for c in schema.names if c not in self.keys])
         newest = rows.groupBy(*self.keys).agg(F.max_by(values, F.col("batch")).alias("_v"))
         return newest.select(*self.keys, "_v.*")

@@ -73,27 +73,87 @@ def test_medians_beyond_doubles(spark):
     assert found["m"] == wide[2] and found["q"] == Decimal("12345678901234567890.115")
 
 
-def test_refresh_after_a_restart(spark):
-    root = scratch_dir(spark, "restart")
-    views = lambda: FeatureRefresh(spark, root, ["k"], lambda rows: rows.groupBy("k").agg(F.sum("v").alias("total")))
-    views().handle(spark.createDataFrame([(1, 2), (1, 3), (2, 5)], "k int, v int"), 0)
-    assert sorted(map(tuple, views().current().collect())) == [(1, 5), (2, 5)]
-
-
-def test_refresh_reads_touched_buckets_only(spark):
-    refresh = FeatureRefresh(spark, scratch_dir(spark, "buckets"), ["k"], lambda rows: rows.groupBy("k").agg(F.sum("v").alias("total")), buckets=64)
-    whole, read = refresh.history, []
-
-    def history(schema, buckets, upto):
-        rows = whole(schema, buckets, upto)
-        read.append({r["file"].split("key_bucket=")[1].split("/")[0] for r in rows.select(F.input_file_name().alias("file")).collect()})
-        return rows
-
-    refresh.history = history
-    refresh.handle(spark.range(500).selectExpr("id AS k", "1 AS v"), 0)
-    refresh.handle(spark.createDataFrame([(3, 5), (3, 1)], "k long, v int"), 1)
-    assert len(read[0]) > 30 and read[1] == {str(r["b"]) for r in spark.sql("select pmod(xxhash64(3L), 64) as b").collect()}
-    assert {r["k"]: r["total"] for r in refresh.current().collect()} == {k: 7 if k == 3 else 1 for k in range(500)}
+def _totals(rows):
+    return rows.groupBy("k").agg(F.sum("v").alias("total"), F.count("*").alias("n"), F.max("v").alias("top"))
+
+
+def _folder_of(spark, label, *parts):
+    inbox = scratch_dir(spark, label)
+    for values in parts:
+        spark.createDataFrame(values, "k long, v long").coalesce(1).write.mode("append").parquet(inbox)
+    return inbox
+
+
+def test_refresh_goes_on_after_a_restart_with_another_width(spark):
+    """State, not history: each run is a new query of a new object, under other shuffle widths, and reads its own rows."""
+    root, inbox = scratch_dir(spark, "restart"), _folder_of(spark, "inbox", [(k, 1) for k in range(20)])
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    want = {k: (1, 1, 1) for k in range(20)}
+    try:
+        for step, partitions in enumerate([4, 16, 3, 8]):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            done = FeatureRefresh(spark, root, ["k"], _totals, compact_every=2).run(change_stream(spark, inbox, spark.read.parquet(inbox).schema))
+            assert done.lastProgress.numInputRows == (20 if step == 0 else 2)
+            assert sum(s.numRowsUpdated for s in done.lastProgress.stateOperators) == (20 if step == 0 else 1)
+            found = {r["k"]: (r["total"], r["n"], r["top"]) for r in FeatureRefresh(spark, root, ["k"], _totals).current().collect()}
+            assert found == want
+            spark.createDataFrame([(step, 5), (step, 7)], "k long, v long").coalesce(1).write.mode("append").parquet(inbox)
+            want[step] = (13, 3, 7)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
+def test_refresh_reads_no_older_rows(spark):
+    """The files of earlier batches can go: no later batch looks at them."""
+    root, inbox = scratch_dir(spark, "forget"), _folder_of(spark, "inbox", [(1, 2), (2, 5)])
+    old = spark.read.parquet(inbox)
+    FeatureRefresh(spark, root, ["k"], _totals).run(change_stream(spark, inbox, old.schema))
+    spark.createDataFrame([(1, 3)], old.schema).coalesce(1).write.mode("overwrite").parquet(inbox)
+    refresh = FeatureRefresh(spark, root, ["k"], _totals)
+    refresh.run(change_stream(spark, inbox, old.schema))
+    assert sorted(map(tuple, refresh.current().collect())) == [(1, 5, 2, 3), (2, 5, 1, 5)]
+
+
+def test_repeated_batch_and_compaction(spark):
+    refresh = FeatureRefresh(spark, scratch_dir(spark, "again"), ["k"], _totals, compact_every=2).then(
+        "large", lambda rows: rows.select("k", (F.col("total") > 3).alias("large")))
+    for batch, rows in [(0, [(1, 2, 1, 2), (None, 9, 1, 9)]), (1, [(1, 5, 2, 3)]), (1, [(1, 5, 2, 3)]), (2, [(3, 1, 1, 1)])]:
+        refresh.handle(spark.createDataFrame(rows, "k long, total long, n long, top long"), batch)
+    assert sorted(map(tuple, refresh.current().collect()), key=str) == [(1, 5, 2, 3), (3, 1, 1, 1), (None, 9, 1, 9)]
+    assert {r["k"]: r["large"] for r in refresh.current("large").collect()} == {1: True, 3: False, None: True}
+
+
+def test_refresh_refuses_a_root_of_rows_and_late_history(spark):
+    root = scratch_dir(spark, "old")
+    spark.range(1).write.parquet(f"{root}/history/batch=0")
+    with pytest.raises(ValueError, match="new root"):
+        FeatureRefresh(spark, root, ["k"], _totals)
+    root, inbox = scratch_dir(spark, "late"), _folder_of(spark, "inbox", [(1, 2)])
+    rows = spark.read.parquet(inbox)
+    FeatureRefresh(spark, root, ["k"], _totals).run(change_stream(spark, inbox, rows.schema))
+    with pytest.raises(ValueError, match="first run"):
+        FeatureRefresh(spark, root, ["k"], _totals, history=rows)
+
+
+def test_refreshed_view_keeps_untouched_keys_and_versions_apart(spark):
+    past = spark.createDataFrame([(k, 1) for k in (1, 2, 3) for _ in range(10)] + [(None, 4)], "k long, v long")
+    store, inbox = FeatureStore(spark, scratch_dir(spark, "store")), _folder_of(spark, "inbox", [(1, 6)])
+    view = FeatureView("v", Entity("k", ("k",)), _totals(past))
+    store.register(view, "V_1")
+    stream = lambda: change_stream(spark, inbox, past.schema)
+    store.keep_fresh("v", stream(), _totals, history=past.where("k = 1"))
+    rows = lambda frame: sorted(map(tuple, frame.collect()), key=str)
+    others = [(2, 10, 10, 1), (3, 10, 10, 1), (None, 4, 1, 4)]
+    assert rows(store.read("v")) == [(1, 16, 11, 6), *others]
+    assert rows(store.read("v", "V_1")) == [(1, 10, 10, 1), *others]
+    store.register(view, "V_2")
+    assert rows(store.read("v")) == [(1, 10, 10, 1), *others]
+    spark.createDataFrame([(None, 1), (7, 7)], past.schema).coalesce(1).write.mode("append").parquet(inbox)
+    store.keep_fresh("v", stream(), _totals, history=past)
+    assert rows(store.read("v")) == [(1, 16, 11, 6), (2, 10, 10, 1), (3, 10, 10, 1), (7, 7, 1, 7), (None, 5, 2, 4)]
+    store.keep_fresh("v", stream(), _totals, version="V_1")
+    with pytest.raises(ValueError, match="columns"):
+        store.keep_fresh("v", stream(), lambda r: r.groupBy("k").count())
 
 
 @pytest.mark.parametrize("every", [None, "200 milliseconds"])
