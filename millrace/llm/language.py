@@ -26,6 +26,7 @@ LETTERS = np.full(256, 32, np.uint32)
 LETTERS[97:123] = np.arange(97, 123)
 LETTERS[65:91] = np.arange(97, 123)
 LETTERS[128:] = np.arange(128, 256)
+HASHES = 1 << 62
 
 
 @dataclass
@@ -48,6 +49,11 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
         yield hashed[a:stop][useful[a:stop]]
 
 
+def sample_bar(total: int, most_rows: int) -> int:
+    """Rows whose hash modulo ``HASHES`` lies below this are about ``most_rows`` of ``total``, however many there are."""
+    return HASHES * most_rows // total
+
+
 def fit_text_model(rows: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", most_rows: int = MOST_ROWS) -> TextModel:
     """Gram shares per language from about ``most_rows`` labelled rows, chosen by a hash of the id.
 
@@ -56,7 +62,7 @@ def fit_text_model(rows: DataFrame, text_col: str = "text", label_col: str = "la
     known = rows.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text")).where("label is not null and id is not null")
     total = known.count()
     if total > most_rows:
-        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < int(1_000_003 * most_rows / total))
+        known = known.where(F.pmod(F.xxhash64("id"), F.lit(HASHES)) < sample_bar(total, most_rows))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

@@ -147,7 +147,7 @@ def fit_quality(
     """Fit on the labelled rows outside fold 0, at most ``most_rows`` of them, chosen by a hash of the id.
 
     The sample is a stated bound: one task reads it and fits. Labels other than 0 and 1 are not used, nor ids
-    with both labels. Without rows of both classes the model gives one score to all texts.
+    with both labels; an id with several texts counts with one of them. Without rows of both classes the model gives one score to all texts.
     """
     known = labels.select(F.col(id_col).alias("known_id"), F.col(label_col).cast("int").alias("label"))
     known = known.where((fold("known_id") != 0) & F.col("label").isin(0, 1)).groupBy("known_id").agg(
@@ -169,7 +169,9 @@ def fit_quality(
         packed = model.weights.astype(np.float32).tobytes()
         return pa.table({"weights": pa.array([packed], pa.binary()), "bias": [model.bias], "slope": [model.slope], "offset": [model.offset]})
 
-    found = rows.select("id", "label", "text").mapInArrow(extract, "id long, label int, features array<int>").dropDuplicates(["id"])
+    found = rows.select("id", "label", "text").mapInArrow(extract, "id long, label int, features array<int>")
+    # Of several texts of one id the one with the least features, so that the model is the same under any partitioning.
+    found = found.groupBy("id").agg(F.min(F.struct("label", "features")).alias("row")).select("id", "row.*")
     fitted = found.withColumn("every", F.lit(0)).groupBy("every").applyInArrow(fit, "weights binary, bias double, slope double, offset double").collect()
     if not fitted:
         return Model(np.zeros(1 << bits, np.float32), 0.0, 0.0, 0.0)

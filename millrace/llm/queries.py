@@ -21,6 +21,11 @@ def _of_kind(kind: str, span: Column) -> Column:
     return span["kind"] == kind
 
 
+def _held_out() -> Column:
+    """A row without an id is in no fold, so it is not held out."""
+    return F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out")
+
+
 def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf, "documents"))
     base = [r.kind for r in secrets.BASE_RULES]
@@ -55,7 +60,7 @@ def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     scored = quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf, "labels")))
-    return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", _held_out(), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op7_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,7 +74,7 @@ def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf, "labels")))
-    return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", _held_out(), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op10_window_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -201,13 +201,20 @@ def test_vectors(spark, shard):
     assert found[None] == (0, None, True) and len(found) == len({r[0] for r in rows})
 
 
-def test_vector_recall_of_the_whole_table(spark):
-    rows = table(spark, "/root/testdata/check_s", "embeddings").where("label = 1").select("vec_id", "embedding").collect()
-    units = np.array([r.embedding for r in rows], np.float64)
-    units /= np.linalg.norm(units, axis=1, keepdims=True)
-    home, probes = embeddings.lattice_keys(units, embeddings.TABLES, embeddings.PROBES, embeddings.CELL)
-    a, b = np.nonzero(np.triu(units @ units.T >= 0.98, 1))
+@pytest.mark.parametrize("width", [64, 256])
+def test_vector_recall_near_the_threshold(width):
+    """6,000 planted pairs at cosines from 0.980 to 0.985: the share whose cells meet."""
+    rng = np.random.default_rng(width)
+    a = rng.normal(size=(6000, width))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    away = rng.normal(size=a.shape)
+    away -= (away * a).sum(axis=1, keepdims=True) * a
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cosine = rng.uniform(0.980, 0.985, (len(a), 1))
+    b = cosine * a + np.sqrt(1 - cosine ** 2) * away
+    keys = [embeddings.lattice_keys(v, embeddings.TABLES, embeddings.PROBES, embeddings.CELL) for v in (a, b)]
     met = np.zeros(len(a), bool)
     for t in range(embeddings.TABLES):
-        met |= (home[a, t] == home[b, t]) | (probes[a, t] == home[b, t][:, None]).any(axis=1) | (probes[b, t] == home[a, t][:, None]).any(axis=1)
-    assert len(a) > 1000 and met.mean() >= 0.99
+        (home_a, probes_a), (home_b, probes_b) = [(home[:, t], probes[:, t]) for home, probes in keys]
+        met |= (home_a == home_b) | (probes_a == home_b[:, None]).any(axis=1) | (probes_b == home_a[:, None]).any(axis=1)
+    assert met.mean() >= 0.99

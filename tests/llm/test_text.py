@@ -393,7 +393,42 @@ def test_stages_take_odd_rows(spark):
         assert (at.where("doc_id = 4 and text like '%[SECRET]'").count() <= 1) and at.columns[:len(DOCS.split(","))] == [c.split()[0] for c in DOCS.split(", ")]
 
 
+def test_stages_with_columns_of_their_own_names(spark):
+    """Columns that a stage uses inside stay as they were given."""
+    own = ["rejected_id", "dropped_id", "repeated_id", "leaking_id", "spotted_id", "spotted_hash", "own_hash", "spans", "rated_id", "rated_hash", "text_hash"]
+    rows = [(1, "the of and to in that is", "en", "s"), (2, "and the of it was token = abcdefgh", "en", "s"), (2, "of the and was it", "en", "s")]
+    wide = frame(spark, rows).select("*", *[F.lit(f"given {c}").alias(c) for c in own])
+    for _, stage in corpus_pipeline.STAGES:
+        found = stage(spark, wide, SF_DIR)
+        kept = found.collect()
+        assert [c for c in found.columns if c not in ("rate", "copies")] == wide.columns
+        assert kept and all(r[c] == f"given {c}" for r in kept for c in own)
+
+
+def test_language_sample_at_any_size():
+    for total in (20_001, 10**6, 10**11, 10**14):
+        assert language.sample_bar(total, 20_000) / language.HASHES == pytest.approx(20_000 / total, rel=1e-3)
+
+
+def test_quality_does_not_depend_on_partitions(spark):
+    """Several texts of one id: the same one counts, however the rows are dealt."""
+    texts = ["good plain words of a text", "buy now !!! $$$", "more plain words", "click here !!! now"]
+    docs = spark.createDataFrame([(i, texts[(i + j) % 4] + f" {j}") for i in range(60) for j in range(3)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    weights = {quality.fit_quality(docs.repartition(n), labels).weights.tobytes() for n in (1, 2, 7)}
+    assert len(weights) == 1
+
+
+def test_rows_without_id_are_not_held_out(spark, tmp_path):
+    for name in ("documents", "labels"):
+        table(spark, SF_DIR, name).limit(200).write.parquet(str(tmp_path / f"{name}.parquet"))
+    spark.createDataFrame([(None, "some text", "en", "s", 9)], "doc_id long, text string, lang string, source string, n_chars long").write.mode("append").parquet(str(tmp_path / "documents.parquet"))
+    for name in ("op6_quality", "op9_toxicity"):
+        found = queries.QUERIES[name](spark, str(tmp_path))
+        assert found.where("doc_id is null").first()["held_out"] is False and found.where("held_out is null").count() == 0
+
+
 def test_registered(spark):
     names = entry.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11)) and set(queries.QUERIES) <= set(names)
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14)) and set(queries.QUERIES) <= set(names)
     assert names["pipeline"](spark, SF_DIR).count() > 0
