@@ -14,6 +14,14 @@ from millrace.llm.common import stored
 from millrace.session import table
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, or one made from it, that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose language stays unknown: no letters, or no language at half the posterior.
 
@@ -48,22 +56,27 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by a mark; all documents stay. ``n_chars`` follows the text; null texts stay null."""
+    spotted_id, spotted_hash, own_hash, spans = (_free(docs, c) for c in ("spotted_id", "spotted_hash", "own_hash", "spans"))
     found = secrets.find_secrets(docs).where("size(spans) > 0")
-    spotted = stored(found.select(F.col("doc_id").alias("spotted_id"), F.xxhash64("text").alias("spotted_hash"), "spans").dropDuplicates(["spotted_id", "spotted_hash"]), "spotted")
-    rows = docs.withColumn("own_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = rows.join(spotted, rows["doc_id"].eqNullSafe(spotted["spotted_id"]) & (rows["own_hash"] == spotted["spotted_hash"]), "left")
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(secrets.redacted(F.col("text"), F.col("spans")))
-    n_chars = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
-    return joined.select(*[{"text": text.alias("text"), "n_chars": n_chars.alias("n_chars")}.get(c, F.col(c)) for c in docs.columns])
+    spotted = found.select(F.col("doc_id").alias(spotted_id), F.xxhash64("text").alias(spotted_hash), F.col("spans").alias(spans))
+    spotted = stored(spotted.dropDuplicates([spotted_id, spotted_hash]), "spotted")
+    rows = docs.withColumn(own_hash, F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = rows.join(spotted, F.col("doc_id").eqNullSafe(F.col(spotted_id)) & (F.col(own_hash) == F.col(spotted_hash)), "left")
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(secrets.redacted(F.col("text"), F.col(spans)))
+    n_chars = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
+    return joined.select(*[{"text": text.alias("text"), "n_chars": n_chars.alias("n_chars")}.get(c, F.col(f"`{c}`")) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that enter the mixture, with their ``rate`` and number of ``copies``."""
+    """Keeps the documents that enter the mixture, with their ``rate`` and number of ``copies``. Columns of these names are replaced."""
+    docs = docs.drop("rate", "copies")
+    rated_id, rated_hash, own_hash = (_free(docs, c) for c in ("rated_id", "rated_hash", "own_hash"))
     rates = mixing.mix_to_targets(docs, table(spark, sf_dir, "labels")).select(
-        F.col("doc_id").alias("rated_id"), F.col("text_hash").alias("rated_hash"), "rate", "copies")
+        F.col("doc_id").alias(rated_id), F.col("text_hash").alias(rated_hash), "rate", "copies")
     rates = stored(rates.where("copies > 0"), "rates")
-    rows = docs.withColumn("own_hash", F.xxhash64("text"))
-    return rows.join(rates, rows["doc_id"].eqNullSafe(rates["rated_id"]) & (rows["own_hash"] == rates["rated_hash"])).select(*docs.columns, "rate", "copies")
+    rows = docs.withColumn(own_hash, F.xxhash64("text"))
+    return rows.join(rates, F.col("doc_id").eqNullSafe(F.col(rated_id)) & (F.col(own_hash) == F.col(rated_hash))).select(
+        *[F.col(f"`{c}`") for c in docs.columns], "rate", "copies")
 
 
 STAGES = [
