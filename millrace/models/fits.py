@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark.ml import Estimator, PipelineModel
@@ -204,30 +203,6 @@ def random_points(grid: dict, n: int, seed: int) -> list[dict]:
     return random.Random(seed).sample(points, min(n, len(points)))
 
 
-def boosted_grid(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], rounds: Sequence[int],
-                 rates: Sequence[float], folds: int = 3, depth: int = 5, seed: int = 0, parallelism: int = 8) -> DataFrame:
-    """Cross-validated squared error for every (rounds, rate), over the rows whose inputs and label are known.
-
-    The first n trees of a boosted model are the model of n rounds, so each rate is fitted once per
-    fold with the most rounds, and one more pass scores all shorter models.
-    """
-    folded = assembler(features).transform(with_folds(df.na.drop(subset=[*features, label]), keys, folds, seed)).select("features", label, "fold")
-    folded = folded.persist()
-
-    def errors(rate: float, fold: int) -> list[float]:
-        learner = GBTRegressor(labelCol=label, maxIter=max(rounds), stepSize=rate, maxDepth=depth, seed=seed)
-        model = learner.fit(folded.where(F.col("fold") != fold))
-        return list(model.evaluateEachIteration(folded.where(F.col("fold") == fold), "squared"))
-
-    # Fits are independent jobs, so several are submitted at a time, as a cross-validator does.
-    with ThreadPoolExecutor(parallelism) as pool:
-        found = {point: pool.submit(errors, *point) for point in product(rates, range(folds))}
-        found = {point: future.result() for point, future in found.items()}
-    folded.unpersist()
-    rows = [(n, rate, sum(float(found[rate, fold][n - 1]) for fold in range(folds)) / folds) for n in rounds for rate in rates]
-    return df_from(df, rows, "rounds int, rate double, mse double")
-
-
 def factorize(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 10, iterations: int = 10,
               reg: float = 0.1, seed: int = 0) -> tuple[ALSModel, DataFrame, DataFrame]:
     """Factor a rating matrix without bias terms. Returns the model and both id maps.

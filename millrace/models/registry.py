@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.models.fits import complete
+from millrace.models.trees import register_sql_trees, tree_table
 from millrace.sources.versions import children, natural_order
 
 
@@ -37,19 +39,24 @@ class ModelStore:
         return PipelineModel.load(f"{self.root}/{name}/{version or self.versions(name)[-1]}")
 
 
-def register_sql_model(spark: SparkSession, name: str, model: PipelineModel) -> None:
-    """Make a fitted two-class logistic pipeline callable in SQL: ``name(input, ...)`` is the probability of class 1.
+def register_sql_model(spark: SparkSession, name: str, model: PipelineModel) -> list[str]:
+    """Make a fitted pipeline callable in SQL: ``name(input, ...)`` is the probability of class 1, or the prediction of a regression.
 
-    The function is an SQL expression of the coefficients, so queries that call it stay inside the JVM. Its
-    parameters are the pipeline's inputs in order; a missing input gives NULL.
+    For two-class logistic models, forests and boosted models. The function is an SQL expression of the model, so
+    queries that call it stay inside the JVM. Its parameters are the pipeline's inputs in order, which are returned; a
+    missing input gives NULL.
     """
     inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
     fitted = model.stages[-1]
+    if not isinstance(fitted, LogisticRegressionModel):
+        register_sql_trees(spark, name, tree_table(spark, fitted, inputs))
+        return list(inputs)
     terms = [f"{float(w)!r}D * p{i}" for i, w in enumerate(fitted.coefficients)]
     parameters = ", ".join(f"p{i} DOUBLE" for i in range(len(inputs)))
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS DOUBLE "
         f"RETURN 1 / (1 + exp(-({' + '.join([f'{float(fitted.intercept)!r}D', *terms])})))")
+    return list(inputs)
 
 
 def probabilities(scored: DataFrame, keys: list[str], classes: int = 2) -> DataFrame:

@@ -12,7 +12,7 @@ from millrace.features.transformers import OneHotEncoder
 from millrace.features.views import Entity, FeatureStore, FeatureView, latest_spine
 from millrace.functions.scalars import flag, ratio
 from millrace.functions.text import lexicon_frame, sentiment_scores
-from millrace.models.fits import balanced_logistic, score
+from millrace.models.fits import balanced_logistic, boosted_classifier, forest, score
 from millrace.models.registry import ModelStore, probabilities, register_sql_model
 from millrace.operators.asof import point_in_time
 from millrace.operators.semistruct import dot
@@ -446,6 +446,28 @@ def score_in_sql(spark, sf):
         (F.abs(F.col("newest") - F.col("direct_newest")) < 1e-9).alias("same_default"))
 
 
+@query("score_trees_in_sql", "select c_custkey as id, true as same_v1, true as same_v2, true as same_default from customer")
+def score_trees_in_sql(spark, sf):
+    """Three stored versions, two boosted and the newest a forest, called from SQL by version; each gives what scoring the frame gives."""
+    data, inputs = churn(spark, sf), ["c_acctbal", "c_nationkey", "n_orders"]
+    models = ModelStore(spark, scratch_dir(spark, "models"))
+    models.save("churn", "v1", boosted_classifier(inputs[1:], "target", rounds=10, depth=3).fit(data))
+    models.save("churn", "v2", boosted_classifier(inputs, "target", rounds=10, depth=4).fit(data))
+    models.save("churn", "v3", forest(inputs, "target", trees=20, depth=4).fit(data))
+    customers = spread(data)
+    customers.createOrReplaceTempView("churn_customers")
+    out, calls = customers, []
+    for name, version in (("v1", "v1"), ("v2", "v2"), ("default", None)):
+        model = models.load("churn", version)
+        used = register_sql_model(spark, f"churn_trees_{name}", model)
+        calls.append(f"churn_trees_{name}({', '.join(used)}) AS {name}")
+        direct = probabilities(model.transform(data), ["id"]).select(F.col("id").alias(f"id_{name}"), F.col("probability_1").alias(f"direct_{name}"))
+        out = out.join(direct, F.col("id") == F.col(f"id_{name}")).drop(f"id_{name}")
+    called = spark.sql(f"SELECT id AS called_id, {', '.join(calls)} FROM churn_customers")
+    same = [(F.abs(F.col(n) - F.col(f"direct_{n}")) < 1e-9).alias(f"same_{n}") for n in ("v1", "v2", "default")]
+    return out.join(called, F.col("id") == F.col("called_id")).select("id", *same)
+
+
 @query("score_by_version", """
     select version, inputs, count(*) as n from customer, (values ('v1', 1), ('default', 2)) v(version, inputs) group by 1, 2
 """)

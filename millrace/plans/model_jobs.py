@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from millrace.features.steps import ColumnTransformer, Pipeline
 from millrace.features.transformers import MinMaxScaler, OneHotEncoder
-from millrace.models import fits, metrics
+from millrace.models import boosting, fits, metrics
 from millrace.models.registry import probabilities
+from millrace.models.trees import predict
 from millrace.plans.feature_jobs import SCORED_SQL, checked_scores, churn, customer_features
 from millrace.plans.registry import query
-from millrace.session import table
+from millrace.session import spread, table
 
 
 def _points(spark, sf):
@@ -40,7 +38,7 @@ def kmeans(spark, sf):
 def fit_kmeans_scaled(spark, sf):
     """Clusters of scaled features: they share out all customers, and their centres lie in the scaled range."""
     features = customer_features(spark, sf, all_lines=True)
-    scaled = ["return_ratio_mms", "frequency_mms"]
+    scaled = ["scaled_return_share", "scaled_frequency"]
     model = Pipeline([
         ("scale", MinMaxScaler(["return_ratio", "frequency"], scaled, clip=True)), ("cluster", fits.kmeans(scaled, k=5, seed=0)),
     ]).fit(features)
@@ -151,42 +149,64 @@ def boosted_regression(spark, sf):
         F.broadcast(scored.agg(F.count("prediction").alias("rows")))).select("rows", (F.col("r2") > 0).alias("better_than_mean"))
 
 
-@query("grid_search", """
-    select rounds, rate::double as rate, true as better_than_mean
-    from (select unnest([2, 4, 6, 8, 10, 12]) as rounds), (select unnest([0.05, 0.1, 0.2, 0.3, 0.4, 0.5]) as rate)
+ROUNDS, RATES = [50, 100, 200, 300, 400, 500], [0.05, 0.1, 0.2, 0.3, 0.4, 0.5]
+PRICE_INPUTS = ["p_partkey", "p_size"]
+
+
+def _price_search(spark, sf, points) -> boosting.SearchResult:
+    """Boosted models of the price, scored by their mean absolute percentage error on rows that were left out."""
+    return boosting.boosted_search(
+        table(spark, sf, "part"), PRICE_INPUTS, "p_retailprice", ["p_partkey"], points, categories=["p_type"], bins=32, folds=3)
+
+
+def _error_of_mean(spark, sf):
+    parts = table(spark, sf, "part")
+    mean = parts.agg(F.avg("p_retailprice").alias("m")).scalar()
+    return parts.agg(F.avg(F.abs(F.col("p_retailprice") - mean) / F.col("p_retailprice")).alias("error_of_mean"))
+
+
+@query("grid_search", f"""
+    select rounds, rate::double as rate, true as better_than_mean from (select unnest({ROUNDS}) as rounds), (select unnest({RATES}) as rate)
 """)
 def grid_search(spark, sf):
-    """Six numbers of rounds by six learning rates: each scored on rows it was not fitted on, below the variance of the prices."""
-    parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
-    scores = fits.boosted_grid(
-        parts, ["p_partkey", "p_size"], "p_retailprice", ["p_partkey"], rounds=[2, 4, 6, 8, 10, 12],
-        rates=[0.05, 0.1, 0.2, 0.3, 0.4, 0.5], folds=3, depth=3)
-    spread = parts.agg(F.var_pop("p_retailprice").alias("variance"))
-    return scores.crossJoin(F.broadcast(spread)).select("rounds", "rate", (F.col("mse") < F.col("variance")).alias("better_than_mean"))
+    """Six numbers of rounds by six learning rates: each scored on rows it was not fitted on, with a lower percentage error than the mean price."""
+    scores = _price_search(spark, sf, [boosting.Point(n, rate, 6) for n in ROUNDS for rate in RATES]).scores
+    return scores.crossJoin(F.broadcast(_error_of_mean(spark, sf))).select("rounds", "rate", (F.col("score") < F.col("error_of_mean")).alias("better_than_mean"))
+
+
+@query("grid_search_best", "select count(*) as rows, true as least_error, true as better_than_mean from part")
+def grid_search_best(spark, sf):
+    """The best of twelve points, refitted on all parts and applied to them by column expressions."""
+    found = _price_search(spark, sf, [boosting.Point(n, rate, 4) for n in (10, 20, 30, 40) for rate in (0.1, 0.3, 0.5)])
+    parts = spread(table(spark, sf, "part"))
+    priced = predict(boosting.with_categories(parts, found.model), found.model)
+    error = F.avg(F.abs(F.col("prediction") - F.col("p_retailprice")) / F.col("p_retailprice"))
+    least = found.scores.orderBy("score", "point").limit(1).select(
+        ((F.col("rounds") == found.best.rounds) & (F.col("rate") == found.best.rate)).alias("least_error"))
+    return priced.agg(F.count("prediction").alias("rows"), error.alias("error")).crossJoin(F.broadcast(least)).crossJoin(
+        F.broadcast(_error_of_mean(spark, sf))).select("rows", "least_error", (F.col("error") < F.col("error_of_mean")).alias("better_than_mean"))
 
 
 @query("grid_search_classes", """
-    select row_number() over (order by iter, depth)::integer - 1 as point, 'maxDepth=' || depth || ', maxIter=' || iter as params, true as scored
-    from (select unnest([2, 5]) as iter), (select unnest([1, 3]) as depth)
+    select row_number() over (order by iter, depth)::integer - 1 as point, 'depth=' || depth || ', rounds=' || iter as params, true as scored, true as best_above_majority
+    from (select unnest([10, 25, 50, 100, 150, 200]) as iter), (select unnest([1, 3, 5, 7, 9]) as depth)
 """)
 def grid_search_classes(spark, sf):
-    """Cross-validated grid over rounds and depth, scored by F1: a score for every point."""
-    learner = GBTClassifier(labelCol="target", seed=0)
-    grid = fits.param_grid({learner.maxIter: [2, 5], learner.maxDepth: [1, 3]})
-    data = fits.assembler(FOREST_FEATURES).transform(churn(spark, sf).na.drop(subset=FOREST_FEATURES))
-    evaluator = MulticlassClassificationEvaluator(labelCol="target", metricName="f1")
-    return fits.search(learner, grid, evaluator, data, ["id"])[1].select("point", "params", F.col("score").between(0, 1).alias("scored"))
+    """Six numbers of rounds by five depths, scored by F1 on rows left out; the best is above the larger class's F1 of zero."""
+    points = [boosting.Point(n, 0.3, depth) for n in (10, 25, 50, 100, 150, 200) for depth in (1, 3, 5, 7, 9)]
+    scores = boosting.boosted_search(churn(spark, sf), FOREST_FEATURES, "target", ["id"], points, loss="logistic", score="f1", folds=3, bins=32).scores
+    best = scores.agg((F.max("score") > 0).alias("best_above_majority"))
+    return scores.crossJoin(F.broadcast(best)).select(
+        "point", F.concat(F.lit("depth="), "depth", F.lit(", rounds="), "rounds").alias("params"), F.col("score").between(0, 1).alias("scored"), "best_above_majority")
 
 
-@query("random_search", "select 4::bigint as points, 4::bigint as different, true as scored")
+@query("random_search", "select 8::bigint as points, 8::bigint as different, true as better_than_mean")
 def random_search(spark, sf):
-    """Four different points of a grid, each with an error."""
-    learner = GBTRegressor(labelCol="p_retailprice", maxDepth=3, seed=0)
-    grid = {learner.maxIter: [2, 5, 10, 15], learner.stepSize: [0.05, 0.1, 0.3, 0.5]}
-    data = fits.assembler(["p_partkey", "p_size"]).transform(table(spark, sf, "part").na.drop(subset=["p_partkey", "p_size"]))
-    evaluator = RegressionEvaluator(labelCol="p_retailprice", metricName="rmse")
-    found = fits.search(learner, fits.random_points(grid, 4, seed=7), evaluator, data, ["p_partkey"])[1]
-    return found.agg(F.count("*").alias("points"), F.countDistinct("params").alias("different"), F.every(F.col("score") > 0).alias("scored"))
+    """Eight different points of the grid of 36, each with a lower percentage error than the mean price."""
+    points = [boosting.Point(p["rounds"], p["rate"], 6) for p in fits.random_points({"rounds": ROUNDS, "rate": RATES}, 8, seed=7)]
+    scores = _price_search(spark, sf, points).scores
+    return scores.crossJoin(F.broadcast(_error_of_mean(spark, sf))).agg(
+        F.count("*").alias("points"), F.countDistinct("rounds", "rate").alias("different"), F.every(F.col("score") < F.col("error_of_mean")).alias("better_than_mean"))
 
 
 def _ratings(spark, sf):
