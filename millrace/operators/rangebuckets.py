@@ -24,6 +24,8 @@ _TAIL_HALVINGS = 6
 # Boundaries only balance the work, so they are taken from a sample; results never depend on them.
 _BOUNDARY_SAMPLE = 0.05
 MAX_BROADCAST_ROWS = 20_000
+# A summary is off by at most one rank in so many.
+ACCURACY = 10_000
 
 
 def _fractions(buckets: int) -> list[float]:
@@ -189,87 +191,87 @@ def dense_ids(df: DataFrame, column: str, id_name: str, start: int = 0, buckets:
     return counted.select(column, (F.col(id_name) - 1 + start).alias(id_name))
 
 
-def _ranked_type(types: Sequence[T.DataType]) -> T.DataType:
-    """A type that holds the values of all the columns exactly, so they rank as they are."""
-    if all(isinstance(t, T.IntegralType) for t in types):
-        return T.LongType()
-    if all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
-        scale = max((t.scale for t in types if isinstance(t, T.DecimalType)), default=0)
-        whole = max((t.precision - t.scale for t in types if isinstance(t, T.DecimalType)), default=0)
-        if whole + scale <= 38 and (whole >= 19 or all(isinstance(t, T.DecimalType) for t in types)):
-            return T.DecimalType(whole + scale, scale)
-        return T.DecimalType(38, min(scale, 19))
-    return T.DoubleType()
+def _result_decimal(dtype: T.DataType) -> T.DecimalType | None:
+    """A decimal for quantiles of whole numbers and decimals, with up to six digits more; None for types whose results are doubles."""
+    if isinstance(dtype, T.IntegralType):
+        return T.DecimalType(38, 6)
+    if isinstance(dtype, T.DecimalType):
+        return T.DecimalType(38, min(dtype.scale + 6, 38 - (dtype.precision - dtype.scale)))
+    return None
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], by: Sequence[str] = (),
                     buckets: int | None = None, decimals: bool = False) -> DataFrame:
     """Exact interpolated quantiles: one row per group, one column per ``{name: (column, probability)}``.
 
-    Pass one counts rows per (group, column, range bucket), a small shuffle. Only the rows of a
-    bucket that holds a wanted rank are then counted by value, so no task ever sees a whole group,
-    and equal values are combined before they are shuffled. All columns share both passes.
+    Two passes. The first builds a mergeable summary per group and column, whose error bound brackets each wanted rank
+    between two values. The second counts the rows below the bracket, and by value those inside it, a few
+    in ten thousand; equal values are combined before they are shuffled, and a bracket is cut into ``buckets``
+    ranges, so no task sees a whole group. Groups of fewer than ``2 * ACCURACY`` rows are counted by value whole.
 
-    Whole numbers and decimals are ranked as they are. The result is a double, rounded once; with
-    ``decimals`` it is a decimal for such columns, which also holds numbers beyond 2^53.
+    Each column is ranked in its own type, so whole numbers and decimals are exact however they are combined. The result is a
+    double, rounded once; with ``decimals`` it is a decimal for such columns, which also holds numbers beyond 2^53.
     """
     by, columns = list(by), list(dict.fromkeys(c for c, _ in wanted.values()))
-    keys = [*by, "_column", "_bucket"]
-    points = _split_points_of(df, columns, buckets or shuffle_width(df.sparkSession))
-    ranked = _ranked_type([df.select(c).schema[0].dataType for c in columns])
-    cells = [
-        F.struct(F.lit(i).alias("_column"), F.col(c).cast(ranked).alias("_v"),
-                 _coarse_bucket(F.col(c).cast("double"), points[c], T.DoubleType()).alias("_coarse"))
-        for i, c in enumerate(columns)
-    ]
-    ladders = F.array(*[F.array(*[F.lit(p) for p in points[c]] or [F.lit(None).cast("double")]) for c in columns])
-    cut = (
-        df.select(*by, F.explode(F.array(*cells)).alias("_cell")).select(*by, "_cell.*").where(F.col("_v").isNotNull())
-        .withColumn("_bucket", _fine_bucket(F.col("_coarse"), F.col("_v").cast("double"), F.get(ladders, F.col("_column")))).drop("_coarse")
-    )
-
-    group = Window.partitionBy(*by, "_column")
-    upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = F.array(*[
-        F.struct(F.lit(columns.index(c)).alias("column"), F.lit(name).alias("name"), F.lit(side).alias("side"),
-                 rounding(F.lit(float(p)) * (F.col("_all") - 1)).cast("long").alias("rank"))
-        for name, (c, p) in wanted.items() for side, rounding in (("lo", F.floor), ("hi", F.ceil))
-    ])
-    # At most `buckets * FINE` rows per group and column go through these windows.
+    kinds = {c: df.select(c).schema[0].dataType for c in columns}
+    ranges = buckets or FINE
+    margin = 2 / ACCURACY
+    ends = {c: sorted({e for d, p in wanted.values() if d == c for e in (max(0.0, p - margin), min(1.0, p + margin))}) for c in columns}
+    summaries = df.groupBy(*by).agg(*[
+        x for i, c in enumerate(columns) for x in (
+            F.count(c).alias(f"_n{i}"), F.percentile_approx(F.col(c).cast("double"), ends[c], ACCURACY).alias(f"_e{i}"))])
+    summaries = broadcast_if_small(summaries)
+    joined = null_safe_join(df.select(*dict.fromkeys([*by, *columns])), summaries, by) if by else df.select(*columns).crossJoin(F.broadcast(summaries))
+
+    cells = []
+    for w, (c, p) in enumerate(wanted.values()):
+        i, value = columns.index(c), F.col(c).cast("double")
+        large = F.col(f"_n{i}") >= 2 * ACCURACY
+        low, high = (F.col(f"_e{i}")[ends[c].index(e)] for e in (max(0.0, p - margin), min(1.0, p + margin)))
+        inside = ~large | ((value >= low) & (value <= high))
+        step = F.coalesce(F.floor((value - low) / F.when(high > low, high - low) * ranges), F.lit(0))
+        cells.append(F.struct(
+            F.lit(w).alias("_w"), F.col(f"_n{i}").alias("_all"),
+            F.when(F.col(c).isNull() | (large & (value > high)), None).when(~inside, -1).otherwise(
+                F.greatest(F.lit(0), F.least(step, F.lit(ranges - 1))).cast("int")).alias("_range"),
+            *[(F.when(inside, F.col(d)) if d == c else F.lit(None).cast(kinds[d])).alias(f"_v{j}") for j, d in enumerate(columns)]))
+    values = [f"_v{i}" for i in range(len(columns))]
+    keys = [*by, "_w", "_range"]
+    counts = joined.select(*by, F.inline(F.array(*cells))).where("_range is not null").groupBy(*keys, *values).agg(
+        F.max("_all").alias("_all"), F.count(F.lit(1)).alias("_c"))
+    # At most `ranges + 1` rows per group and quantile go through this window.
+    upto = Window.partitionBy(*by, "_w").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    shares = F.array(*[F.lit(float(p)) for _, p in wanted.values()])
+    position = F.get(shares, F.col("_w")) * (F.col("_all") - 1)
+    ranks = F.array(*[F.struct(F.lit(side).alias("side"), rounding(position).cast("long").alias("rank")) for side, rounding in (("lo", F.floor), ("hi", F.ceil))])
     targets = (
-        cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, "_n", F.sum("_n").over(group).alias("_all"), (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
-        .withColumn("_ranks", F.filter(ranks, lambda r: (r["column"] == F.col("_column")) & (r["rank"] >= F.col("_before"))
-                                       & (r["rank"] < F.col("_before") + F.col("_n"))))
-        .where(F.size("_ranks") > 0)
-        .select(*keys, "_all", "_before", "_ranks")
-    )
-    targets = broadcast_if_small(targets)
-    near = null_safe_join(cut, targets.select(*keys), keys)
-    counts = near.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    inside = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = null_safe_join(counts.withColumn("_upto", F.sum("_c").over(inside)), targets, keys)
-    end = F.col("_before") + F.col("_upto")
+        counts.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.max("_all").alias("_all"))
+        .withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
+        .withColumn("_ranks", F.filter(ranks, lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_n"))))
+        .where("_range >= 0 and size(_ranks) > 0").select(*keys, "_before", "_ranks"))
+    inside = Window.partitionBy(*keys).orderBy(*values).rowsBetween(Window.unboundedPreceding, 0)
+    placed = null_safe_join(counts, targets, keys).withColumn("_end", F.col("_before") + F.sum("_c").over(inside))
     hits = placed.select(
-        *by, "_v", "_all", F.explode(F.filter("_ranks", lambda r: (r["rank"] >= end - F.col("_c")) & (r["rank"] < end))).alias("_r"))
+        *by, "_w", "_all", *values,
+        F.explode(F.filter("_ranks", lambda r: (r["rank"] >= F.col("_end") - F.col("_c")) & (r["rank"] < F.col("_end")))).alias("_r"))
 
-    def pick(name: str, field: str, side: str) -> Column:
-        return F.max(F.when((F.col("_r.name") == name) & (F.col("_r.side") == side), F.col(field)))
+    def pick(w: int, field: str, side: str) -> Column:
+        return F.max(F.when((F.col("_w") == w) & (F.col("_r.side") == side), F.col(field)))
 
     sides = hits.groupBy(*by).agg(*[
-        pick(n, f, s).alias(f"_{f}{s}_{n}") for n in wanted for f, s in (("_v", "lo"), ("_v", "hi"), ("_all", "lo"))])
+        pick(w, field, side).alias(f"_{kind}{side}{w}") for w, (c, _) in enumerate(wanted.values())
+        for kind, field, side in (("v", f"_v{columns.index(c)}", "lo"), ("v", f"_v{columns.index(c)}", "hi"), ("n", "_all", "lo"))])
     out = []
-    for name, (_, p) in wanted.items():
-        low, high, n = F.col(f"__vlo_{name}"), F.col(f"__vhi_{name}"), F.col(f"__alllo_{name}")
-        position = F.lit(float(p)) * (n - 1)
+    for w, (name, (c, p)) in enumerate(wanted.items()):
+        low, high, n = F.col(f"_vlo{w}"), F.col(f"_vhi{w}"), F.col(f"_nlo{w}")
+        position, kind = F.lit(float(p)) * (n - 1), _result_decimal(kinds[c])
         share = position - F.floor(position)
-        if isinstance(ranked, T.DoubleType):
-            value = low + (high - low) * share
-        elif decimals:
-            kind = T.DecimalType(38, min(getattr(ranked, "scale", 0) + 6, 18))
-            value = low.cast(kind) + ((high - low).cast("double") * share).cast(kind)
+        if kind is None:
+            low, high = low.cast("double"), high.cast("double")
+            value = low + F.when(low == high, 0.0).otherwise((high - low) * share)
         else:
-            value = low.cast("double") + (high - low).cast("double") * share
+            away = (high.cast(kind) - low.cast(kind)).cast("double") * share
+            value = low.cast(kind) + away.cast(kind) if decimals else low.cast("double") + away
         out.append(value.alias(name))
     return sides.select(*by, *out)
 
@@ -279,12 +281,3 @@ def broadcast_if_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFr
     as it is, to be joined by a shuffle."""
     rows = df.limit(limit + 1).collect()
     return df if len(rows) > limit else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def _split_points_of(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list]:
-    """Boundaries of several numeric columns from one pass."""
-    if buckets <= 1:
-        return {c: [] for c in columns}
-    row = df.select(*columns).sample(_BOUNDARY_SAMPLE, seed=0).agg(*[
-        F.percentile_approx(F.col(c).cast("double"), _fractions(buckets), 10_000).alias(f"p{i}") for i, c in enumerate(columns)]).first()
-    return {c: _boundaries(row[f"p{i}"]) for i, c in enumerate(columns)}

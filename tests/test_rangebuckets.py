@@ -118,3 +118,46 @@ def test_no_window_over_everything(spark):
         if "SinglePartition" in line:
             assert "HashAggregate(keys=[_bucket" in plan[number + 1], line
     assert any("hashpartitioning(_bucket" in line for line in plan)
+
+
+def test_columns_of_mixed_types(spark):
+    """Whole numbers beyond 2^53, wide decimals and doubles side by side, each ranked as it is."""
+    from decimal import Decimal
+
+    longs = [2**53 + 1, 2**53 + 1, 2**53 + 3]
+    fine = [Decimal("0.000000000000000000000000000001"), Decimal("1.5"), Decimal("99999999.000000000000000000000000000003")]
+    rows = [(a, 10 ** 37 + b, c, float(b)) for a, b, c in zip(longs, (1, 2, 3), fine)]
+    df = spark.createDataFrame([(a, Decimal(b), c, d) for a, b, c, d in rows], "a long, b decimal(38,0), c decimal(38,30), d double")
+    found = rb.exact_quantiles(df, {x: (x, 0.5) for x in "abcd"}, decimals=True).first()
+    assert (found["a"], found["b"], found["c"], found["d"]) == (2**53 + 1, 10**37 + 2, Decimal("1.5"), 2.0)
+    assert rb.exact_quantiles(df, {"a": ("a", 0.5), "d": ("d", 1.0)}).first()["a"] == float(2**53 + 1)
+
+
+@pytest.mark.parametrize("buckets", [None, 1, 7])
+def test_quantiles_of_large_groups(spark, monkeypatch, buckets):
+    """Groups beyond the limit of whole counting: brackets hold every rank, with ties, tails and infinite values."""
+    monkeypatch.setattr(rb, "ACCURACY", 50)
+    rng = np.random.default_rng(3)
+    a = np.concatenate([rng.lognormal(0, 3, 3000), np.full(2500, 7.0), [np.inf, -np.inf], rng.integers(0, 5, 900)])
+    rows = [("x", float(v), int(i % 37)) for i, v in enumerate(a)] + [("y", float(i % 11), i) for i in range(400)] + [(None, 1.0, 1), ("z", None, None)]
+    df = spark.createDataFrame(rows, "g string, v double, k long").repartition(6)
+    wanted = {f"q{i}": (c, p) for i, (c, p) in enumerate([("v", 0.0), ("v", 0.001), ("v", 0.37), ("v", 0.5), ("v", 0.99), ("k", 0.5), ("k", 1.0), ("k", 0.013)])}
+    found = {r["g"]: r for r in rb.exact_quantiles(df, wanted, by=["g"], buckets=buckets).collect()}
+    assert set(found) == {"x", "y", None}
+    for g in found:
+        for name, (c, p) in wanted.items():
+            data = np.sort([(v if c == "v" else k) for h, v, k in rows if h == g])
+            at = p * (len(data) - 1)
+            low, high = data[int(np.floor(at))], data[int(np.ceil(at))]
+            want = low if low == high else low + (high - low) * (at - np.floor(at))
+            assert found[g][name] == pytest.approx(want, rel=1e-12), (g, name)
+
+
+def test_quantiles_in_two_scans(spark, tmp_path):
+    """The plan reads the rows once more after the summaries, and joins by broadcast."""
+    path = str(tmp_path / "rows")
+    spark.range(50_000).selectExpr("id % 3 AS g", "cast(id * 7919 % 50021 AS double) AS v", "id AS w").write.parquet(path)
+    made = rb.exact_quantiles(spark.read.parquet(path), {"m": ("v", 0.5), "q": ("w", 0.9)}, by=["g"])
+    rows = {r["g"]: r["m"] for r in made.collect()}
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(rows) == 3 and plan.count("FileScan") - plan.count("ReusedExchange") <= 1
