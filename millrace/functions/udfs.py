@@ -61,12 +61,22 @@ def scored_with(load: Callable[[], Any], apply: Callable[[Any, pd.Series], pd.Se
 
 @F.udtf(returnType=FACTS)
 class NumberFacts:
-    """Table function: several facts about each number."""
+    """Table function: nine facts about each number; NULL where a function is not defined there."""
 
     def eval(self, num: float):
-        yield num, "square_root", math.sqrt(num)
-        yield num, "square", num * num
-        yield num, "log_10", math.log10(num)
+        def at(defined: bool, function):
+            return function(num) if num is not None and math.isfinite(num) and defined else None
+
+        positive = num is not None and num > 0
+        yield num, "number", num
+        yield num, "square_root", at(num is not None and num >= 0, math.sqrt)
+        yield num, "square", at(True, lambda x: x * x)
+        yield num, "cube", at(True, lambda x: x * x * x)
+        yield num, "ln", at(positive, math.log)
+        yield num, "log_10", at(positive, math.log10)
+        yield num, "sine", at(True, math.sin)
+        yield num, "cosine", at(True, math.cos)
+        yield num, "tangent", at(True, math.tan)
 
 
 @F.udtf(returnType=TOTALS)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import product
 
-from pyspark.ml import Estimator, PipelineModel
+import numpy as np
+import pyarrow as pa
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml import Pipeline as SparkPipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -50,23 +51,101 @@ def score(model: PipelineModel, df: DataFrame, output: str = "prediction") -> Da
     return scored.withColumn(output, F.when(complete(), F.col(output)))
 
 
-class RestartedKMeans(Estimator):
-    """k-means from several starts; the one with the least cost stays."""
+class NearestCentre(Model):
+    """Adds ``cluster``, the number of the nearest centre, by a column expression."""
 
-    def __init__(self, k: int, starts: int, seed: int, max_iter: int):
+    def __init__(self, centres: np.ndarray, cost: float, costs: list[float]):
         super().__init__()
-        self.k, self.starts, self.seed, self.max_iter = k, starts, seed, max_iter
+        self.centres, self.cost, self.costs = centres, cost, costs
+
+    def clusterCenters(self) -> list[np.ndarray]:  # noqa: N802 - as MLlib's model has it
+        return list(self.centres)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        x = vector_to_array("features")
+        away = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, y: t + y)
+                for c in self.centres]
+        return dataset.withColumn("_away", F.array(*away)).withColumn(
+            "cluster", (F.array_position("_away", F.array_min("_away")) - 1).cast("int")).drop("_away")
 
-    def _fit(self, dataset: DataFrame):
-        points = dataset.select("features").persist()
-        models = [
-            KMeans(k=self.k, seed=self.seed + i, maxIter=self.max_iter, predictionCol="cluster").fit(points) for i in range(self.starts)]
-        points.unpersist()
-        return min(models, key=lambda m: m.summary.trainingCost)
+
+class RestartedKMeans(Estimator):
+    """k-means from several starts at a time; the one with the least cost stays.
+
+    Each step is one pass over the points, which sums them up by start and nearest centre; starts that no longer move drop out.
+    Starts are drawn by k-means++ from the distinct points with the least hashes, ``sample`` of them, so that they do not
+    depend on how the rows are dealt or which task ends first.
+    """
+
+    def __init__(self, k: int, starts: int, seed: int, max_iter: int, tolerance: float = 1e-9, sample: int = 2000):
+        super().__init__()
+        self.k, self.starts, self.seed, self.max_iter, self.tolerance, self.sample = k, starts, seed, max_iter, tolerance, sample
+
+    def _first_centres(self, points: DataFrame) -> list[np.ndarray]:
+        drawn = points.distinct().orderBy(F.xxhash64(F.lit(self.seed), "x"), "x").limit(max(self.sample, 20 * self.k)).collect()
+        found = np.array([r["x"] for r in drawn], np.float64)
+        if not len(found):
+            raise ValueError("no points to cluster")
+        out = []
+        for start in range(self.starts):
+            random_ = np.random.default_rng([self.seed, start])
+            chosen = [found[random_.integers(len(found))]]
+            while len(chosen) < min(self.k, len(found)):
+                away = np.min([((found - c) ** 2).sum(axis=1) for c in chosen], axis=0)
+                chosen.append(found[random_.choice(len(found), p=away / away.sum())])
+            out.append(np.array(chosen))
+        return out
+
+    def _fit(self, dataset: DataFrame) -> NearestCentre:
+        points = dataset.select(vector_to_array("features").alias("x")).persist()
+        try:
+            centres = self._first_centres(points)
+            costs, moving = [float("inf")] * len(centres), set(range(len(centres)))
+            for step in range(self.max_iter + 1):
+                sums = self._step(points, {i: centres[i] for i in moving})
+                for i in sorted(moving):
+                    costs[i] = sum(r["cost"] for r in sums if r["start"] == i)
+                    after = centres[i].copy()
+                    for r in sums:
+                        if r["start"] == i:
+                            after[r["cluster"]] = np.array(r["total"]) / r["n"]
+                    if step == self.max_iter or np.abs(after - centres[i]).max() <= self.tolerance * max(1.0, np.abs(centres[i]).max()):
+                        moving.discard(i)  # the cost is that of the centres that stay
+                    else:
+                        centres[i] = after
+                if not moving:
+                    break
+        finally:
+            points.unpersist()
+        best = min(range(len(costs)), key=costs.__getitem__)
+        return NearestCentre(centres[best], costs[best], costs)
+
+    @staticmethod
+    def _step(points: DataFrame, centres: dict[int, np.ndarray]) -> list:
+        """Rows, sums and cost per start and nearest centre: as many rows as there are centres."""
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                for start, own in centres.items():
+                    away = ((x[:, None, :] - own[None, :, :]) ** 2).sum(axis=2)
+                    nearest = away.argmin(axis=1)
+                    number, n = np.unique(nearest, return_counts=True)
+                    total = np.stack([np.bincount(nearest, x[:, j], len(own))[number] for j in range(x.shape[1])], axis=1)
+                    cost = np.bincount(nearest, away[np.arange(len(x)), nearest], len(own))[number]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(n), start), pa.int32()), pa.array(number, pa.int32()), pa.array(n, pa.int64()), pa.array(cost),
+                        pa.array(list(total), pa.list_(pa.float64()))], names=["start", "cluster", "n", "cost", "total"])
+
+        width = len(next(iter(centres.values()))[0])
+        found = points.mapInArrow(sums, "start int, cluster int, n long, cost double, total array<double>")
+        return found.groupBy("start", "cluster").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("total")[j]) for j in range(width)]).alias("total")).collect()
 
 
 def kmeans(features: Sequence[str], k: int, seed: int = 0, max_iter: int = 300, starts: int = 10) -> MlPipeline:
-    """k-means with the scalable parallel initialisation, best of ``starts``; predictions go to ``cluster``."""
+    """k-means from ``starts`` starts, the best of which stays; predictions go to ``cluster``."""
     return MlPipeline(stages=[assembler(features), RestartedKMeans(k, starts, seed, max_iter)])
 
 

@@ -205,8 +205,8 @@ def split_to_table(spark, sf):
 
 @query("table_fn_call", """
     select p_size as num, name, round(value, 6) as value from (
-        select p_size, unnest(['square_root', 'square', 'log_10']) as name,
-               unnest([sqrt(p_size), p_size * p_size, log10(p_size)]) as value
+        select p_size, unnest(['number', 'square_root', 'square', 'cube', 'ln', 'log_10', 'sine', 'cosine', 'tangent']) as name,
+               unnest([p_size, sqrt(p_size), p_size * p_size, p_size ** 3, ln(p_size), log10(p_size), sin(p_size), cos(p_size), tan(p_size)]) as value
         from (select distinct p_size from part))
 """)
 def table_fn_call(spark, sf):

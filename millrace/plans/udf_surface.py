@@ -144,8 +144,8 @@ def udf_with_file(spark, sf):
 
 @query("udtf_rows", """
     select p_partkey, name, round(value, 6) as value from (
-        select p_partkey, unnest(['square_root', 'square', 'log_10']) as name,
-               unnest([sqrt(p_size), p_size * p_size, log10(p_size)]) as value from part)
+        select p_partkey, unnest(['number', 'square_root', 'square', 'cube', 'ln', 'log_10', 'sine', 'cosine', 'tangent']) as name,
+               unnest([p_size, sqrt(p_size), p_size * p_size, p_size ** 3, ln(p_size), log10(p_size), sin(p_size), cos(p_size), tan(p_size)]) as value from part)
 """)
 def udtf_rows(spark, sf):
     from millrace.functions.udfs import NumberFacts

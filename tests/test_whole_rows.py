@@ -2,6 +2,7 @@
 
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,18 +41,40 @@ def test_regression_and_clusters_keep_rows(gaps):
     assert sum(r.n for r in report) == 100 and [r.n for r in report if r.cluster is None] == [10]
 
 
-def test_the_cheapest_start_stays(gaps, monkeypatch):
-    """Held against the starts of the same fit: a second fit from the same seed was seen to cost something else."""
-    costs, plain = [], fits.KMeans.fit
+def test_the_cheapest_start_stays(gaps):
+    found = fits.kmeans(["a", "b"], 5, starts=6, max_iter=3).fit(gaps).stages[-1]
+    assert len(found.costs) == 6 and len(set(found.costs)) > 1 and found.cost == min(found.costs)
+    scored = fits.assembler(["a", "b"]).transform(gaps.na.drop(subset=["a", "b"]))
+    points = np.array([r.features.toArray() for r in scored.collect()])
+    away = ((points[:, None] - found.centres[None]) ** 2).sum(axis=2)
+    assert found.cost == pytest.approx(away.min(axis=1).sum())
+    assert [r.cluster for r in found.transform(scored).collect()] == away.argmin(axis=1).tolist()
 
-    def fit(self, points):
-        model = plain(self, points)
-        costs.append(model.summary.trainingCost)
-        return model
 
-    monkeypatch.setattr(fits.KMeans, "fit", fit)
-    best = fits.kmeans(["a", "b"], 5, starts=6, max_iter=3).fit(gaps).stages[-1].summary.trainingCost
-    assert len(costs) == 6 and len(set(costs)) > 1 and best == min(costs)
+def test_clusters_under_any_partitioning(spark):
+    """The same starts, the same cost, and one pass over the points per step for all of them."""
+    points = spark.range(3000).select((F.rand(3) * 10 + (F.col("id") % 4) * 30).alias("a"), (F.randn(5) + (F.col("id") % 3) * 9).alias("b"))
+    rows = spark.createDataFrame(points.collect(), points.schema)
+    costs, steps, step = set(), [], fits.RestartedKMeans._step
+    for n in (1, 3, 8):
+        found = fits.kmeans(["a", "b"], 6, starts=4).fit(rows.repartition(n)).stages[-1]
+        costs.add(round(found.cost, 6))
+    assert len(costs) == 1
+
+    def counted(points, centres):
+        steps.append(len(centres))
+        return step(points, centres)
+
+    fits.RestartedKMeans._step = staticmethod(counted)
+    try:
+        fits.kmeans(["a", "b"], 6, starts=4).fit(rows)
+    finally:
+        fits.RestartedKMeans._step = staticmethod(step)
+    assert steps[0] == 4 and steps == sorted(steps, reverse=True)
+    with pytest.raises(ValueError, match="no points"):
+        fits.kmeans(["a", "b"], 2).fit(rows.limit(0))
+    few = fits.kmeans(["a", "b"], 5, starts=2).fit(spark.createDataFrame([(1.0, 2.0)] * 4, "a double, b double")).stages[-1]
+    assert few.cost == 0.0 and len(few.centres) == 1
 
 
 @pytest.mark.parametrize("lat, lon, radius", [(10.0, 179.9, 50_000), (-40.0, -179.95, 80_000), (89.8, 20.0, 60_000), (-89.9, 0.0, 90_000), (60.0, 0.0, 3_000_000), (0.0, 0.0, 25_000_000)])
