@@ -81,14 +81,14 @@ def customer_totals(spark, sf):
 # ---- order features -------------------------------------------------------------------------
 
 RETURNS_SQL = """
-    select l_orderkey as or_order_id, l_partkey as or_product_id, sum(l_quantity) as or_return_quantity
+    select l_orderkey as back_order, l_partkey as back_part, sum(l_quantity) as back_quantity
     from lineitem where l_returnflag = 'R' group by 1, 2
 """
 
 RAW_SQL = """
     select o_orderkey, coalesce(o_custkey, 0) as o_custkey, coalesce(o_orderdate::date, date '1970-01-01')::varchar as order_date,
-           l_partkey, l_extendedprice / l_quantity as price, l_quantity, coalesce(or_return_quantity, 0.0) as or_return_quantity
-    from lineitem {how} join (""" + RETURNS_SQL + """) on l_orderkey = or_order_id and l_partkey = or_product_id
+           l_partkey, l_extendedprice / l_quantity as price, l_quantity, coalesce(back_quantity, 0.0) as back_quantity
+    from lineitem {how} join (""" + RETURNS_SQL + """) on l_orderkey = back_order and l_partkey = back_part
     join orders on l_orderkey = o_orderkey
 """
 
@@ -97,9 +97,9 @@ def lines_and_returns(spark, sf) -> DataFrame:
     """Each line with what was returned of its order and product; NULL where nothing was."""
     lines = table(spark, sf, "lineitem")
     returns = lines.where("l_returnflag = 'R'").groupBy(
-        F.col("l_orderkey").alias("or_order_id"), F.col("l_partkey").alias("or_product_id")
-    ).agg(F.sum("l_quantity").alias("or_return_quantity"))
-    on = (F.col("l_orderkey") == F.col("or_order_id")) & (F.col("l_partkey") == F.col("or_product_id"))
+        F.col("l_orderkey").alias("back_order"), F.col("l_partkey").alias("back_part")
+    ).agg(F.sum("l_quantity").alias("back_quantity"))
+    on = (F.col("l_orderkey") == F.col("back_order")) & (F.col("l_partkey") == F.col("back_part"))
     return lines.select(
         "l_orderkey", "l_partkey", "l_quantity", (F.col("l_extendedprice") / F.col("l_quantity")).alias("price")
     ).join(returns, on, "left")
@@ -111,18 +111,18 @@ def order_key(all_lines: bool) -> str:
     By the key of the return, lines without a return drop out: the outer join before it is an inner
     one in effect. By the key of the line, they stay, with 0 returned.
     """
-    return "l_orderkey" if all_lines else "or_order_id"
+    return "l_orderkey" if all_lines else "back_order"
 
 
 def order_lines(spark, sf, all_lines: bool) -> DataFrame:
     """Lines with their returns and their order, defaults filled in."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines_and_returns(spark, sf).join(orders, F.col(order_key(all_lines)) == F.col("o_orderkey")).select(
-        "o_orderkey", "o_custkey", "o_orderdate", "l_partkey", "price", "l_quantity", "or_return_quantity"
+        "o_orderkey", "o_custkey", "o_orderdate", "l_partkey", "price", "l_quantity", "back_quantity"
     ).withColumns({
         "o_custkey": F.coalesce("o_custkey", F.lit(0)),
         "order_date": F.coalesce(F.to_date("o_orderdate"), F.lit(date(1970, 1, 1))),
-        "or_return_quantity": F.coalesce("or_return_quantity", F.lit(0.0)),
+        "back_quantity": F.coalesce("back_quantity", F.lit(0.0)),
     }).drop("o_orderdate")
 
 
@@ -150,7 +150,7 @@ def customer_features(spark, sf, all_lines: bool) -> DataFrame:
     key = order_key(all_lines)
     totals = lines_and_returns(spark, sf).groupBy(key).agg(
         F.sum(F.col("l_quantity") * F.col("price")).alias("sold"),
-        F.sum(F.coalesce("or_return_quantity", F.lit(0.0)) * F.col("price")).alias("returned"))
+        F.sum(F.coalesce("back_quantity", F.lit(0.0)) * F.col("price")).alias("returned"))
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.coalesce("o_custkey", F.lit(0)).alias("o_custkey"),
         F.coalesce(F.to_date("o_orderdate"), F.lit(date(1970, 1, 1))).alias("order_date"))
@@ -165,8 +165,8 @@ def customer_features(spark, sf, all_lines: bool) -> DataFrame:
 
 RFM_SQL = """
     with raw as (select o_orderkey, o_custkey, o_orderdate::date as order_date, l_extendedprice / l_quantity as price, l_quantity,
-                        coalesce(or_return_quantity, 0.0) as rq
-                 from lineitem {how} join (""" + RETURNS_SQL + """) on l_orderkey = or_order_id and l_partkey = or_product_id
+                        coalesce(back_quantity, 0.0) as rq
+                 from lineitem {how} join (""" + RETURNS_SQL + """) on l_orderkey = back_order and l_partkey = back_part
                  join orders on l_orderkey = o_orderkey),
     g as (select o_custkey, o_orderkey, sum(l_quantity * price) as sold, sum(rq * price) as returned,
                  min(year(order_date)) as y, max(order_date) as latest from raw group by 1, 2),

@@ -171,23 +171,23 @@ def join_self_copy(spark, sf):
 
 @query("join_chain_quirk", """
     with l as (select l_orderkey, l_partkey, l_quantity from lineitem),
-    r as (select l_orderkey as or_order_id, l_partkey as or_product_id, max(l_quantity) as returned
+    r as (select l_orderkey as back_order, l_partkey as back_part, max(l_quantity) as returned
           from lineitem where l_returnflag = 'R' group by 1, 2)
     select l_orderkey, l_partkey, l_quantity, returned, o_custkey
-    from l left join r on l_orderkey = or_order_id and l_partkey = or_product_id
-    join orders on or_order_id = o_orderkey
+    from l left join r on l_orderkey = back_order and l_partkey = back_part
+    join orders on back_order = o_orderkey
 """)
 def join_chain_quirk(spark, sf):
     """Left join whose right key then feeds an inner join: lines without a return are dropped."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     returns = table(spark, sf, "lineitem").where("l_returnflag = 'R'").groupBy(
-        F.col("l_orderkey").alias("or_order_id"), F.col("l_partkey").alias("or_product_id")
+        F.col("l_orderkey").alias("back_order"), F.col("l_partkey").alias("back_part")
     ).agg(F.max("l_quantity").alias("returned"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return (
-        lines.join(returns, (F.col("l_orderkey") == F.col("or_order_id")) & (F.col("l_partkey") == F.col("or_product_id")),
+        lines.join(returns, (F.col("l_orderkey") == F.col("back_order")) & (F.col("l_partkey") == F.col("back_part")),
                    "left")
-        .join(orders, F.col("or_order_id") == F.col("o_orderkey"))
+        .join(orders, F.col("back_order") == F.col("o_orderkey"))
         .select("l_orderkey", "l_partkey", "l_quantity", "returned", "o_custkey")
     )
 
