@@ -2,6 +2,7 @@
 
 from millrace.plans import (  # noqa: F401
     aggregation,
+    context_jobs,
     expressions,
     feature_jobs,
     joining,
