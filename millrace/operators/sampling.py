@@ -70,6 +70,18 @@ def sample_blocks(df: DataFrame, fraction: float, seed: int, block_rows: int = 1
     return df.where(F.pmod(F.xxhash64(block), F.lit(1_000_000)) < int(fraction * 1_000_000))
 
 
+def sample_files(df: DataFrame, fraction: float, seed: int) -> DataFrame:
+    """Whole files of a file scan, drawn by their names: files that are not drawn are never opened.
+
+    The rule reads file metadata only, so Spark applies it to the listing. ``df`` must be a direct file
+    scan of many files; for a few large files, `sample_blocks` draws finer but reads all of them.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction is a proportion between 0 and 1")
+    name = F.concat_ws("|", F.col("_metadata.file_path"), F.lit(str(seed)))
+    return df.where(F.pmod(F.xxhash64(name), F.lit(1_000_000)) < int(fraction * 1_000_000))
+
+
 def split_random(df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int) -> list[DataFrame]:
     """Disjoint parts that together hold every row, cut at cumulative weights of the key hash."""
     numbered = with_split(df, weights, keys, seed)

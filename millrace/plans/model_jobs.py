@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.features import selection
 from millrace.features.steps import ColumnTransformer, Pipeline
 from millrace.features.transformers import MinMaxScaler, OneHotEncoder
 from millrace.models import boosting, fits, metrics
@@ -326,3 +327,43 @@ def m_auc_labels(spark, sf):
 def residuals(spark, sf):
     return metrics.residual_histogram(_predicted_prices(spark, sf), "y", "p", 50).withColumns(
         {"low": F.round("low", 3), "high": F.round("high", 3)})
+
+
+# ---- feature tests: returned lines from their numbers, statuses and months --------------------
+
+TESTED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+DISCRETE = ("l_linestatus", "l_linenumber", "l_month")
+
+
+@query("select_features_anova", " union all ".join(f"""
+    select '{f}' as feature, round((sum(n * (m - grand) * (m - grand)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*))), 6)::double as statistic,
+           (count(*) - 1)::bigint as df1, (sum(n) - count(*))::bigint as df2
+    from (select *, sum(n * m) over () / sum(n) over () as grand
+          from (select count({f}) as n, avg({f}) as m, var_pop({f}) as v from lineitem group by l_returnflag))""" for f in TESTED))
+def select_features_anova(spark, sf):
+    """F test of every number of a line against its return flag."""
+    scores = selection.anova_scores(table(spark, sf, "lineitem"), TESTED, "l_returnflag")
+    return scores.select("feature", F.round("statistic", 6).alias("statistic"), "df1", "df2")
+
+
+@query("select_features_f", " union all ".join(
+    f"""select '{f}' as feature, round(r * r / (1 - r * r) * (n - 2), 2) as statistic, 1::bigint as df1, (n - 2)::bigint as df2
+    from (select corr({f}, l_extendedprice) as r, count(*) as n from lineitem where {f} is not null and l_extendedprice is not null)"""
+    for f in ("l_quantity", "l_discount", "l_tax")))
+def select_features_f(spark, sf):
+    """F test of a linear relation to the price."""
+    scores = selection.regression_scores(table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+    return scores.select("feature", F.round("statistic", 2).alias("statistic"), "df1", "df2")
+
+
+@query("select_features_chi", " union all ".join(f"""
+    select '{f}' as feature, round(any_value(whole) * (sum(n * n / (in_row * in_col)) - 1), 6) as statistic,
+           ((count(distinct c) - 1) * (count(distinct v) - 1))::bigint as df, round(sum(n / whole * ln(n * whole / (in_row * in_col))), 9) as mutual_information
+    from (select *, sum(n) over (partition by v) as in_row, sum(n) over (partition by c) as in_col, sum(n) over () as whole
+          from (select {f} as v, l_returnflag as c, count(*)::double as n
+                from (select *, month(l_shipdate) as l_month from lineitem) where {f} is not null and l_returnflag is not null group by all))""" for f in DISCRETE))
+def select_features_chi(spark, sf):
+    """Chi-square and mutual information of discrete columns with the return flag."""
+    lines = table(spark, sf, "lineitem").withColumn("l_month", F.month("l_shipdate"))
+    scores = selection.contingency_scores(lines, DISCRETE, "l_returnflag")
+    return scores.select("feature", F.round("statistic", 6).alias("statistic"), "df", F.round("mutual_information", 9).alias("mutual_information"))

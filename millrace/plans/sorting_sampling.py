@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.sampling import sample_blocks, sample_fraction, sample_n, with_split
+from millrace.operators.sampling import sample_blocks, sample_files, sample_fraction, sample_n, with_split
 from millrace.plans.registry import query
-from millrace.session import table
+from millrace.session import scratch_dir, table
 
 HASH = "('0x' || substr(md5({key} || '|{seed}'), 1, 8))::bigint"
 
@@ -73,6 +73,26 @@ def sample_block(spark, sf):
     return held.join(drawn, "block", "left").agg(F.sum("held").alias("rows"), F.every(F.coalesce("drawn", "held") == F.col("held")).alias("whole"))
 
 
+@query("sample_block_files", "select count(*) as rows, true as whole, true as apart from lineitem")
+def sample_block_files(spark, sf):
+    """The table as many files, of which a third is drawn: drawn files come whole, and another seed draws other files."""
+    path = scratch_dir(spark, "blocks")
+    table(spark, sf, "lineitem").repartition(spark.sparkContext.defaultParallelism).write.option("maxRecordsPerFile", 500).parquet(path)
+    lines, file = spark.read.parquet(path), F.col("_metadata.file_name").alias("file")
+
+    def counted(scan, name):
+        return scan.select(file).groupBy("file").agg(F.count("*").alias(name))
+
+    held = counted(lines, "held")
+    for seed in (1, 2):
+        held = held.join(counted(sample_files(lines, 1 / 3, seed), f"drawn{seed}"), "file", "left")
+    first, second = F.col("drawn1").isNotNull(), F.col("drawn2").isNotNull()
+    return held.agg(
+        F.sum("held").alias("rows"),
+        F.every((F.coalesce("drawn1", "held") == F.col("held")) & (F.coalesce("drawn2", "held") == F.col("held"))).alias("whole"),
+        (F.count_if(first != second) > 0).alias("apart"))
+
+
 @query("split_random", f"""
     select case when h < 3435973836 then 0 else 1 end as part, count(*) as n, sum(o_orderkey)::bigint as keys
     from (select o_orderkey, {HASH.format(key='o_orderkey', seed=42)} as h from orders) group by 1

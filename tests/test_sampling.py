@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.sampling import sample_fraction, sample_n, split_random, with_split
+from millrace.operators.sampling import sample_files, sample_fraction, sample_n, split_random, with_split
 
 
 def _ids(df):
@@ -44,3 +44,30 @@ def test_split_is_disjoint_and_complete(spark, weights, seed):
 def test_split_shares(spark):
     counts = {r["_part"]: r["count"] for r in with_split(spark.range(20000), [0.8, 0.2], ["id"], 42).groupBy("_part").count().collect()}
     assert abs(counts[0] / 20000 - 0.8) < 0.02
+
+
+def _scans(plan):
+    """The file scans below a node of an executed plan."""
+    if plan.nodeName().startswith("Scan"):
+        return [plan]
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        return _scans(plan.executedPlan())
+    children = plan.children()
+    return [s for i in range(children.size()) for s in _scans(children.apply(i))]
+
+
+def test_files_not_drawn_are_not_opened(spark, tmp_path):
+    path = str(tmp_path / "blocks")
+    spark.range(6000).repartition(60).write.parquet(path)
+    lines = spark.read.parquet(path)
+    by_file = {r["f"]: r["n"] for r in lines.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count("*").alias("n")).collect()}
+    drawn = sample_files(lines, 0.25, seed=3)
+    kept = {r["f"]: r["n"] for r in drawn.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count("*").alias("n")).collect()}
+    assert 3 < len(kept) < 30 and all(by_file[f] == n for f, n in kept.items())
+    rows = drawn.select("id")
+    assert len(rows.collect()) == sum(kept.values())
+    (scan,) = _scans(rows._jdf.queryExecution().executedPlan())
+    assert scan.metrics().apply("numFiles").value() == len(kept)
+    assert sample_files(lines, 1.0, seed=3).count() == 6000 and sample_files(lines, 0.0, seed=3).count() == 0
+    with pytest.raises(ValueError):
+        sample_files(lines, 1.5, seed=3)
