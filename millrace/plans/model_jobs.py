@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.features import selection
 from millrace.features.steps import ColumnTransformer, Pipeline
 from millrace.features.transformers import MinMaxScaler, OneHotEncoder
-from millrace.models import boosting, fits, metrics
+from millrace.models import boosting, factors, fits, metrics
 from millrace.models.registry import probabilities
 from millrace.models.trees import predict
 from millrace.plans.feature_jobs import SCORED_SQL, checked_scores, churn, customer_features
@@ -243,6 +243,26 @@ def factor_tables(spark, sf):
     return both.select("kind", "id", F.size("features").alias("width"))
 
 
+@query("factorize_blocks", f"select count(*) as n, true as better_than_mean from {RATED}")
+def factorize_blocks(spark, sf):
+    """Unpenalised factors by strata of blocks: every rating is fitted, with less than three quarters of the mean's squared error."""
+    ratings = _ratings(spark, sf)
+    scored = factors.factorize_blocks(ratings, "o_custkey", "l_partkey", "rating", rank=10, epochs=4).predict(ratings)
+    return metrics.regression(scored, "rating", "prediction").crossJoin(F.broadcast(scored.agg(F.count("prediction").alias("n")))).select(
+        "n", (F.col("r2") > 0.25).alias("better_than_mean"))
+
+
+@query("factor_tables_blocks", f"""
+    select distinct 'user' as kind, o_custkey as id, 10 as width, true as finite from {RATED}
+    union all select distinct 'item', l_partkey, 10, true from {RATED}
+""")
+def factor_tables_blocks(spark, sf):
+    """Ten finite factors for every user and item."""
+    by_user, by_item = factors.factorize_blocks(_ratings(spark, sf), "o_custkey", "l_partkey", "rating", rank=10, epochs=1, walks=1).tables()
+    both = by_user.withColumn("kind", F.lit("user")).unionByName(by_item.withColumn("kind", F.lit("item")))
+    return both.select("kind", "id", F.size("features").alias("width"), F.forall("features", lambda x: F.abs(x) < float("inf")).alias("finite"))
+
+
 @query("select_features", " union all ".join(
     f"select '{c}' as feature, round(corr({c}, l_extendedprice), 6) as corr from lineitem" for c in ("l_quantity", "l_discount", "l_tax")))
 def select_features(spark, sf):
