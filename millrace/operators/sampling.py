@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_SPAN = 1 << 32
+# Spark sorts this many rows and fewer by a heap in each task.
+TOP_ROWS = 10_000
 
 
 def key_hash(keys: Sequence[str | Column], seed: int | str) -> Column:
@@ -33,10 +35,13 @@ def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 0) -> DataF
 
     ``keys`` should identify a row: rows with equal keys share a hash and are ranked together.
 
-    Two counting passes over 65,536 hash ranges each find the exact cut-off, each one a scan of the
-    keys with a small aggregate. Only rows on the cut-off hash itself are ranked.
+    Up to ``TOP_ROWS`` rows are a top-k in one scan: each task keeps its first ``n``. For more, two counting
+    passes over 65,536 hash ranges each find the exact cut-off, each one a scan of the keys with a small
+    aggregate, and only rows on the cut-off hash itself are ranked. Both ways give the same rows.
     """
     hashed = df.withColumn("_h", key_hash(keys, seed))
+    if n <= TOP_ROWS:
+        return hashed.orderBy("_h", *keys).limit(n).drop("_h")
     low, width, room = 0, HASH_SPAN, n
     for parts in (1 << 16, 1 << 16):
         step = width // parts

@@ -143,18 +143,23 @@ def feat_raw_join_all(spark, sf):
 def customer_features(spark, sf, all_lines: bool) -> DataFrame:
     """Yearly order frequency, mean return ratio per order, and latest order date of each customer.
 
-    Lines are totalled per order before orders are joined, so a line crosses the network once. The
-    ratio is then carried as a sum and a count, so both averages come from one walk per order,
-    per customer and year, per customer.
+    Lines are read once: per order and product they give what was sold, their prices added up, and what
+    came back; per order that gives both sides of the ratio. The ratio is then carried as a sum and a
+    count, so both averages come from one walk per order, per customer and year, per customer.
     """
-    key = order_key(all_lines)
-    totals = lines_and_returns(spark, sf).groupBy(key).agg(
-        F.sum(F.col("l_quantity") * F.col("price")).alias("sold"),
-        F.sum(F.coalesce("back_quantity", F.lit(0.0)) * F.col("price")).alias("returned"))
+    price, back = F.col("l_extendedprice") / F.col("l_quantity"), F.col("l_returnflag") == "R"
+    products = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
+        F.sum(F.col("l_quantity") * price).alias("sold"), F.sum(price).alias("prices"),
+        F.sum(F.when(back, F.col("l_quantity"))).alias("back_quantity"), F.count_if(back).alias("n_back"))
+    if not all_lines:
+        products = products.where("n_back > 0 and l_partkey is not null")
+    returned = F.when(F.col("l_partkey").isNotNull(), F.col("back_quantity"))
+    totals = products.groupBy("l_orderkey").agg(
+        F.sum("sold").alias("sold"), F.sum(F.coalesce(returned, F.lit(0.0)) * F.col("prices")).alias("returned"))
     orders = table(spark, sf, "orders").select(
         "o_orderkey", F.coalesce("o_custkey", F.lit(0)).alias("o_custkey"),
         F.coalesce(F.to_date("o_orderdate"), F.lit(date(1970, 1, 1))).alias("order_date"))
-    per_order = totals.join(orders, F.col(key) == F.col("o_orderkey")).withColumn("ratio", ratio("returned", "sold"))
+    per_order = totals.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("ratio", ratio("returned", "sold"))
     per_year = per_order.groupBy("o_custkey", F.year("order_date").alias("order_year")).agg(
         F.count("*").alias("n"), F.sum("ratio").alias("ratios"), F.count("ratio").alias("n_ratios"),
         F.max("order_date").alias("latest"))

@@ -140,3 +140,42 @@ def test_bounds_refuse_instead_of_cutting(spark):
     with pytest.raises(ValueError):
         grid_product(spark.range(3), spark.range(11).withColumnRenamed("id", "b"), limit=10)
     assert grid_product(spark.range(3), spark.range(0).withColumnRenamed("id", "b")).count() == 0
+
+
+@pytest.mark.parametrize("all_lines", [True, False])
+def test_customer_features_read_lines_once_and_keep_odd_rows_right(spark, tmp_path, all_lines):
+    from millrace.plans.feature_jobs import customer_features, lines_and_returns, order_key
+
+    lines = [(1, 7, 2.0, 20.0, "N"), (1, 7, 1.0, 12.0, "R"), (1, 8, 4.0, 8.0, "N"), (2, 7, 5.0, 50.0, "N"), (2, None, 1.0, 9.0, "R"),
+             (3, 9, None, 10.0, "R"), (3, 9, 3.0, 30.0, "N"), (None, 7, 1.0, 1.0, "R"), (4, 5, 2.0, None, "R"), (4, 6, 2.0, 4.0, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_returnflag string").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    orders = [(1, 10, "1995-01-02"), (2, 10, "1996-03-04"), (3, None, "1995-05-06"), (4, 11, None), (5, 12, "1999-01-01")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate string").write.parquet(str(tmp_path / "orders.parquet"))
+
+    found = customer_features(spark, str(tmp_path), all_lines)
+    scans = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert sum("l_orderkey" in line for line in scans) == 1 and len(scans) == 2
+
+    # Line by line, from lines joined to what came back.
+    per_order, key = {}, order_key(all_lines)
+    for r in lines_and_returns(spark, str(tmp_path)).where(f"{key} is not null").collect():
+        sold, back = per_order.setdefault(r[key], ([], []))
+        if r["price"] is not None:
+            sold.append((r["l_quantity"] or 0.0) * r["price"])
+            back.append((r["back_quantity"] or 0.0) * r["price"])
+    per_customer = {}
+    for order, customer, day in orders:
+        if order in per_order:
+            sold, back = per_order[order]
+            years, ratios, days = per_customer.setdefault(customer or 0, ({}, [], []))
+            day = day or "1970-01-01"
+            years[day[:4]] = years.get(day[:4], 0) + 1
+            days.append(day)
+            if sold and sum(sold):
+                ratios.append(sum(back) / sum(sold))
+    expected = {c: (sum(y.values()) / len(y), sum(x) / len(x) if x else None, max(d)) for c, (y, x, d) in per_customer.items()}
+    rows = {r["o_custkey"]: (r["frequency"], r["return_ratio"], str(r["latest_order_date"])) for r in found.collect()}
+    assert rows.keys() == expected.keys()
+    for customer, (frequency, share, day) in expected.items():
+        assert rows[customer] == (frequency, pytest.approx(share), day)

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from millrace.operators import sampling
 from millrace.operators.sampling import sample_files, sample_fraction, sample_n, split_random, with_split
 
 
@@ -28,11 +29,28 @@ def test_exactly_n(spark, n):
     assert _ids(sample_n(df.repartition(7), n, ["id"], seed=1)) == found
 
 
-def test_exactly_n_when_hashes_collide(spark):
+@pytest.mark.parametrize("top_rows", [0, sampling.TOP_ROWS])
+def test_exactly_n_when_hashes_collide(spark, monkeypatch, top_rows):
+    monkeypatch.setattr(sampling, "TOP_ROWS", top_rows)
     df = spark.range(300).select("id", F.lit("same").alias("k"))
     assert sample_n(df, 100, ["k"], seed=1).count() == 100
 
 
+@pytest.mark.parametrize("n", [1, 37, 1999, 5000])
+def test_top_k_and_cut_off_give_the_same_rows(spark, monkeypatch, n):
+    df = spark.range(2000)
+    by_top = _ids(sample_n(df, n, ["id"], seed=1))
+    monkeypatch.setattr(sampling, "TOP_ROWS", 0)
+    assert _ids(sample_n(df, n, ["id"], seed=1)) == by_top
+
+
+def test_a_small_sample_is_one_scan(spark, tmp_path):
+    spark.range(2000).write.parquet(str(tmp_path / "t"))
+    chosen = sample_n(spark.read.parquet(str(tmp_path / "t")), 20, ["id"])
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and plan.count("FileScan") == 1
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(weights=st.lists(st.integers(1, 9), min_size=1, max_size=4), seed=st.integers(0, 1000))
 def test_split_is_disjoint_and_complete(spark, weights, seed):
