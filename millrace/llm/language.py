@@ -18,6 +18,9 @@ MOST_ROWS = 20_000
 TEMPER = 0.2
 STRENGTH = 5.0
 MIN_POSTERIOR = 0.5
+# A text of this many trigrams must be likelier in its best language than as noise; no trigram counts for more than so much against it.
+OPEN_GRAMS = 50
+OPEN_FLOOR = 3.0
 UNKNOWN = "und"
 ROWS = "kind string, id long, text string, declared string, host string"
 
@@ -88,27 +91,34 @@ def fit_text_model(rows: DataFrame, text_col: str = "text", label_col: str = "la
 
 
 def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
-    """Each row without its text: ``grams`` used, and the log likelihood of the whole text per language."""
-    shared = rows.sparkSession.sparkContext.broadcast(model.log_shares)
+    """Each row without its text: ``grams`` used, the log likelihood of the whole text per language, and ``fit``.
+
+    ``fit`` is how much likelier a trigram of the text is in its best language than in noise of all trigrams alike: the
+    mean log ratio, each at least ``-OPEN_FLOOR``, so that it does not hang on the size of the sample. 0.0 without trigrams.
+    """
+    ratios = np.maximum(model.log_shares + np.log(1 << GRAM_BITS), -OPEN_FLOOR)
+    shared = rows.sparkSession.sparkContext.broadcast(np.hstack([model.log_shares, ratios]))
     width = len(model.languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shares = shared.value
         for batch in batches:
             data, offsets = text_buffers(batch["text"])
-            counts, logs = [], []
+            counts, logs, fits = [], [], []
             for first, last in blocks(offsets):
                 own = data[offsets[first]:offsets[last]]
                 for grams in gram_counts(own, offsets[first:last + 1] - offsets[first]):
+                    sums = shares[grams].sum(axis=0)
                     counts.append(len(grams))
-                    logs.append(shares[grams].sum(axis=0))
+                    logs.append(sums[:width])
+                    fits.append(sums[width:].max() / max(len(grams), 1))
             flat = np.concatenate(logs) if logs else np.zeros(0)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1) * width, pa.int32()), pa.array(flat, pa.float64()))
             yield pa.RecordBatch.from_arrays(
-                [batch[c] for c in ("kind", "id", "declared", "host")] + [pa.array(counts, pa.int64()), lists],
-                ["kind", "id", "declared", "host", "grams", "logs"])
+                [batch[c] for c in ("kind", "id", "declared", "host")] + [pa.array(counts, pa.int64()), lists, pa.array(fits, pa.float64())],
+                ["kind", "id", "declared", "host", "grams", "logs", "fit"])
 
-    return rows.mapInArrow(run, "kind string, id long, declared string, host string, grams long, logs array<double>")
+    return rows.mapInArrow(run, "kind string, id long, declared string, host string, grams long, logs array<double>, fit double")
 
 
 def _softmax(logs: list[Column]) -> list[Column]:
@@ -140,8 +150,9 @@ def identify(rows: DataFrame, model: TextModel, min_posterior: float = MIN_POSTE
     the host. Shares and priors are grouped sums of the text-only posteriors over all rows; a host's prior is drawn
     towards its domain's, that towards its suffix's, that towards the prior of all rows, and leaves the row out.
 
-    ``lang`` is ``und`` for a row whose text has no letter trigram (null and empty texts) or whose best posterior is
-    below ``min_posterior``. Null or empty declarations and hosts add no evidence. Ties go to the language that sorts
+    ``lang`` is ``und`` for a row whose text has no letter trigram (null and empty texts), whose best posterior is
+    below ``min_posterior``, or whose text of ``OPEN_GRAMS`` trigrams or more fits no language of the model better
+    than noise (``fit`` below 0: other languages, letter soup), whatever it declares. Null or empty declarations and hosts add no evidence. Ties go to the language that sorts
     first. Repeated rows and null ids are judged like any other; an empty table gives no rows.
     """
     width = len(model.languages)
@@ -186,9 +197,10 @@ def identify(rows: DataFrame, model: TextModel, min_posterior: float = MIN_POSTE
     fused = [logs[i] + F.log(by_host[i]) + share("suffix", "s", i) + share("declared", "c", i) for i in range(width)]
     names = F.array(*[F.lit(n) for n in model.languages])
     best = F.array(*_softmax(fused))
-    out = joined.select("kind", "id", "grams", "declared", "host", best.alias("best"), F.array(*own).alias("own"))
+    out = joined.select("kind", "id", "grams", "fit", "declared", "host", best.alias("best"), F.array(*own).alias("own"))
     top, text_top = F.array_max("best"), F.array_max("own")
-    sure = (F.col("grams") > 0) & (top >= min_posterior)
+    known = (F.col("grams") < OPEN_GRAMS) | (F.col("fit") >= 0)
+    sure = (F.col("grams") > 0) & (top >= min_posterior) & known
     return out.select(
         "kind", "id", F.when(sure, names[F.array_position("best", top) - 1]).otherwise(UNKNOWN).alias("lang"), top.alias("posterior"),
         F.when(F.col("grams") > 0, names[F.array_position("own", text_top) - 1]).otherwise(UNKNOWN).alias("text_lang"), "declared", "host",

@@ -191,6 +191,56 @@ def test_language_edges(spark):
     assert [r.lang for r in language.identify(language.document_rows(rows.limit(1)), blank).collect()] == ["und"]
 
 
+OUTSIDERS = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "ja": "すべての人間は、生れながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "soup": "xqzj wkvpt zzqhx jjfk qwpx vbnmk lkjhg zxcvq pwoqe nbvcx qqzzx jkwvp",
+}
+INSIDERS = {
+    "en": "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience.",
+    "de": "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt.",
+    "fr": "Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience.",
+    "es": "Todos los seres humanos nacen libres e iguales en dignidad y derechos. Estan dotados como estan de razon y conciencia.",
+}
+
+
+@pytest.mark.parametrize("declared", [None, "es"])
+def test_languages_outside_the_model_stay_unknown(spark, declared):
+    """Whatever they declare; the same sentences in a language of the model do not, nor do texts too short to tell."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    texts = [*OUTSIDERS.values(), *INSIDERS.values(), "Wszyscy ludzie"]
+    rows = frame(spark, [(i, t, declared, "src0") for i, t in enumerate(texts)])
+    found = {r.id: r.lang for r in language.identify(language.document_rows(rows), language.fit_text_model(docs)).collect()}
+    first = len(OUTSIDERS)
+    assert [found[i] for i in range(first)] == ["und"] * first
+    assert "und" not in [found[i] for i in range(first, len(texts))]
+    if declared is None:
+        assert [found[first + i] for i in range(len(INSIDERS))] == list(INSIDERS)
+
+
+def test_documents_the_model_has_not_seen_with_nothing_declared(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    seen, hidden = docs.where("doc_id % 5 > 0"), docs.where("doc_id % 5 = 0")
+    found = language.identify(language.document_rows(hidden.withColumn("lang", F.lit(None).cast("string"))), language.fit_text_model(seen))
+    judged = found.join(hidden.select(F.col("doc_id").alias("id"), F.col("lang").alias("own")), "id")
+    right, known, n = judged.agg(F.count_if(F.col("lang") == F.col("own")), F.count_if(F.col("lang") != "und"), F.count("*")).first()
+    assert right >= 0.97 * n and known >= 0.999 * n
+
+
+def test_fit_by_plain_counting(spark):
+    """The mean log ratio to even noise, each trigram's at least the floor, of the best language."""
+    model = language.fit_text_model(table(spark, SF_DIR, "documents"))
+    text = "The qxz of ända 12"
+    data = np.frombuffer(text.encode(), np.uint8)
+    grams = next(language.gram_counts(data, np.array([0, len(data)])))
+    best = max(np.mean([max(model.log_shares[g, k] + math.log(65536), -language.OPEN_FLOOR) for g in grams]) for k in range(len(model.languages)))
+    row = language.text_evidence(language.document_rows(frame(spark, [(1, text, None, None)])), model).first()
+    assert row.grams == len(grams) and row.fit == pytest.approx(best)
+    assert row.logs == pytest.approx([sum(model.log_shares[g, k] for g in grams) for k in range(len(model.languages))])
+
+
 def test_page_text(spark):
     page = "<HTML class=x lang='fr-CA'><style>p{}</style><body>un <b>deux</b>&nbsp;trois<!-- non --></body>"
     row = language.page_rows(spark.createDataFrame([(1, "https://u@www.a.example.com:80/x", page), (2, None, None)], "page_id long, url string, html string")).collect()
