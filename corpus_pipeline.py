@@ -23,7 +23,7 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents whose language stays unknown: no letters, or no language at half the posterior.
+    """Drops the documents whose language stays unknown: no letters, no language at half the posterior, or a text unlike all languages of the model.
 
     A row without an id is kept, as no verdict can be assigned to it.
     """
