@@ -26,17 +26,33 @@ _NULL_SPREAD = 4096
 def join_asof(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_ts: str, right_ts: str,
               columns: Sequence[str] | None = None, direction: str = "backward", allow_equal: bool = True,
               tolerance: str | None = None, how: str = "left", buckets: int | None = None,
-              heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+              heavy_rows: int = HEAVY_ROWS, suffix: str | None = None) -> DataFrame:
     """Left rows with the columns of the nearest right row.
 
     ``direction`` is ``backward`` (last right row at or before), ``forward`` (first at or after) or
     ``equal``. ``allow_equal=False`` excludes an equal time. ``tolerance`` is an interval text such
     as ``'7 days'``. Among right rows with one key and time, the greatest by ``columns`` wins. Keys
     with more than ``heavy_rows`` rows are spread over ``buckets`` time ranges.
+
+    A right column named like a left one, but for case, gets ``suffix``; without a suffix, or where that name
+    is taken too, it is refused.
     """
     keys = [on] if isinstance(on, str) else list(on)
     columns = [c for c in right.columns if c not in keys] if columns is None else list(columns)
-    return _join_views(left, [(right, right_ts, columns)], keys, left_ts, direction, allow_equal, tolerance, how, buckets, heavy_rows)
+    matched = _join_views(left, [(right, right_ts, columns)], keys, left_ts, direction, allow_equal, tolerance, how, buckets, heavy_rows)
+    return matched.toDF(*left.columns, *_free_names(left.columns, columns, suffix))
+
+
+def _free_names(taken: Sequence[str], columns: Sequence[str], suffix: str | None) -> list[str]:
+    """The right columns' names in the result, none of them a left column's or another's."""
+    used, names = {c.lower() for c in taken}, []
+    for column in columns:
+        name = column + suffix if suffix and column.lower() in used else column
+        if name.lower() in used:
+            raise ValueError(f"both sides have a column {column}: give a suffix that makes it differ")
+        used.add(name.lower())
+        names.append(name)
+    return names
 
 
 def _join_views(left, views, keys, left_ts, direction="backward", allow_equal=True, tolerance=None, how="left", buckets=None,

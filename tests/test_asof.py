@@ -134,3 +134,16 @@ def test_heavy_key_is_spread(spark):
 
     assert len(walks(10**6)) == 1
     assert any("_b#" in w.split("windowspecdefinition")[1] for w in walks(200))
+
+
+@pytest.mark.parametrize("direction", ["backward", "equal"])
+def test_right_columns_named_like_left_ones(spark, direction):
+    left = spark.createDataFrame([(1, 10, "l")], "k int, t int, v string")
+    right = spark.createDataFrame([(1, 10, "r", 5)], "k int, t int, V string, w int")
+    with pytest.raises(ValueError, match="suffix"):
+        join_asof(left, right, "k", "t", "t", direction=direction)
+    found = join_asof(left, right, "k", "t", "t", direction=direction, suffix="_seen")
+    assert found.columns == ["k", "t", "v", "t_seen", "V_seen", "w"] and [tuple(r) for r in found.collect()] == [(1, 10, "l", 10, "r", 5)]
+    with pytest.raises(ValueError, match="suffix"):
+        join_asof(left.withColumn("t_seen", left["t"]), right, "k", "t", "t", direction=direction, suffix="_seen")
+    assert join_asof(left, right, "k", "t", "t", columns=["w"], direction=direction).columns == ["k", "t", "v", "w"]
