@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.rangebuckets import dense_ids
 from millrace.operators.sampling import with_split
-from millrace.session import ensure_checkpoint_dir
+from millrace.session import ensure_checkpoint_dir, scratch_dir
 
 
 def assembler(features: Sequence[str], output: str = "features") -> VectorAssembler:
@@ -283,18 +283,27 @@ def random_points(grid: dict, n: int, seed: int) -> list[dict]:
 
 
 def factorize(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 10, iterations: int = 10,
-              reg: float = 0.1, seed: int = 0) -> tuple[ALSModel, DataFrame, DataFrame]:
+              reg: float = 0.1, seed: int = 0, base: str | None = None) -> tuple[ALSModel, DataFrame, DataFrame]:
     """Factor a rating matrix without bias terms. Returns the model and both id maps.
 
-    ALS wants 32-bit ids, so labels of any kind are numbered densely first.
+    ALS wants 32-bit ids, so labels of any kind are numbered densely first. Ratings are computed once and written, as are
+    the id maps and the ratings by number (``user_id``, ``item_id``, ``rating``): below ``base`` as ``users``, ``items`` and
+    ``numbered``, by default in a new scratch folder.
     """
-    ensure_checkpoint_dir(ratings.sparkSession)
-    users, items = dense_ids(ratings, user, "user_id"), dense_ids(ratings, item, "item_id")
-    numbered = ratings.join(users, user).join(items, item).select(
-        F.col("user_id").cast("int"), F.col("item_id").cast("int"), F.col(rating).cast("float").alias("rating"))
+    spark = ratings.sparkSession
+    ensure_checkpoint_dir(spark)
+    base = base or scratch_dir(spark, "factors")
+    ratings.select(user, item, F.col(rating).alias("rating")).write.parquet(f"{base}/ratings")
+    ratings = spark.read.parquet(f"{base}/ratings")
+    dense_ids(ratings, user, "user_id").write.parquet(f"{base}/users")
+    dense_ids(ratings, item, "item_id").write.parquet(f"{base}/items")
+    users, items = spark.read.parquet(f"{base}/users"), spark.read.parquet(f"{base}/items")
+    ratings.join(users, user).join(items, item).select(
+        F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating").write.parquet(f"{base}/numbered")
+    numbered = spark.read.parquet(f"{base}/numbered")
     model = ALS(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="user_id", itemCol="item_id", ratingCol="rating",
-        coldStartStrategy="nan").fit(numbered)
+        coldStartStrategy="nan").fit(numbered.withColumn("rating", F.col("rating").cast("float")))
     return model, users, items
 
 

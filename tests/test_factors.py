@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.models import factors, fits
+from millrace.models import factors, fits, metrics
 
 
 def planted(n_users=120, n_items=80, rank=3, share=0.4, seed=1, hot=None):
@@ -98,3 +98,26 @@ def test_ratings_of_one_value(spark, value):
 def test_no_ratings(spark):
     model = factors.factorize_blocks(frame(spark, [], 1), "who", "what", "stars", rank=2, epochs=2)
     assert [t.count() for t in model.tables()] == [0, 0]
+
+
+def test_alternating_fit_computes_its_ratings_once(spark, tmp_path):
+    train, _ = planted(12, 9, seed=3)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = frame(spark, train).withColumn("stars", counted.asNondeterministic()("stars"))
+    model, users, items = fits.factorize(rows, "who", "what", "stars", rank=2, iterations=2, base=str(tmp_path / "kept"))
+    assert [users.count(), items.count()] == [model.userFactors.count(), model.itemFactors.count()] == [12, 9]
+    assert seen.value == len(train)
+    kept = spark.read.parquet(str(tmp_path / "kept" / "numbered")).join(users, "user_id").join(items, "item_id")
+    assert sorted(map(tuple, kept.select("who", "what", "rating").collect())) == sorted(train)
+
+
+def test_regression_counts_predictions_in_the_same_pass(spark):
+    rows = spark.createDataFrame([(1.0, 1.0), (2.0, 2.5), (3.0, None), (None, 4.0)], "y double, p double")
+    found = metrics.regression(rows, "y", "p", count="n").first()
+    assert found["n"] == 3 and found["r2"] == metrics.regression(rows, "y", "p").first()["r2"]
