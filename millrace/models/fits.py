@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator, Sequence
 from itertools import product
@@ -23,6 +24,9 @@ from millrace.operators.rangebuckets import dense_ids
 from millrace.operators.sampling import with_split
 from millrace.session import ensure_checkpoint_dir, scratch_dir
 
+# Ratings of one block of the alternating fit, about 12 bytes each.
+ALS_BLOCK_RATINGS = 60_000_000
+
 
 def assembler(features: Sequence[str], output: str = "features") -> VectorAssembler:
     """Missing values become NaN in the vector, so no row is lost."""
@@ -282,6 +286,11 @@ def random_points(grid: dict, n: int, seed: int) -> list[dict]:
     return random.Random(seed).sample(points, min(n, len(points)))
 
 
+def als_blocks(ratings: int) -> int:
+    """Blocks a side for the alternating fit. A step sends each vector to every block that rates it, so no more than a task's share of ratings asks for."""
+    return max(4, math.ceil(ratings / ALS_BLOCK_RATINGS))
+
+
 def factorize(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 10, iterations: int = 10,
               reg: float = 0.1, seed: int = 0, base: str | None = None) -> tuple[ALSModel, DataFrame, DataFrame]:
     """Factor a rating matrix without bias terms. Returns the model and both id maps.
@@ -301,8 +310,10 @@ def factorize(ratings: DataFrame, user: str, item: str, rating: str, rank: int =
     ratings.join(users, user).join(items, item).select(
         F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating").write.parquet(f"{base}/numbered")
     numbered = spark.read.parquet(f"{base}/numbered")
+    blocks = als_blocks(numbered.count())
     model = ALS(
         rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="user_id", itemCol="item_id", ratingCol="rating",
+        numUserBlocks=blocks, numItemBlocks=blocks,
         coldStartStrategy="nan").fit(numbered.withColumn("rating", F.col("rating").cast("float")))
     return model, users, items
 

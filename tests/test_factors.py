@@ -121,3 +121,11 @@ def test_regression_counts_predictions_in_the_same_pass(spark):
     rows = spark.createDataFrame([(1.0, 1.0), (2.0, 2.5), (3.0, None), (None, 4.0)], "y double, p double")
     found = metrics.regression(rows, "y", "p", count="n").first()
     assert found["n"] == 3 and found["r2"] == metrics.regression(rows, "y", "p").first()["r2"]
+
+
+def test_alternating_fit_sends_vectors_to_few_blocks(spark):
+    train, _ = planted(12, 9, seed=3)
+    model, _, _ = fits.factorize(frame(spark, train), "who", "what", "stars", rank=2, iterations=1)
+    assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == fits.als_blocks(len(train)) == 4
+    for n in (10**6, 10**9, 10**11):
+        assert n / fits.als_blocks(n) <= fits.ALS_BLOCK_RATINGS
