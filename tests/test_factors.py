@@ -129,3 +129,23 @@ def test_alternating_fit_sends_vectors_to_few_blocks(spark):
     assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == fits.als_blocks(len(train)) == 4
     for n in (10**6, 10**9, 10**11):
         assert n / fits.als_blocks(n) <= fits.ALS_BLOCK_RATINGS
+
+
+def test_blocks_fit_computes_its_ratings_once(spark):
+    train, _ = planted(12, 9, seed=3)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = frame(spark, train).withColumn("stars", counted.asNondeterministic()("stars"))
+    factors.factorize_blocks(rows, "who", "what", "stars", rank=2, epochs=1, blocks=2)
+    assert seen.value == len(train)
+
+
+def test_blocks_stay_few_as_vectors_grow():
+    assert factors.block_count(36_000_000, 1_200_000) == 4  # six blocks of 200,000 vectors
+    assert factors.block_count(216_000_000, 7_200_000) == 8
+    assert factors.block_count(0, 1_000_000, rank=100) == 10
