@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import NORMALISATION, sentiment_label
+from millrace.functions.text import MAX_BROADCAST_WORDS, NORMALISATION, sentiment_label
+from millrace.operators.rangebuckets import broadcast_if_small
 
 # Fixed values of the published rule-based analyser (Hutto and Gilbert, 2014).
 CAPITALS = 0.733
@@ -53,7 +54,8 @@ def context_scores(docs: DataFrame, keys: Sequence[str], text: str, lexicon: Dat
     as much again. Exclamation and question marks of the text strengthen whichever side it is on.
 
     Whole texts are split; a document's words stay in one task and are summed before the shuffle,
-    which carries one row per document. ``lexicon`` holds ``word`` (lower case, once each) and
+    which carries one row per document, as the lexicon is sent to the words; one of more than
+    ``MAX_BROADCAST_WORDS`` words is joined by a shuffle of all words. ``lexicon`` holds ``word`` (lower case, once each) and
     ``valence``. ``keys`` must identify a document. Texts that are NULL or without words score 0.
     """
     words, whole, sentence = F.col("_words"), F.coalesce(F.col(text), F.lit("")), F.coalesce("_sentence", F.lit(""))
@@ -87,7 +89,7 @@ def context_scores(docs: DataFrame, keys: Sequence[str], text: str, lexicon: Dat
     clause = F.when((F.col("_but") == 0) | (F.col("_at") == F.col("_but")), 1.0).when(
         F.col("_at") < F.col("_but"), BEFORE_BUT).otherwise(AFTER_BUT)
     value = strength * F.when(turned, NEGATED).otherwise(1.0) * clause
-    valued = rows.join(known, "_lower", "left").withColumn("_value", value)
+    valued = rows.join(broadcast_if_small(known, MAX_BROADCAST_WORDS), "_lower", "left").withColumn("_value", value)
 
     v = F.col("_value")
     sums = valued.groupBy(*keys).agg(

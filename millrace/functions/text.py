@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.rangebuckets import broadcast_if_small
+
+# A lexicon of any language fits; without the hint Spark cannot know its size and shuffles every word.
+MAX_BROADCAST_WORDS = 200_000
 # Fixed values of the published rule-based analyser (Hutto and Gilbert, 2014):
 # normalisation constant, and the compound cut-offs of the three labels.
 NORMALISATION = 15.0
@@ -38,14 +42,15 @@ def sentiment_label(compound: Column) -> Column:
 def sentiment_scores(docs: DataFrame, keys: list[str], text: str, lexicon: DataFrame) -> DataFrame:
     """Per document: shares of negative, neutral and positive words, and a compound score.
 
-    Whole texts are split into words and joined to the lexicon. A document's words stay in one
-    task, so the sums are complete before the shuffle, which carries one row per document.
+    Whole texts are split into words and joined to the lexicon, which is sent to them. A document's words stay
+    in one task, so the sums are complete before the shuffle, which carries one row per document; a lexicon of
+    more than ``MAX_BROADCAST_WORDS`` words is joined by a shuffle of all words.
     ``keys`` must identify a document; one without words scores 0.
     """
     words = docs.select(*keys, F.explode_outer(tokens(F.coalesce(F.col(text), F.lit("")))).alias("word"))
     valence = F.coalesce(F.col("valence"), F.lit(0.0))
     word = F.col("word").isNotNull()
-    sums = words.join(lexicon, "word", "left").groupBy(*keys).agg(
+    sums = words.join(broadcast_if_small(lexicon, MAX_BROADCAST_WORDS), "word", "left").groupBy(*keys).agg(
         F.sum(valence).alias("s"),
         F.sum(F.when(valence > 0, valence + 1).otherwise(0.0)).alias("p"),
         F.sum(F.when(valence < 0, 1 - valence).otherwise(0.0)).alias("n"),

@@ -5,7 +5,7 @@ import math
 import pytest
 
 from millrace.functions.context import context_scores, grow_lexicon
-from millrace.functions.text import lexicon_frame
+from millrace.functions.text import lexicon_frame, sentiment_scores
 
 
 def _sum(compound: float) -> float:
@@ -63,3 +63,10 @@ def test_lexicon_grows_from_seeds(spark):
     lexicon = grow_lexicon(docs, "text", ["great"], ["awful"]).select("word", "valence")
     new = spark.createDataFrame([(1, "so tasty"), (2, "not tasty")], "id int, text string")
     assert {r["id"]: r["sentiment"] for r in context_scores(new, ["id"], "text", lexicon).collect()} == {1: "POSITIVE", 2: "NEGATIVE"}
+
+
+@pytest.mark.parametrize("score", [context_scores, sentiment_scores])
+def test_words_are_not_shuffled(spark, score):
+    docs = spark.createDataFrame([(i, "not a good day. " * 20) for i in range(40)], "id int, text string").repartition(16)
+    plan = score(docs, ["id"], "text", lexicon_frame(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
