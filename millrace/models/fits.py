@@ -26,6 +26,9 @@ from millrace.session import ensure_checkpoint_dir, scratch_dir
 
 # Ratings of one block of the alternating fit, about 12 bytes each.
 ALS_BLOCK_RATINGS = 60_000_000
+# Points of k-means handled together, and the bytes of them that one task of a step may read.
+KMEANS_BLOCK = 8192
+KMEANS_TASK_BYTES = 64 << 20
 
 
 def assembler(features: Sequence[str], output: str = "features") -> VectorAssembler:
@@ -102,11 +105,16 @@ class RestartedKMeans(Estimator):
 
     def _fit(self, dataset: DataFrame) -> NearestCentre:
         points = dataset.select(vector_to_array("features").alias("x")).persist()
+        packed = self._packed(points).persist()
         try:
             centres = self._first_centres(points)
+            size = packed.agg(F.sum(F.length("points"))).first()[0]
+            points.unpersist()
+            # A step is short, so it has no more tasks than cores unless they would be too large.
+            blocks = packed.coalesce(max(dataset.sparkSession.sparkContext.defaultParallelism, math.ceil(size / KMEANS_TASK_BYTES)))
             costs, moving = [float("inf")] * len(centres), set(range(len(centres)))
             for step in range(self.max_iter + 1):
-                sums = self._step(points, {i: centres[i] for i in moving})
+                sums = self._step(blocks, {i: centres[i] for i in moving})
                 for i in sorted(moving):
                     costs[i] = sum(r["cost"] for r in sums if r["start"] == i)
                     after = centres[i].copy()
@@ -121,28 +129,46 @@ class RestartedKMeans(Estimator):
                     break
         finally:
             points.unpersist()
+            packed.unpersist()
         best = min(range(len(costs)), key=costs.__getitem__)
         return NearestCentre(centres[best], costs[best], costs)
 
+    @staticmethod
+    def _packed(points: DataFrame) -> DataFrame:
+        """The points' doubles as bytes, ``KMEANS_BLOCK`` points to a row: a step reads them without converting any."""
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a in range(0, batch.num_rows, KMEANS_BLOCK):
+                    x = batch["x"].slice(a, KMEANS_BLOCK).flatten().to_numpy(zero_copy_only=False)
+                    yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.float64, copy=False).tobytes()], pa.binary())], names=["points"])
+
+        return points.mapInArrow(pack, "points binary")
+
     @staticmethod
     def _step(points: DataFrame, centres: dict[int, np.ndarray]) -> list:
-        """Rows, sums and cost per start and nearest centre: as many rows as there are centres."""
+        """Rows, sums and cost per start and nearest centre, of packed points: as many rows as there are centres."""
+        width = len(next(iter(centres.values()))[0])
+
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # Per start and centre: rows, cost, and the sum of each column.
+            found = {i: np.zeros((2 + width, len(own))) for i, own in centres.items()}
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                for start, own in centres.items():
-                    away = ((x[:, None, :] - own[None, :, :]) ** 2).sum(axis=2)
-                    nearest = away.argmin(axis=1)
-                    number, n = np.unique(nearest, return_counts=True)
-                    total = np.stack([np.bincount(nearest, x[:, j], len(own))[number] for j in range(x.shape[1])], axis=1)
-                    cost = np.bincount(nearest, away[np.arange(len(x)), nearest], len(own))[number]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(n), start), pa.int32()), pa.array(number, pa.int32()), pa.array(n, pa.int64()), pa.array(cost),
-                        pa.array(list(total), pa.list_(pa.float64()))], names=["start", "cluster", "n", "cost", "total"])
+                for block in batch["points"]:
+                    x = np.frombuffer(block.as_buffer(), np.float64).reshape(-1, width).T.copy()
+                    for i, own in centres.items():
+                        away = np.zeros((len(own), x.shape[1]))
+                        for j in range(width):
+                            away += (x[j] - own[:, j, None]) ** 2
+                        nearest = away.argmin(axis=0)
+                        for row, weights in zip(found[i], (None, away.min(axis=0), *x)):
+                            row += np.bincount(nearest, weights, len(own))
+            for i, own in found.items():
+                number = np.flatnonzero(own[0])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(number), i), pa.int32()), pa.array(number, pa.int32()), pa.array(own[0, number].astype(np.int64)),
+                    pa.array(own[1, number]), pa.array(list(own[2:, number].T), pa.list_(pa.float64()))],
+                    names=["start", "cluster", "n", "cost", "total"])
 
-        width = len(next(iter(centres.values()))[0])
         found = points.mapInArrow(sums, "start int, cluster int, n long, cost double, total array<double>")
         return found.groupBy("start", "cluster").agg(
             F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("total")[j]) for j in range(width)]).alias("total")).collect()

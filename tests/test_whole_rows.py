@@ -215,3 +215,22 @@ def test_several_changes_to_one_key(spark):
     now = spark.createDataFrame([(1, "a")], "k int, v string")
     with pytest.raises(ValueError, match="several changes"):
         upsert(now, spark.createDataFrame([(1, "b"), (1, "c")], now.schema), ["k"])
+
+
+def test_steps_of_clusters_read_few_packed_blocks(spark, monkeypatch):
+    """However many partitions the points come in, a step has no more tasks than cores and converts no point."""
+    rng = np.random.default_rng(7)
+    rows = [(float(a), float(b), float(c)) for a, b, c in rng.normal(size=(20_000, 3)) + rng.integers(0, 4, (20_000, 1)) * 9]
+    points = spark.createDataFrame(rows, "a double, b double, c double").repartition(40)
+    seen, step = [], fits.RestartedKMeans._step
+
+    def watched(packed, centres):
+        seen.append((packed.dtypes, packed.rdd.getNumPartitions()))
+        return step(packed, centres)
+
+    monkeypatch.setattr(fits.RestartedKMeans, "_step", staticmethod(watched))
+    found = fits.kmeans(["a", "b", "c"], 4, starts=2).fit(points).stages[-1]
+    assert {tuple(t) for t, _ in seen} == {(("points", "binary"),)}
+    assert max(n for _, n in seen) <= spark.sparkContext.defaultParallelism
+    x = np.array(rows)
+    assert found.cost == pytest.approx(((x[:, None] - found.centres[None]) ** 2).sum(axis=2).min(axis=1).sum())
