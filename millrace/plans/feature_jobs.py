@@ -15,7 +15,7 @@ from millrace.functions.text import lexicon_frame, sentiment_scores
 from millrace.models.fits import balanced_logistic, boosted_classifier, forest, score
 from millrace.models.registry import ModelStore, probabilities, register_sql_model
 from millrace.operators.asof import point_in_time
-from millrace.operators.semistruct import dot
+from millrace.operators.pairs import dot_pairs
 from millrace.plans.registry import query
 from millrace.plans.text_jobs import SCORES_SQL
 from millrace.session import register_views, scratch_dir, spread, table
@@ -400,14 +400,12 @@ def get_dummies(spark, sf):
 """)
 def score_pairs(spark, sf):
     """Predicted rating of any number of (user, item) pairs: two key joins and a dot product."""
-    factors = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    factors = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("v"))
     n = factors.agg(F.count("*").alias("n")).scalar()
     pairs = table(spark, sf, "orders").select(
         "o_orderkey", (F.col("o_custkey") % n).alias("u"), (F.col("o_orderkey") % n).alias("i"))
-    users = factors.select(F.col("vec_id").alias("u"), F.col("v").alias("user_features"))
-    items = factors.select(F.col("vec_id").alias("i"), F.col("v").alias("item_features"))
-    return pairs.join(users, "u").join(items, "i").select(
-        "o_orderkey", F.round(dot(F.col("user_features"), F.col("item_features")), 4).alias("prediction"))
+    scored = dot_pairs(pairs, "u", "i", factors.withColumnRenamed("vec_id", "u"), factors.withColumnRenamed("vec_id", "i"))
+    return scored.select("o_orderkey", F.round("prediction", 4).alias("prediction"))
 
 
 SCORED_SQL = "select c_custkey as id, true as sums_to_one, true as likelier_class from customer"
