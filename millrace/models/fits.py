@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import uuid
 from collections.abc import Iterator, Sequence
 from itertools import product
 
@@ -14,12 +15,13 @@ from pyspark.ml import Pipeline as SparkPipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.models import alternating
 from millrace.operators.rangebuckets import dense_ids
 from millrace.operators.sampling import with_split
 from millrace.session import ensure_checkpoint_dir, scratch_dir
@@ -336,11 +338,10 @@ def factorize(ratings: DataFrame, user: str, item: str, rating: str, rank: int =
     ratings.join(users, user).join(items, item).select(
         F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating").write.parquet(f"{base}/numbered")
     numbered = spark.read.parquet(f"{base}/numbered")
-    blocks = als_blocks(numbered.count())
-    model = ALS(
-        rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="user_id", itemCol="item_id", ratingCol="rating",
-        numUserBlocks=blocks, numItemBlocks=blocks,
-        coldStartStrategy="nan").fit(numbered.withColumn("rating", F.col("rating").cast("float")))
+    by_user, by_item = alternating.fit(
+        numbered, "user_id", "item_id", "rating", rank, iterations, reg, seed, als_blocks(numbered.count()))
+    made = spark._jvm.org.apache.spark.ml.recommendation.ALSModel(f"ALS_{uuid.uuid4().hex[:12]}", rank, by_user._jdf, by_item._jdf)
+    model = ALSModel._from_java(made.setUserCol("user_id").setItemCol("item_id").setPredictionCol("prediction").setColdStartStrategy("nan"))
     return model, users, items
 
 

@@ -1,12 +1,14 @@
 """Factor models on ratings of known rank: held-out error, repeatability, strata and odd rows."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
-from millrace.models import factors, fits, metrics
+from millrace.models import alternating, factors, fits, metrics
 
 
 def planted(n_users=120, n_items=80, rank=3, share=0.4, seed=1, hot=None):
@@ -149,3 +151,41 @@ def test_blocks_stay_few_as_vectors_grow():
     assert factors.block_count(36_000_000, 1_200_000) == 4  # six blocks of 200,000 vectors
     assert factors.block_count(216_000_000, 7_200_000) == 8
     assert factors.block_count(0, 1_000_000, rank=100) == 10
+
+
+def test_alternating_fit_reads_its_block_chunk_by_chunk():
+    rng, others, each, per = np.random.default_rng(2), 500, 100, 40
+    half = alternating.Half(rank=4, reg=0.1, blocks=2, others=others, seed=0)
+    known = rng.normal(size=(others, 4)).astype(np.float32)
+
+    def peak(chunks):
+        read, ahead = [], []
+
+        def rows():
+            yield 0, (alternating.VECTORS, np.diff(np.arange(others, dtype=np.int32), prepend=np.int32(0)).tobytes(), known.tobytes())
+            for c in range(chunks):
+                read.append(c)
+                ids = np.arange(c * each, (c + 1) * each, dtype=np.int32)
+                yield 0, (alternating.RATINGS, ids.tobytes(), np.full(each, per, np.int32).tobytes(),
+                          rng.integers(0, others, each * per).astype(np.int32).tobytes(), rng.random(each * per).astype(np.float32).tobytes())
+
+        tracemalloc.start()
+        found = 0
+        for _, (kind, steps, _) in alternating._fit(half)(0, rows()):
+            numbers = np.cumsum(np.frombuffer(steps, np.int32))
+            ahead.append(len(read) - 1 - int(numbers[1]) // each if len(numbers) > 2 * chunks else 0)
+            found += len(numbers)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert max(ahead) == 0 and found == 2 * chunks * each  # every vector to both blocks, before the next chunk is read
+        return most
+
+    assert peak(60) < 1.5 * peak(6)
+
+
+def test_unknown_ratings_are_refused(spark):
+    for wrong in (None, math.nan, math.inf):
+        with pytest.raises(ValueError, match="1 ratings"):
+            fits.factorize(frame(spark, [("a", 1, 2.0), ("b", 1, wrong)]), "who", "what", "stars", rank=2, iterations=1)
+    with pytest.raises(ValueError, match="no ratings"):
+        fits.factorize(frame(spark, [], 1), "who", "what", "stars", rank=2)
