@@ -44,7 +44,7 @@ class Half:
 def first_vectors(ids: np.ndarray, rank: int, seed: int) -> np.ndarray:
     """A random direction for each id, from a hash of the id, so that no layout changes it."""
     x = (ids.astype(np.uint64)[:, None] * np.uint64(2 * rank) + np.arange(2 * rank, dtype=np.uint64)
-         + np.uint64(seed & 0xFFFFFFFF) * np.uint64(0xD1342543DE82EF95))
+         + np.uint64(seed * 0xD1342543DE82EF95 % 2**64))
     x += np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)

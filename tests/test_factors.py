@@ -189,3 +189,40 @@ def test_unknown_ratings_are_refused(spark):
             fits.factorize(frame(spark, [("a", 1, 2.0), ("b", 1, wrong)]), "who", "what", "stars", rank=2, iterations=1)
     with pytest.raises(ValueError, match="no ratings"):
         fits.factorize(frame(spark, [], 1), "who", "what", "stars", rank=2)
+
+
+def test_alternating_fit_solves_the_least_squares_of_hot_vectors_too(spark):
+    """As plain loops do, with a rating that comes twice and an item whose ratings lie in many chunks."""
+    rng, n_users, n_items, rank, reg = np.random.default_rng(6), 60, 25, 3, 0.2
+    rated = [(u, i, float(rng.integers(1, 9))) for u in range(n_users) for i in range(n_items) if i == 0 or rng.random() < 0.2]
+    rated.append(rated[0])
+    users, items = alternating.first_vectors(np.arange(n_users), rank, 4).astype(float), np.zeros((n_items, rank))
+    for _ in range(2):
+        for mine, other, a, b in ((items, users, 1, 0), (users, items, 0, 1)):
+            for x in range(len(mine)):
+                own = [r for r in rated if r[a] == x]
+                seen = np.array([other[r[b]] for r in own]).reshape(-1, rank)
+                if own:
+                    mine[x] = np.linalg.solve(seen.T @ seen + reg * len(own) * np.eye(rank), seen.T @ [r[2] for r in own])
+    rows = spark.createDataFrame(rated, "u int, i int, r double")
+    for parts, blocks, chunk in ((1, 3, 8), (5, 2, 1000)):
+        found = alternating.fit(rows.repartition(parts), "u", "i", "r", rank, iterations=2, reg=reg, seed=4, blocks=blocks, chunk=chunk)
+        for frame_, expected in zip(found, (users, items)):
+            got = dict(frame_.collect())
+            assert sorted(got) == sorted({r[0 if expected is users else 1] for r in rated})
+            for x, v in got.items():
+                assert np.allclose(v, expected[x], rtol=1e-3, atol=1e-4)
+
+
+def test_factor_tables_of_the_alternating_fit_have_all_labels(spark):
+    train, held = planted(30, 20, seed=4, hot=0)
+    model, users, items = fits.factorize(frame(spark, train), "who", "what", "stars", rank=3, iterations=4)
+    assert isinstance(model, ALSModel) and model.rank == 3
+    by_user, by_item = fits.factor_tables(model, users, items, "who", "what")
+    p, q = dict(by_user.collect()), dict(by_item.collect())
+    assert set(p) == {r[0] for r in train} and set(q) == {r[1] for r in train}
+    numbered = frame(spark, held).join(users, "who").join(items, "what").withColumns(
+        {"user_id": F.col("user_id").cast("int"), "item_id": F.col("item_id").cast("int")})
+    scored = model.transform(numbered).collect()
+    assert scored and all(np.isclose(r["prediction"], np.dot(p[r["who"]], q[r["what"]]), rtol=1e-3) for r in scored)
+    assert model.recommendForAllUsers(2).count() == len(p)
