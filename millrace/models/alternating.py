@@ -216,7 +216,7 @@ def fit(numbered: DataFrame, user: str, item: str, rating: str, rank: int = 10,
     def fitted(sent: RDD, own: RDD, half: Half) -> RDD:
         # Dealt alike, both sides' partitions of a block become one, which reads the vectors first.
         both = sent.union(own)
-        if both.getNumPartitions() != blocks:
+        if both.getNumPartitions() != own.getNumPartitions():
             raise RuntimeError("vectors and ratings are not dealt alike")
         return both.mapPartitionsWithIndex(_fit(half))
 

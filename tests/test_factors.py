@@ -5,6 +5,7 @@ import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
@@ -226,3 +227,12 @@ def test_factor_tables_of_the_alternating_fit_have_all_labels(spark):
     scored = model.transform(numbered).collect()
     assert scored and all(np.isclose(r["prediction"], np.dot(p[r["who"]], q[r["what"]]), rtol=1e-3) for r in scored)
     assert model.recommendForAllUsers(2).count() == len(p)
+
+
+def test_alternating_fit_over_more_partitions_than_blocks(spark, monkeypatch):
+    rows = spark.createDataFrame([(u, i, float(u * i % 5)) for u in range(9) for i in range(6)], "u int, i int, r double")
+    fit = lambda: [dict(t.collect()) for t in alternating.fit(rows, "u", "i", "r", rank=2, iterations=2, blocks=3)]
+    usual, deal = fit(), RDD.partitionBy
+    monkeypatch.setattr(RDD, "partitionBy", lambda self, n, *a, **b: deal(self, max(n, 7), *a, **b))
+    for was, now in zip(usual, fit()):
+        assert sorted(was) == sorted(now) and all(np.allclose(was[x], now[x], rtol=1e-4, atol=1e-5) for x in was)
